@@ -1,0 +1 @@
+"""Intentionally empty: every capability of this library is a batch job over stored tables."""
