@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,13 @@ def write_enriched(df: DataFrame, path: str) -> None:
     write_table(df, path, compression="zstd")
 
 
+def _csv(writer: DataFrameWriter) -> DataFrameWriter:
+    # Blanks in keys are data; without the options the writer would trim them.
+    return writer.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    )
+
+
 def write_csv(
     df: DataFrame, path: str, order: Sequence[Column] = (), n: int | None = None
 ) -> None:
@@ -35,14 +42,14 @@ def write_csv(
         df = df.orderBy(*order)
     if n is not None:
         df = df.limit(n).coalesce(1)
-    df.write.mode("overwrite").option("header", True).csv(path)
+    _csv(df.write.mode("overwrite")).csv(path)
 
 
 def write_metrics(metrics: DataFrame, path: str, kind: str = "csv") -> None:
     """Replace a summary; a metrics table has a few dozen rows, so it becomes one file."""
     writer = metrics.coalesce(1).write.mode("overwrite")
     if kind == "csv":
-        writer.option("header", True).csv(path)
+        _csv(writer).csv(path)
     else:
         writer.json(path)
 

@@ -6,49 +6,40 @@ tables, so its size grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-# A point that a third of the cached postal codes share.
-GENERIC_LAT, GENERIC_LON = -15.803258, -47.885477
-
-_schemas: dict[str, StructType] = {}
+_tables: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    # The footer is read for the schema once per table, not once per use of it.
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-def text(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
-def padded(c: Column | str, width: int) -> Column:
-    return F.lpad(text(c), width, "0")
+    # The same lazy scan serves all uses, so that its footer is read once per session.
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(path)
+    return _tables[key]
 
 
 def places(spark: SparkSession, d: str) -> DataFrame:
     """Territory lookup: one row per nation."""
-    nation, region = table(spark, d, "nation"), table(spark, d, "region")
-    k = F.col("n_nationkey")
-    joined = nation.join(region, nation.n_regionkey == region.r_regionkey).withColumn(
-        "code7", F.concat(text(F.col("r_regionkey") + 11), padded(1000 + k * 10 + k % 10, 5))
+    joined = table(spark, d, "nation").join(
+        table(spark, d, "region"), F.expr("n_regionkey = r_regionkey")
     )
-    return joined.select(
-        F.col("code7").alias("municipio_codigo_7"),
-        F.substring("code7", 1, 6).alias("municipio_codigo_6"),
-        F.col("n_name").alias("municipio_nome"),
-        F.substring("code7", 1, 2).alias("uf_codigo"),
-        F.concat(F.lit("U"), text("r_regionkey")).alias("uf_sigla"),
-        F.col("r_name").alias("uf_nome"),
-        (F.lit(-70.0) + F.lit(1.5) * k).alias("centroide_lon"),
-        (F.lit(-30.0) + F.lit(1.25) * k).alias("centroide_lat"),
-        (F.lit(100.0) * (k + 1)).alias("area_km2"),
+    return joined.selectExpr(
+        "*",
+        "concat(cast(r_regionkey + 11 as string),"
+        " lpad(cast(1000 + n_nationkey * 10 + n_nationkey % 10 as string), 5, '0')) as code7",
+    ).selectExpr(
+        "code7 as municipio_codigo_7",
+        "substr(code7, 1, 6) as municipio_codigo_6",
+        "n_name as municipio_nome",
+        "substr(code7, 1, 2) as uf_codigo",
+        "concat('U', cast(r_regionkey as string)) as uf_sigla",
+        "r_name as uf_nome",
+        "-70d + 1.5d * n_nationkey as centroide_lon",
+        "-30d + 1.25d * n_nationkey as centroide_lat",
+        "100d * (n_nationkey + 1) as area_km2",
         "n_nationkey",
     )
 
@@ -60,232 +51,203 @@ def territory(spark: SparkSession, d: str) -> DataFrame:
 def customers(spark: SparkSession, d: str) -> DataFrame:
     """Customers with the place of their nation."""
     return table(spark, d, "customer").join(
-        places(spark, d), F.col("c_nationkey") == F.col("n_nationkey")
+        places(spark, d), F.expr("c_nationkey = n_nationkey")
     )
 
 
 def cases(spark: SparkSession, d: str) -> DataFrame:
     """Case records: one row per order."""
-    k = F.col("o_orderkey")
-    home = customers(spark, d).select(
-        "c_custkey",
-        F.col("municipio_codigo_6").alias("r_mun"),
-        F.col("uf_codigo").alias("r_uf"),
+    home = customers(spark, d).selectExpr(
+        "c_custkey", "municipio_codigo_6 as r_mun", "uf_codigo as r_uf"
     )
-    seen = places(spark, d).select(
-        F.col("n_nationkey").alias("seen_key"),
-        F.col("municipio_codigo_6").alias("n_mun"),
-        F.col("uf_codigo").alias("n_uf"),
+    seen = places(spark, d).selectExpr(
+        "n_nationkey as seen_key", "municipio_codigo_6 as n_mun", "uf_codigo as n_uf"
     )
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey")
-    joined = orders.join(home, F.col("o_custkey") == F.col("c_custkey")).join(
-        seen, k % 25 == F.col("seen_key")
-    )
-    unit = padded("o_custkey", 7)
-    return joined.select(
-        k.alias("case_id"),
-        F.when(k % 97 == 0, F.concat("r_uf", F.lit("0000"))).otherwise(F.col("r_mun")).alias("ID_MN_RESI"),
-        F.col("n_mun").alias("ID_MUNICIP"),
-        F.when(k % 5 == 0, None)
-        .when(k % 5 == 1, F.lit("  "))
-        .when(k % 11 == 0, F.substring("r_mun", 1, 4))
-        .otherwise(F.col("r_mun"))
-        .alias("ATE_MUNICI"),
-        F.when(k % 13 == 0, "99").otherwise(F.col("r_uf")).alias("SG_UF"),
-        F.col("n_uf").alias("SG_UF_NOT"),
-        F.when(k % 3 == 0, F.col("r_uf")).otherwise("9").alias("ATE_UF_HOS"),
-        F.when(k % 101 == 0, None)
-        .when(k % 2 == 0, F.concat(F.lit(" "), unit, F.lit(" ")))
-        .otherwise(unit)
-        .alias("ID_UNIDADE"),
+    return (
+        table(spark, d, "orders")
+        .join(home, F.expr("o_custkey = c_custkey"))
+        .join(seen, F.expr("o_orderkey % 25 = seen_key"))
+        .selectExpr(
+            "o_orderkey as case_id",
+            "if(o_orderkey % 97 = 0, concat(r_uf, '0000'), r_mun) as ID_MN_RESI",
+            "n_mun as ID_MUNICIP",
+            "case when o_orderkey % 5 = 0 then null when o_orderkey % 5 = 1 then '  '"
+            " when o_orderkey % 11 = 0 then substr(r_mun, 1, 4) else r_mun end as ATE_MUNICI",
+            "if(o_orderkey % 13 = 0, '99', r_uf) as SG_UF",
+            "n_uf as SG_UF_NOT",
+            "if(o_orderkey % 3 = 0, r_uf, '9') as ATE_UF_HOS",
+            "case when o_orderkey % 101 = 0 then null"
+            " when o_orderkey % 2 = 0 then concat(' ', lpad(cast(o_custkey as string), 7, '0'), ' ')"
+            " else lpad(cast(o_custkey as string), 7, '0') end as ID_UNIDADE",
+        )
     )
 
 
 def registry(spark: SparkSession, d: str) -> DataFrame:
     """Facility register: two rows per customer, of which one in seven is missing."""
-    k, part = F.col("c_custkey"), F.col("part_no")
-    base = (
+    return (
         customers(spark, d)
-        .where(k % 7 != 0)
-        .withColumn("part_no", F.explode(F.array(F.lit(1), F.lit(2))))
-    )
-    return base.select(
-        padded(k, 7).alias("CNES"),
-        F.when((part == 1) & (k % 4 == 0), F.lit(" "))
-        .when(k % 53 == 0, F.lit("000000"))
-        .when(k % 31 == 0, F.concat("uf_codigo", F.lit("9999")))
-        .otherwise(F.col("municipio_codigo_6"))
-        .alias("CODUFMUN"),
-        F.when((part == 1) & (k % 3 == 0), None)
-        .when(k % 29 == 0, F.lit("00000000"))
-        .otherwise(F.concat(padded(10000 + k % 700, 5), F.lit("-"), padded(k % 2, 3)))
-        .alias("COD_CEP"),
-        padded(k % 20, 2).alias("TP_UNID"),
-        F.col("c_mktsegment").alias("NAT_JUR"),
-        (k * 10 + part).alias("ord"),
+        .where("c_custkey % 7 <> 0")
+        .selectExpr("*", "explode(array(1, 2)) as part_no")
+        .selectExpr(
+            "lpad(cast(c_custkey as string), 7, '0') as CNES",
+            "case when part_no = 1 and c_custkey % 4 = 0 then ' '"
+            " when c_custkey % 53 = 0 then '000000'"
+            " when c_custkey % 31 = 0 then concat(uf_codigo, '9999')"
+            " else municipio_codigo_6 end as CODUFMUN",
+            "case when part_no = 1 and c_custkey % 3 = 0 then null"
+            " when c_custkey % 29 = 0 then '00000000'"
+            " else concat(lpad(cast(10000 + c_custkey % 700 as string), 5, '0'), '-',"
+            " lpad(cast(c_custkey % 2 as string), 3, '0')) end as COD_CEP",
+            "lpad(cast(c_custkey % 20 as string), 2, '0') as TP_UNID",
+            "c_mktsegment as NAT_JUR",
+            "c_custkey * 10 + part_no as ord",
+        )
     )
 
 
 def cache(spark: SparkSession, d: str) -> DataFrame:
-    """Geocode cache with repeated, failed, generic and absent keys."""
-    k = F.col("c_custkey")
+    """Geocode cache with repeated, failed and absent keys, and one point that a third shares."""
     return (
         customers(spark, d)
-        .where(k % 9 != 0)
-        .select(
-            F.concat(padded(10000 + k % 700, 5), padded(k % 2, 3)).alias("cep_limpo"),
-            F.when(k % 10 == 0, None)
-            .when(k % 3 == 0, GENERIC_LAT)
-            .otherwise(F.col("centroide_lat") + F.lit(0.03) * (k % 50 - 25))
-            .alias("latitude"),
-            F.when(k % 10 == 0, None)
-            .when(k % 3 == 0, GENERIC_LON)
-            .otherwise(F.col("centroide_lon"))
-            .alias("longitude"),
-            F.when(k % 10 == 0, "False").otherwise("True").alias("geocode_success"),
-            k.alias("seq"),
+        .where("c_custkey % 9 <> 0")
+        .selectExpr(
+            "concat(lpad(cast(10000 + c_custkey % 700 as string), 5, '0'),"
+            " lpad(cast(c_custkey % 2 as string), 3, '0')) as cep_limpo",
+            "case when c_custkey % 10 = 0 then null when c_custkey % 3 = 0 then -15.803258d"
+            " else centroide_lat + 0.03d * (c_custkey % 50 - 25) end as latitude",
+            "case when c_custkey % 10 = 0 then null when c_custkey % 3 = 0 then -47.885477d"
+            " else centroide_lon end as longitude",
+            "if(c_custkey % 10 = 0, 'False', 'True') as geocode_success",
+            "c_custkey as seq",
         )
     )
 
 
 def new_results(spark: SparkSession, d: str) -> DataFrame:
     """New geocode results, from suppliers: some repeat cached keys, some repeat each other."""
-    k = F.col("s_suppkey")
-    return table(spark, d, "supplier").select(
-        F.concat(padded(10600 + k % 300, 5), padded(k % 2, 3)).alias("cep_limpo"),
-        F.when(k % 4 != 0, F.lit(-10.0) - F.lit(0.5) * F.col("s_nationkey")).alias("latitude"),
-        F.when(k % 4 != 0, F.lit(-50.0) + F.lit(0.5) * F.col("s_nationkey")).alias("longitude"),
-        (k % 4 != 0).alias("geocode_success"),
-        k.alias("seq"),
+    return table(spark, d, "supplier").selectExpr(
+        "concat(lpad(cast(10600 + s_suppkey % 300 as string), 5, '0'),"
+        " lpad(cast(s_suppkey % 2 as string), 3, '0')) as cep_limpo",
+        "if(s_suppkey % 4 <> 0, -10d - 0.5d * s_nationkey, null) as latitude",
+        "if(s_suppkey % 4 <> 0, -50d + 0.5d * s_nationkey, null) as longitude",
+        "s_suppkey % 4 <> 0 as geocode_success",
+        "s_suppkey as seq",
     )
 
 
 def coordinate_registry(spark: SparkSession, d: str) -> DataFrame:
     """A register that has names and coordinates under varying column names."""
-    k = F.col("s_suppkey")
-    base = table(spark, d, "supplier").withColumn(
-        "part_no", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
-    )
-    lon = F.concat(F.lit("-4"), text(k % 10), F.lit("."), text(F.col("s_nationkey")))
-    return base.select(
-        F.when(k % 17 == 0, F.lit("  ")).otherwise(F.concat(padded(k, 7), F.lit(" "))).alias("co_cnes"),
-        F.concat(F.lit(" "), F.col("s_name"), F.lit("/"), text("part_no")).alias("NO_FANTASIA"),
-        F.when(k % 6 == 0, F.lit("n/d"))
-        .otherwise(F.concat(F.lit(" -1"), text(k % 10), F.lit("."), text("part_no"), F.lit(" ")))
-        .alias("nu_latitude"),
-        F.when(k % 5 == 0, None).otherwise(lon).alias("NU_LONGITUDE"),
-        (k * 10 + F.col("part_no")).alias("ord"),
+    return (
+        table(spark, d, "supplier")
+        .selectExpr("*", "explode(array(1, 2, 3)) as part_no")
+        .selectExpr(
+            "if(s_suppkey % 17 = 0, '  ', concat(lpad(cast(s_suppkey as string), 7, '0'), ' '))"
+            " as co_cnes",
+            "concat(' ', s_name, '/', cast(part_no as string)) as NO_FANTASIA",
+            "if(s_suppkey % 6 = 0, 'n/d', concat(' -1', cast(s_suppkey % 10 as string), '.',"
+            " cast(part_no as string), ' ')) as nu_latitude",
+            "if(s_suppkey % 5 = 0, null, concat('-4', cast(s_suppkey % 10 as string), '.',"
+            " cast(s_nationkey as string))) as NU_LONGITUDE",
+            "s_suppkey * 10 + part_no as ord",
+        )
     )
 
 
-def mesh_code(k: Column) -> Column:
-    """Seven-digit codes for the first hundred thousand customers of a state, longer ones beyond."""
-    wide = F.when(k < 100000, padded(k, 5)).otherwise(text(k))
-    return F.concat("uf_codigo", wide, F.when(k % 17 == 0, "X").otherwise(""))
+# Seven-digit codes for the first hundred thousand customers of a state, longer ones beyond.
+MESH_CODE = (
+    "concat(uf_codigo, if(c_custkey < 100000, lpad(cast(c_custkey as string), 5, '0'),"
+    " cast(c_custkey as string)))"
+)
 
 
 def mesh(spark: SparkSession, d: str) -> DataFrame:
     """Mesh attributes: one municipality per customer, some with codes that are no codes."""
-    k = F.col("c_custkey")
-    return customers(spark, d).select(
-        mesh_code(k).alias("cd_mun"),
-        F.concat(F.lit("M"), text(k)).alias("NM_MUN"),
-        F.when(k % 6 != 0, F.concat(F.lit("S"), F.col("uf_codigo"))).alias("SIGLA_UF"),
-        (F.lit(0.5) * k).alias("AREA_KM2"),
+    return customers(spark, d).selectExpr(
+        f"concat({MESH_CODE}, if(c_custkey % 17 = 0, 'X', '')) as cd_mun",
+        "concat('M', cast(c_custkey as string)) as NM_MUN",
+        "if(c_custkey % 6 <> 0, concat('S', uf_codigo), null) as SIGLA_UF",
+        "0.5d * c_custkey as AREA_KM2",
     )
 
 
 def mesh_vertices(spark: SparkSession, d: str) -> DataFrame:
     """Planar pentagons per mesh municipality; one in five has a triangular hole."""
-    k = F.col("c_custkey")
-    x0, y0 = (k % 1000) * 100, (k % 300) * 50
     shell = [(0, 0), (40, 0), (50, 30), (20, 45), (-10, 25)]
     hole = [(10, 10), (10, 20), (20, 10)]
 
-    def ring(number: int, points) -> list[Column]:
-        return [
-            F.struct(
-                F.lit(number).alias("ring"),
-                F.lit(i).alias("seq"),
-                (x0 + dx).cast("double").alias("x"),
-                (y0 + dy).cast("double").alias("y"),
-            )
+    def ring(number: int, points) -> str:
+        return ", ".join(
+            f"named_struct('ring', {number}, 'seq', {i},"
+            f" 'x', cast(c_custkey % 1000 * 100 + {dx} as double),"
+            f" 'y', cast(c_custkey % 300 * 50 + {dy} as double))"
             for i, (dx, dy) in enumerate(points)
-        ]
+        )
 
-    plain, holed = F.array(*ring(0, shell)), F.array(*ring(0, shell), *ring(1, hole))
-    return customers(spark, d).select(
-        mesh_code(k).alias("poly"), F.inline(F.when(k % 5 == 0, holed).otherwise(plain))
+    plain, holed = f"array({ring(0, shell)})", f"array({ring(0, shell)}, {ring(1, hole)})"
+    return customers(spark, d).selectExpr(
+        f"concat({MESH_CODE}, if(c_custkey % 17 = 0, 'X', '')) as poly",
+        f"inline(if(c_custkey % 5 = 0, {holed}, {plain}))",
     )
 
 
 def official_payloads(spark: SparkSession, d: str) -> DataFrame:
     """JSON arrays of official municipalities: two objects per payload, one of them not in the mesh."""
-    k = F.col("c_custkey")
-    code = F.concat("uf_codigo", F.when(k < 100000, padded(k, 5)).otherwise(text(k)))
-    name = F.when(k % 10 == 1, F.lit("null")).otherwise(
-        F.concat(F.lit('"N'), text(k), F.lit('"'))
+    name = "if(c_custkey % 10 = 1, 'null', concat('\"N', cast(c_custkey as string), '\"'))"
+    return (
+        customers(spark, d)
+        .where("c_custkey % 8 <> 0")
+        .selectExpr(
+            f"""concat('[{{"id":', {MESH_CODE}, ',"nome":', {name}, '}},{{"id":99',
+                cast(c_custkey as string), ',"nome":"fora"}}]') as payload"""
+        )
     )
-    payload = F.concat(
-        F.lit('[{"id":'), code, F.lit(',"nome":'), name,
-        F.lit('},{"id":99'), text(k), F.lit(',"nome":"fora"}]'),
-    )
-    return customers(spark, d).where(k % 8 != 0).select(k.alias("payload_id"), payload.alias("payload"))
 
 
 def event_payloads(spark: SparkSession, d: str) -> DataFrame:
     """JSON arrays built from the properties of events."""
-    number = F.regexp_extract("props", "([0-9]+)", 1)
-    payload = F.concat(
-        F.lit('[{"id":'), number, F.lit(',"nome":"'), F.col("event_type"),
-        F.lit('"},{"id":'), text("event_id"), F.lit(',"nome":null}]'),
-    )
-    return table(spark, d, "events").select("event_id", payload.alias("payload"))
+    return table(spark, d, "events").selectExpr(
+        """concat('[{"id":', regexp_extract(props, '([0-9]+)', 1), ',"nome":"', event_type,
+            '"},{"id":', cast(event_id as string), ',"nome":null}]') as payload"""
+    )
 
 
 def file_names(spark: SparkSession, d: str) -> DataFrame:
     """File names with group, state and period, from orders; a few are templates."""
-    k = F.col("o_orderkey")
-    group = F.when(k % 4 == 0, "ST").when(k % 4 == 1, "st").when(k % 4 == 2, "EP").otherwise("DC")
-    state = F.concat(F.lit("U"), text(F.col("o_custkey") % 10))
-    when = F.concat(
-        padded(F.year("o_orderdate") % 100, 2), padded(F.month("o_orderdate"), 2)
-    )
-    suffix = F.when(k % 3 == 0, ".dbc").when(k % 3 == 1, ".DBC").otherwise(".dbf")
-    name = F.when(k % 1000 == 999, F.concat(group, F.lit("ufAAmm.dbc"))).otherwise(
-        F.concat(group, state, when, suffix)
+    return (
+        table(spark, d, "orders")
+        .selectExpr(
+            "*", "element_at(array('ST', 'st', 'EP', 'DC'), cast(o_orderkey % 4 + 1 as int)) as g"
+        )
+        .selectExpr(
+            "upper(g) as grupo",
+            "if(o_orderkey % 1000 >= 996, concat(g, 'ufAAmm.dbc'),"
+            " concat(g, 'U', cast(o_custkey % 10 as string), date_format(o_orderdate, 'yyMM'),"
+            " element_at(array('.dbc', '.DBC', '.dbf'), cast(o_orderkey % 3 + 1 as int)))) as name",
+        )
     )
-    return table(spark, d, "orders").select(F.upper(group).alias("grupo"), name.alias("name"))
 
 
 def column_inventory(spark: SparkSession, d: str) -> DataFrame:
     """Columns of files, from line items: (group, file, column) with a first value."""
-    group = F.element_at(
-        F.array(*[F.lit(g) for g in ("DC", "EP", "PF", "ST")]),
-        (F.col("l_suppkey") % 4 + 1).cast("int"),
-    )
-    file = F.when(F.col("l_orderkey") % 1000 == 999, F.concat(group, F.lit("ufAAmm.dbc"))).otherwise(
-        F.concat(
-            group,
-            F.lit("SP"),
-            padded(F.col("l_partkey") % 20, 2),
-            padded(F.col("l_partkey") % 12 + 1, 2),
-            F.lit(".dbc"),
-        )
-    )
-    line = F.col("l_linenumber") % 7
-    number = text(F.col("l_orderkey") % 60)
-    column = (
-        F.when(line == 0, "COD_CEP")
-        .when(line == 1, F.concat(F.lit("S_RECEPC"), number))
-        .when(line == 2, F.concat(F.lit("num_"), number))
-        .when(line == 3, F.concat(F.lit("NOME_"), number))
-        .otherwise(F.concat(F.lit("QT_"), number))
-    )
     return (
         table(spark, d, "lineitem")
-        .select(
-            group.alias("grupo"), file.alias("arquivo"), column.alias("coluna"), "l_orderkey"
+        .selectExpr(
+            "element_at(array('DC', 'EP', 'PF', 'ST'), cast(l_suppkey % 4 + 1 as int)) as grupo",
+            "if(l_orderkey % 1000 = 999, 'ufAAmm.dbc', concat('SP',"
+            " lpad(cast(l_partkey % 20 as string), 2, '0'),"
+            " lpad(cast(l_partkey % 12 + 1 as string), 2, '0'), '.dbc')) as tail",
+            "l_linenumber % 7 as line",
+            "cast(l_orderkey % 60 as string) as number",
+            "l_orderkey",
+        )
+        .selectExpr(
+            "grupo",
+            "concat(grupo, tail) as arquivo",
+            "case line when 0 then 'COD_CEP' when 1 then concat('S_RECEPC', number)"
+            " when 2 then concat('num_', number) when 3 then concat('NOME_', number)"
+            " else concat('QT_', number) end as coluna",
+            "l_orderkey",
         )
         .groupBy("grupo", "arquivo", "coluna")
         .agg(F.min("l_orderkey").cast("string").alias("primeiro"))
@@ -294,28 +256,31 @@ def column_inventory(spark: SparkSession, d: str) -> DataFrame:
 
 def declared_columns(spark: SparkSession, d: str) -> DataFrame:
     """Declared column names, from parts."""
-    k = F.col("p_partkey")
-    name = (
-        F.when(k % 3 == 0, F.concat(F.lit("QT_"), text(k % 50)))
-        .when(k % 3 == 1, F.concat(F.lit("NOME_"), text(k % 70)))
-        .otherwise(F.concat(F.lit("DT_"), text(F.col("p_size"))))
+    return (
+        table(spark, d, "part")
+        .selectExpr(
+            "case p_partkey % 3 when 0 then concat('QT_', cast(p_partkey % 50 as string))"
+            " when 1 then concat('NOME_', cast(p_partkey % 70 as string))"
+            " else concat('DT_', cast(p_size as string)) end as name"
+        )
+        .distinct()
     )
-    return table(spark, d, "part").select(name.alias("name")).distinct()
 
 
 def dictionary_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows of document tables, from parts: most have four cells, some one or three."""
-    k = F.col("p_partkey")
-    name = F.concat(F.lit(" "), F.col("p_type"), F.lit("_"), text(F.col("p_size")), F.lit(" "))
-    codes = F.concat(
-        F.lit("1 - Sim 2 – Não 9-"), F.col("p_name"), F.lit("\n1 - "), F.col("p_brand")
-    )
-    label = F.when(k % 13 == 0, None).otherwise(F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")))
-    return table(spark, d, "part").select(
-        F.floor(k / 40).alias("page"),
-        (k % 40).alias("row"),
-        F.when(k % 7 == 0, F.array(name))
-        .when(k % 7 == 1, F.array(F.lit("campo"), label, name))
-        .otherwise(F.array(F.lit("campo"), label, name, codes))
-        .alias("cells"),
+    return (
+        table(spark, d, "part")
+        .selectExpr(
+            "p_partkey",
+            "concat(' ', p_type, '_', cast(p_size as string), ' ') as name",
+            "if(p_partkey % 13 = 0, null, concat(' ', p_name, ' ')) as label",
+            "concat('1 - Sim 2 – Não 9-', p_name, '\\n1 - ', p_brand) as codes",
+        )
+        .selectExpr(
+            "p_partkey div 40 as page",
+            "p_partkey % 40 as row",
+            "case p_partkey % 7 when 0 then array(name) when 1 then array('campo', label, name)"
+            " else array('campo', label, name, codes) end as cells",
+        )
     )
