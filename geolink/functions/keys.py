@@ -169,7 +169,7 @@ def name_month(name: Column | str) -> Column:
 
 def has_period(name: Column | str) -> Column:
     """True for names with digits where the year and month belong; templates have letters there."""
-    return F.concat(name_year(name), name_month(name)).rlike("^[0-9]{4}$")
+    return _col(name).rlike("[0-9]{4}.{4}$")
 
 
 def is_variable_name(c: Column | str) -> Column:

@@ -31,14 +31,13 @@ def ring_edges(vertices: DataFrame, poly: str = "poly", ring: str = "ring", seq:
     )
     closing = (
         vertices.groupBy(poly, ring)
-        .agg(F.max_by(point, seq).alias("a"), F.min_by(point, seq).alias("b"))
-        .select(
-            poly,
-            F.col("a.x").alias("x0"),
-            F.col("a.y").alias("y0"),
-            F.col("b.x").alias("x1"),
-            F.col("b.y").alias("y1"),
+        .agg(
+            F.max_by("x", seq).alias("x0"),
+            F.max_by("y", seq).alias("y0"),
+            F.min_by("x", seq).alias("x1"),
+            F.min_by("y", seq).alias("y1"),
         )
+        .select(poly, "x0", "y0", "x1", "y1")
     )
     return inner.unionAll(closing)
 

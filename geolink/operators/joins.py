@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +14,23 @@ from geolink.operators.staging import stage_table
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# A lookup table with its key columns, and a function that marks a join side.
-Lookup = tuple[DataFrame, Sequence[str]]
+# A function that marks a join side.
 Hint = Callable[[DataFrame], DataFrame]
 
 
+class Side(NamedTuple):
+    """A lookup and its key columns.
+
+    A lookup drawn from a ``source`` table, with at most the bytes of that table and one row per
+    key, need not be computed to be sized: the source bounds it. A lookup without a source is
+    measured itself, and its keys are checked.
+    """
+
+    table: DataFrame
+    on: Sequence[str]
+    source: DataFrame | None = None
+
+
 def _row_bytes(df: DataFrame) -> Column:
     wide = [
         f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))
@@ -30,24 +43,38 @@ def _row_bytes(df: DataFrame) -> Column:
     )
 
 
-def measure(lookups: Sequence[Lookup]) -> list[tuple[int, int]]:
-    """Bytes of each lookup, and the most rows that one of its keys has.
+def _measurement(table: DataFrame, on: Sequence[str] | None) -> DataFrame:
+    """One row: the bytes of a table and, given a key, the most rows that a key has."""
+    size = F.sum(_row_bytes(table)).alias("bytes")
+    if on is None:
+        return table.agg(size, F.lit(1).cast("long").alias("rows"))
+    keyed = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]), 1)
+    per_key = table.groupBy(*on).agg(size, F.count(keyed).alias("rows"))
+    return per_key.agg(F.sum("bytes"), F.max("rows"))
 
-    All lookups are measured in one job of distributed aggregates; only the two numbers per lookup
-    reach the driver.
+
+def measure(sides: Sequence[Side]) -> list[tuple[int, int]]:
+    """Bytes of each lookup, or of its source, and the most rows that one of its keys has.
+
+    All are measured in one job of distributed aggregates, a shared source once; only two numbers
+    per table reach the driver.
     """
-    parts = []
-    for i, (lookup, on) in enumerate(lookups):
-        keyed = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]), 1)
-        per_key = lookup.groupBy(*on).agg(
-            F.sum(_row_bytes(lookup)).alias("bytes"), F.count(keyed).alias("rows")
-        )
-        parts.append(per_key.agg(F.lit(i).alias("i"), F.sum("bytes"), F.max("rows")))
-    found = sorted(reduce(DataFrame.unionAll, parts).collect())
-    return [(size or 0, rows or 0) for _, size, rows in found]
-
-
-def sized(*lookups: Lookup, max_broadcast_bytes: int | None = None) -> list[tuple[DataFrame, Hint]]:
+    targets: list[tuple[DataFrame, Sequence[str] | None]] = []
+    positions = []
+    for side in sides:
+        target = (side.table, side.on) if side.source is None else (side.source, None)
+        known = [i for i, (t, on) in enumerate(targets) if t is target[0] and on == target[1]]
+        positions.append(known[0] if known else len(targets))
+        if not known:
+            targets.append(target)
+    parts = [
+        _measurement(table, on).select(F.lit(i), "*") for i, (table, on) in enumerate(targets)
+    ]
+    found = {i: (size or 0, rows or 0) for i, size, rows in reduce(DataFrame.unionAll, parts).collect()}
+    return [found[i] for i in positions]
+
+
+def sized(*sides: Side, max_broadcast_bytes: int | None = None) -> list[tuple[DataFrame, Hint]]:
     """Measure lookups; return each with the hint that its projections get before a join.
 
     Within the bound the hint is a broadcast: the fact table is then not shuffled, so that hot keys
@@ -58,23 +85,23 @@ def sized(*lookups: Lookup, max_broadcast_bytes: int | None = None) -> list[tupl
     """
     bound = BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
     placed = []
-    for (lookup, on), (size, rows_per_key) in zip(lookups, measure(lookups), strict=True):
+    for side, (size, rows_per_key) in zip(sides, measure(sides), strict=True):
         if rows_per_key > 1:
-            raise ValueError(f"lookup key {list(on)} is repeated, up to {rows_per_key} times")
+            raise ValueError(f"lookup key {list(side.on)} is repeated, up to {rows_per_key} times")
         if size <= bound:
-            placed.append((lookup, F.broadcast))
+            placed.append((side.table, F.broadcast))
         else:
-            placed.append((stage_table(lookup, "lookup"), lambda df: df))
+            placed.append((stage_table(side.table, "lookup"), lambda df: df))
     return placed
 
 
 def join_lookups(
-    fact: DataFrame, *lookups: Lookup, max_broadcast_bytes: int | None = None
+    fact: DataFrame, *sides: Side, max_broadcast_bytes: int | None = None
 ) -> DataFrame:
     """Left join a fact table to lookups that are unique on their key columns; see ``sized``."""
-    placed = sized(*lookups, max_broadcast_bytes=max_broadcast_bytes)
-    for (_, on), (lookup, hint) in zip(lookups, placed, strict=True):
-        fact = fact.join(hint(lookup), list(on), "left")
+    placed = sized(*sides, max_broadcast_bytes=max_broadcast_bytes)
+    for side, (lookup, hint) in zip(sides, placed, strict=True):
+        fact = fact.join(hint(lookup), list(side.on), "left")
     return fact
 
 

@@ -34,7 +34,7 @@ def key_frequencies(cases: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 def flag_known(keys: DataFrame, lookup: DataFrame, key: str, lookup_key: str) -> DataFrame:
     """Distinct keys with ``known``: whether the lookup has them. No row is multiplied."""
-    known = lookup.select(F.col(lookup_key).alias(key), F.lit(True).alias("known")).distinct()
+    known = lookup.select(F.col(lookup_key).alias(key)).distinct().withColumn("known", F.lit(True))
     return keys.join(known, key, "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
 
@@ -48,9 +48,11 @@ def key_coverage(
     flagged = flag_known(key_frequencies(cases, fields), lookup, "codigo", lookup_key)
     found = flagged.select("field", "codigo", "n", "known")
     # One row of nothing per field, so that a field without any code is reported with zeros.
-    spark = cases.sparkSession
-    every = spark.createDataFrame(
-        [(f, None, 0, None) for f in fields], "field string, codigo string, n long, known boolean"
+    every = cases.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(f) for f in fields])).alias("field"),
+        F.lit(None).cast("string").alias("codigo"),
+        F.lit(0).cast("long").alias("n"),
+        F.lit(None).cast("boolean").alias("known"),
     )
     return (
         found.unionAll(every)

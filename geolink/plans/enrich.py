@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geolink.functions.geo import both_present
 from geolink.functions.keys import trimmed
-from geolink.operators.joins import sized
+from geolink.operators.joins import Side, sized
 from geolink.operators.metrics import count_metric, metrics_long
 from geolink.operators.projection import with_constants, with_defaults, with_null_texts
 from geolink.operators.ranking import top_n
@@ -95,8 +95,8 @@ def enrich_cases(
     texts = [c for c in FACILITY_COLUMNS if c not in ("latitude", "longitude")]
     facilities = with_null_texts(facilities, texts).select("cnes_codigo", *FACILITY_COLUMNS)
     (territory, territory_hint), (facilities, facility_hint) = sized(
-        (territory, ["municipio_codigo_6"]),
-        (facilities, ["cnes_codigo"]),
+        Side(territory, ["municipio_codigo_6"]),
+        Side(facilities, ["cnes_codigo"]),
         max_broadcast_bytes=max_broadcast_bytes,
     )
     out = cases

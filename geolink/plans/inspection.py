@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -18,8 +19,7 @@ ADDRESS_PATTERNS = ("CEP", "LOGRA", "ENDERE", "BAIR", "NUM", "COMPL", "FANT", "R
 
 def name_contains(name, patterns: Sequence[str] = ADDRESS_PATTERNS):
     """True where the name, whatever its case, contains any of the patterns."""
-    upper = F.upper(F.col(name))
-    return reduce(lambda a, b: a | b, [upper.contains(p) for p in patterns])
+    return F.upper(F.col(name)).rlike("|".join(re.escape(p) for p in patterns))
 
 
 def matching_columns(df: DataFrame, patterns: Sequence[str] = ADDRESS_PATTERNS) -> list[str]:

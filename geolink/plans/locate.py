@@ -18,11 +18,10 @@ from geolink.functions.keys import (
     to_number,
 )
 from geolink.operators.dedupe import keep_first
-from geolink.operators.joins import Lookup, join_lookups, suffix_clashes, translate
+from geolink.operators.joins import Side, join_lookups, suffix_clashes, translate
 from geolink.operators.metrics import count_metric, counts, metrics_long
 from geolink.operators.projection import keep_existing, with_null_texts
 from geolink.plans.cache import cached_points
-from geolink.plans.territory import state_centroids
 
 # Source and quality per level.
 SOURCE_POSTAL = "nominatim_cep"
@@ -105,18 +104,22 @@ def municipality_centroids(
     )
 
 
-def municipality_side(df: DataFrame, territory: DataFrame) -> Lookup:
+def municipality_side(df: DataFrame, territory: DataFrame) -> Side:
     """The expected municipality; names that ``df`` has already get the suffix ``_ibge``."""
     lookup = municipality_centroids(territory)
-    return suffix_clashes(df, lookup, MUNICIPALITY_KEY, "_ibge"), MUNICIPALITY_KEY
+    return Side(
+        suffix_clashes(df, lookup, MUNICIPALITY_KEY, "_ibge"), MUNICIPALITY_KEY, territory
+    )
 
 
-def state_side(territory: DataFrame) -> Lookup:
-    """State centroids ``uf_lat`` and ``uf_lon`` by state code."""
-    clean = with_clean_codes(territory).withColumns(
-        {c: as_double(territory, c) for c in ("centroide_lat", "centroide_lon")}
+def state_side(territory: DataFrame) -> Side:
+    """State centroids ``uf_lat`` and ``uf_lon`` by state code alone, so one row per code."""
+    clean = territory.dropna(subset=["uf_codigo", "uf_sigla", "uf_nome"])
+    centroids = clean.groupBy("uf_codigo").agg(
+        F.avg(as_double(territory, "centroide_lat")).alias("uf_lat"),
+        F.avg(as_double(territory, "centroide_lon")).alias("uf_lon"),
     )
-    return state_centroids(clean).select("uf_codigo", "uf_lat", "uf_lon"), ["uf_codigo"]
+    return Side(centroids, ["uf_codigo"], territory)
 
 
 def locate_facilities(
@@ -136,7 +139,7 @@ def locate_facilities(
     base = with_clean_codes(facilities.withColumn("cep_limpo", postal))
     joined = join_lookups(
         base,
-        (cached_points(cache, cache_order), ["cep_limpo"]),
+        Side(cached_points(cache, cache_order), ["cep_limpo"], cache),
         municipality_side(base, territory),
         state_side(territory),
     )
