@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from geolink.operators.ranking import order_columns
-from geolink.operators.stacking import stack_aligned, stack_strict
+from geolink.operators.stacking import stack_aligned
 from geolink.plans import cache as cache_plans
 from geolink.plans import (
     conservative,
@@ -22,17 +22,23 @@ from geolink.plans import (
     plausibility,
     territory,
 )
+from geolink.plans.cases import write_cases
 from geolink.plans.dictionary import audit_table_schema
 from geolink.sources import dictionary as dictionary_source
 from geolink.sources import sinks, tables
+from geolink.sources.files import find_inputs
 from geolink.sources.payload import official_municipalities
 
+# Fixed value: start of the names of yearly case files.
+CASE_PREFIX = "MENIBR"
 
-def stack_cases(spark: SparkSession, yearly_paths: Sequence[str], out: str) -> int:
-    """Consolidate yearly case tables and return the row count."""
-    yearly = [spark.read.parquet(p) for p in yearly_paths]
-    sinks.write_table(stack_strict(yearly), out)
-    return tables.count_rows(spark, out)
+
+def stack_cases(
+    spark: SparkSession, folder: str, out: str, prefix: str = CASE_PREFIX, suffix: str = ".parquet"
+) -> int:
+    """Consolidate the yearly case files of a folder, in name order, and return the row count."""
+    yearly = [spark.read.parquet(p) for p in find_inputs(spark, folder, prefix, suffix)]
+    return write_cases(yearly, out)
 
 
 def audit_schema(spark: SparkSession, cases: str, dictionary: str, out: str) -> None:
@@ -145,14 +151,19 @@ def rebuild_locations(
 
 
 def enrich_cases(
-    spark: SparkSession, cases: str, territory_path: str, facilities: str, out: str
+    spark: SparkSession,
+    cases: str,
+    territory_path: str,
+    facilities: str,
+    out: str,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Write the enriched case table, then summarise what was written."""
     tables.require_paths(spark, cases, territory_path, facilities)
     enriched = enrich.enrich_cases(
         spark.read.parquet(cases), spark.read.parquet(territory_path), spark.read.parquet(facilities)
     )
-    sinks.write_enriched(enriched, out)
+    sinks.write_enriched(enriched, out, partition_by)
     sinks.write_metrics(enrich.enriched_summary(spark.read.parquet(out)), f"{out}_summary")
 
 

@@ -99,15 +99,19 @@ def enrich_cases(
         Side(facilities, ["cnes_codigo"]),
         max_broadcast_bytes=max_broadcast_bytes,
     )
-    out = cases
+    # The facility comes first: should its lookup be too large to broadcast, the shuffle then
+    # carries the cases without the territorial columns.
+    unit = facilities.withColumnsRenamed({"cnes_codigo": "_key", **FACILITY_COLUMNS})
+    out = cases.withColumn("_key", trimmed("ID_UNIDADE"))
+    out = out.join(facility_hint(unit), "_key", "left").drop("_key")
     for field, prefix in ROLES.items():
         names = {c: f"{prefix}{bare}" for c, bare in ROLE_COLUMNS.items()}
         role = territory.withColumnsRenamed({"municipio_codigo_6": "_key", **names})
         key = trimmed(field) if trim_keys else F.col(field).cast("string")
         out = out.withColumn("_key", key).join(territory_hint(role), "_key", "left").drop("_key")
-    unit = facilities.withColumnsRenamed({"cnes_codigo": "_key", **FACILITY_COLUMNS})
-    out = out.withColumn("_key", trimmed("ID_UNIDADE"))
-    return with_constants(out.join(facility_hint(unit), "_key", "left").drop("_key"), PROVENANCE)
+    roles = [f"{prefix}{bare}" for prefix in ROLES.values() for bare in ROLE_COLUMNS.values()]
+    ordered = out.select(*cases.columns, *roles, *FACILITY_COLUMNS.values())
+    return with_constants(ordered, PROVENANCE)
 
 
 def enriched_summary(enriched: DataFrame) -> DataFrame:

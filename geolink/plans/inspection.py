@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from geolink.functions.keys import has_period
 from geolink.operators.ranking import top_n
 from geolink.plans.territory import count_by_state
+from geolink.sources.files import find_inputs
 
 # Parts of column names that hint at an address or a name.
 ADDRESS_PATTERNS = ("CEP", "LOGRA", "ENDERE", "BAIR", "NUM", "COMPL", "FANT", "RAZA", "NOME")
@@ -39,18 +40,30 @@ def scan_inventory(
 
     Per group the file with the greatest name is taken, template names aside. The result has one
     row per matching column, with the column count of its file; a group without a match has one
-    row with a null column. The file is chosen after a count per file, so that only one row per
-    file and the matching columns are shuffled.
+    row with a null column. The inventory is counted per file first, so the choice of the file
+    handles one row per file. The matching columns are then inner joined with the chosen files, so
+    that either side may be broadcast or split, which a left join from the files would not allow.
     """
     dated = inventory.where(has_period(file))
-    files = dated.groupBy(group, file).agg(F.count("*").alias("n_colunas"))
-    latest = files.groupBy(group).agg(F.max_by(F.struct(file, "n_colunas"), file).alias("f")).select(
-        group, F.col(f"f.{file}").alias(file), F.col("f.n_colunas").alias("n_colunas")
+    files = dated.groupBy(group, file).agg(
+        F.count("*").alias("n_colunas"),
+        F.count_if(name_contains(column, patterns)).alias("_matches"),
+    )
+    latest = (
+        files.groupBy(group)
+        .agg(F.max_by(F.struct(file, "n_colunas", "_matches"), file).alias("f"))
+        .select(group, "f.*")
     )
     matches = dated.where(name_contains(column, patterns)).select(group, file, column, value)
-    return latest.join(matches, [group, file], "left").select(
-        group, file, "n_colunas", column, value
+    found = matches.join(latest.drop("_matches"), [group, file])
+    without = latest.where("_matches = 0").select(
+        group,
+        file,
+        "n_colunas",
+        F.lit(None).cast("string").alias(column),
+        F.lit(None).cast("string").alias(value),
     )
+    return found.select(*without.columns).unionAll(without)
 
 
 def scan_groups(
@@ -99,6 +112,15 @@ def first_rows(table: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
     return top_n(table, n, ascending=list(order))
 
 
+def inspect_latest(
+    spark: SparkSession, folder: str, order: Sequence[str], prefix: str = "", suffix: str = ".parquet"
+) -> tuple[DataFrame, DataFrame]:
+    """Facts and first rows of the Parquet file with the greatest name in a folder."""
+    path = find_inputs(spark, folder, prefix, suffix)[-1]
+    table = spark.read.parquet(path)
+    return file_facts(table, path.rsplit("/", 1)[-1]), first_rows(table, order)
+
+
 def territory_facts(territory: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Row count, rows per state in state order, and the first rows by municipality code."""
     total = territory.agg(F.count("*").alias("n"))

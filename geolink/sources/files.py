@@ -41,6 +41,25 @@ def select_files(
     return ordered.limit(cap) if cap is not None else ordered
 
 
+def find_inputs(
+    spark: SparkSession,
+    folder: str,
+    prefix: str,
+    suffix: str = ".parquet",
+    year: int | None = None,
+    month: int | None = None,
+    cap: int | None = None,
+) -> list[str]:
+    """Paths of the chosen files of a folder, in name order; none is an error.
+
+    A period in the names counts from the end of a suffix of four characters, as in ``.dbc``.
+    """
+    found = select_files(list_files(spark, folder), prefix, year, month, suffix, cap).collect()
+    if not found:
+        raise FileNotFoundError(f"no file {prefix}*{suffix} in {folder}")
+    return [row.path for row in found]
+
+
 def latest_files(files: DataFrame, group: str, suffix: str = ".dbc", name: str = "name") -> DataFrame:
     """Greatest name per group among the names that carry a period; templates do not count."""
     return (

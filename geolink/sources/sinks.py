@@ -22,9 +22,9 @@ def write_table(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_enriched(df: DataFrame, path: str) -> None:
+def write_enriched(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the enriched case table, compressed with zstd."""
-    write_table(df, path, compression="zstd")
+    write_table(df, path, compression="zstd", partition_by=partition_by)
 
 
 def _csv(writer: DataFrameWriter) -> DataFrameWriter:
