@@ -645,7 +645,7 @@ FROM territory ORDER BY municipio_codigo_7 LIMIT 20"""
         + """SELECT count(*) AS total_unidades,
   cast(sum(CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 1 ELSE 0 END) AS bigint) AS com_coordenada,
   cast(sum(CASE WHEN latitude IS NULL OR longitude IS NULL THEN 1 ELSE 0 END) AS bigint) AS sem_coordenada,
-  cast(round(100.0::double * sum(CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 1 ELSE 0 END) / count(*), 2) AS double)
+  cast(round(100.0::double * count_if(latitude IS NOT NULL AND longitude IS NOT NULL) / count(*), 2) AS double)
     AS pct_com_coordenada
 FROM minimal"""
     )

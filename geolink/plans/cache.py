@@ -14,6 +14,7 @@ from geolink.operators.stacking import stack_aligned
 from geolink.sources.sinks import append_table
 from geolink.sources.tables import read_text_csv
 
+# Columns of the cache file.
 CACHE_COLUMNS = [
     "cep_limpo",
     "latitude",

@@ -40,6 +40,7 @@ RULE_LEVELS = {
 }
 QUALITY_KEPT = "aproximado_por_cep_validado"
 
+# Output columns, in output order.
 SAMPLE_COLUMNS = [
     "cnes_codigo",
     "cod_cep",

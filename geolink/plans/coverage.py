@@ -11,6 +11,7 @@ from geolink.functions.keys import is_filled, prefix, trimmed, zero_pad
 from geolink.functions.ratios import pct
 from geolink.operators.ranking import top_n_per_group
 
+# Case fields that hold municipality codes, and the state field of each.
 MUNICIPALITY_FIELDS = ("ID_MUNICIP", "ID_MN_RESI", "ATE_MUNICI")
 STATE_PAIRS = (
     ("ID_MUNICIP", "SG_UF_NOT"),

@@ -59,6 +59,7 @@ PROVENANCE = {
     "spatial_dataset_version": "v1",
 }
 
+# Output columns, in output order.
 SAMPLE_COLUMNS = [
     "ID_MN_RESI",
     "municipio_residencia_nome",

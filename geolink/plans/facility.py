@@ -56,6 +56,7 @@ ADMINISTRATIVE_NAMES = {
     "NAT_JUR": "nat_jur",
     "COMPETEN": "competen",
 }
+# Output columns, in output order.
 LOOKUP_COLUMNS = [
     "cnes_codigo",
     "cod_cep",

@@ -38,6 +38,7 @@ QUALITIES = {
     LEVEL_STATE: "centroide_uf",
 }
 
+# Output columns, in output order.
 LOCATED_COLUMNS = [
     "cnes_codigo",
     "cod_cep",

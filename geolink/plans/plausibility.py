@@ -22,9 +22,11 @@ DOWNGRADE_KM = 100
 COLLAPSE_SIZES = (10, 25, 50)
 ISOLATED_PCT = 5.0
 
+# Names of the distance and of the downgrade flag.
 DISTANCE = "dist_km_to_expected_municipio"
 CANDIDATE = "candidate_downgrade_to_municipio"
 
+# Output columns, in output order.
 TOP_DISTANCE_COLUMNS = [
     "cnes_codigo",
     "municipio_codigo_6",

@@ -41,6 +41,7 @@ STATES = {
     "53": ("DF", "Distrito Federal"),
 }
 
+# Output columns, in output order.
 TERRITORY_COLUMNS = [
     "municipio_codigo_7",
     "municipio_codigo_6",

@@ -222,7 +222,9 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
         .selectExpr(
             "upper(g) as grupo",
             "if(o_orderkey % 1000 >= 996, concat(g, 'ufAAmm.dbc'),"
-            " concat(g, 'U', cast(o_custkey % 10 as string), date_format(o_orderdate, 'yyMM'),"
+            " concat(g, 'U', cast(o_custkey % 10 as string),"
+            " lpad(cast(year(o_orderdate) % 100 as string), 2, '0'),"
+            " lpad(cast(month(o_orderdate) as string), 2, '0'),"
             " element_at(array('.dbc', '.DBC', '.dbf'), cast(o_orderkey % 3 + 1 as int)))) as name",
         )
     )
