@@ -2,44 +2,80 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Vertices of a ring that one task handles together.
+PIECE_SIZE = 10_000
 
-def ring_edges(vertices: DataFrame, poly: str = "poly", ring: str = "ring", seq: str = "seq") -> DataFrame:
-    """Edges ``(x0, y0) -> (x1, y1)`` of rings whose ``seq`` counts up by one.
+# What an edge (x0, y0) -> (x1, y1) adds to its polygon. The cross product equals
+# x0*y1 - x1*y0, with less cancellation far from the origin.
+CROSS = "(x0 * (y1 - y0) - y0 * (x1 - x0))"
+LENGTH = "sqrt(pow(x1 - x0, 2) + pow(y1 - y0, 2))"
+EDGE_TERMS = {
+    "area2": CROSS,
+    "ax": f"(x0 + x1) * {CROSS}",
+    "ay": f"(y0 + y1) * {CROSS}",
+    "len": LENGTH,
+    "lx": f"(x0 + x1) / 2 * {LENGTH}",
+    "ly": f"(y0 + y1) / 2 * {LENGTH}",
+}
 
-    Each vertex starts one edge and ends the one before it, so an edge is a group of two rows keyed
-    by (polygon, ring, position). No window over a whole ring is needed, and a ring with very many
-    vertices is spread over all tasks. The edge back to the first vertex comes from the ends of the
-    ring; it has no length where the ring already repeats its first vertex.
+
+def _pieces(vertices: DataFrame, poly: str, ring: str, seq: str) -> DataFrame:
+    """Rings cut into pieces: the sums over the edges within, the first and the last vertex."""
+    keys = [poly, ring, "piece"]
+    following = Window.partitionBy(*keys).orderBy(seq)
+    edges = vertices.select(
+        poly,
+        ring,
+        F.floor(F.col(seq) / PIECE_SIZE).alias("piece"),
+        F.col(seq).alias("seq"),
+        F.col("x").alias("x0"),
+        F.col("y").alias("y0"),
+    ).withColumns({"x1": F.lead("x0").over(following), "y1": F.lead("y0").over(following)})
+    return edges.groupBy(*keys).agg(
+        *[F.sum(F.expr(term)).alias(name) for name, term in EDGE_TERMS.items()],
+        F.min_by("x0", "seq").alias("first_x"),
+        F.min_by("y0", "seq").alias("first_y"),
+        F.max_by("x0", "seq").alias("last_x"),
+        F.max_by("y0", "seq").alias("last_y"),
+    )
+
+
+def _rings(pieces: DataFrame, poly: str, ring: str) -> DataFrame:
+    """Sums over whole rings: within pieces, from piece to piece, and back to the first vertex.
+
+    The edge after piece ``p`` is a group of two rows keyed by (polygon, ring, ``p``): one from the
+    piece, with its last vertex, and one from the next piece, with its first. So even the pieces of
+    one ring are spread over all tasks.
     """
-    point = F.struct("x", "y")
-    end_of_previous = F.struct((F.col(seq) - 1).alias("edge"), F.lit(None).alias("a"), point.alias("b"))
-    start_of_own = F.struct(F.col(seq).alias("edge"), point.alias("a"), F.lit(None).alias("b"))
-    inner = (
-        vertices.select(poly, ring, F.inline(F.array(start_of_own, end_of_previous)))
-        .groupBy(poly, ring, "edge")
-        .agg(
-            F.max("a.x").alias("x0"),
-            F.max("a.y").alias("y0"),
-            F.max("b.x").alias("x1"),
-            F.max("b.y").alias("y1"),
+    terms = list(EDGE_TERMS)
+    own = ", ".join(f"'{t}', {t}" for t in terms)
+    absent = ", ".join(f"'{t}', cast(null as double)" for t in terms)
+    none = "cast(null as double)"
+    links = (
+        pieces.selectExpr(
+            poly,
+            ring,
+            "inline(array("
+            f"named_struct('link', piece, 'x0', last_x, 'y0', last_y, 'x1', {none}, 'y1', {none}, {own}),"
+            f"named_struct('link', piece - 1, 'x0', {none}, 'y0', {none}, 'x1', first_x, 'y1', first_y, {absent})"
+            "))",
         )
-        .where("x0 is not null and x1 is not null")
-        .select(poly, "x0", "y0", "x1", "y1")
+        .groupBy(poly, ring, "link")
+        .agg(*[F.max(c).alias(c) for c in ("x0", "y0", "x1", "y1", *terms)])
     )
-    closing = (
-        vertices.groupBy(poly, ring)
-        .agg(
-            F.max_by("x", seq).alias("x0"),
-            F.max_by("y", seq).alias("y0"),
-            F.min_by("x", seq).alias("x1"),
-            F.min_by("y", seq).alias("y1"),
-        )
-        .select(poly, "x0", "y0", "x1", "y1")
+    whole = links.groupBy(poly, ring).agg(
+        *[
+            F.sum(F.expr(f"coalesce({t}, 0d) + coalesce({EDGE_TERMS[t]}, 0d)")).alias(t)
+            for t in terms
+        ],
+        *[F.expr(f"max_by({c}, if({c} is null, null, link))").alias(c) for c in ("x0", "y0")],
+        *[F.expr(f"min_by({c}, if({c} is null, null, link))").alias(c) for c in ("x1", "y1")],
     )
-    return inner.unionAll(closing)
+    closed = [F.expr(f"{t} + {EDGE_TERMS[t]}").alias(t) for t in terms]
+    return whole.select(poly, *closed, F.col("x1").alias("px"), F.col("y1").alias("py"))
 
 
 def polygon_centroids(
@@ -47,27 +83,16 @@ def polygon_centroids(
 ) -> DataFrame:
     """One centroid ``(poly, x, y)`` per polygon on planar coordinates.
 
-    Rings add up by signed area, so holes must run the other way round than shells. A polygon
-    without area gets the centre of its outline, and one without length its only point.
+    Vertices are ordered by an integer ``seq`` that counts up along each ring; whether a ring
+    repeats its first vertex at the end makes no difference. Rings add up by signed area, so holes
+    must run the other way round than shells. A polygon without area gets the centre of its
+    outline, and one without length its only point.
     """
     if ring not in vertices.columns:
         vertices = vertices.withColumn(ring, F.lit(0))
-    # Equal to x0*y1 - x1*y0, with less cancellation far from the origin.
-    cross = F.expr("x0 * (y1 - y0) - y0 * (x1 - x0)")
-    length = F.expr("sqrt(pow(x1 - x0, 2) + pow(y1 - y0, 2))")
-    sums = (
-        ring_edges(vertices, poly, ring, seq)
-        .groupBy(poly)
-        .agg(
-            F.sum(cross).alias("area2"),
-            F.sum(F.expr("x0 + x1") * cross).alias("ax"),
-            F.sum(F.expr("y0 + y1") * cross).alias("ay"),
-            F.sum(length).alias("len"),
-            F.sum(F.expr("(x0 + x1) / 2") * length).alias("lx"),
-            F.sum(F.expr("(y0 + y1) / 2") * length).alias("ly"),
-            F.max("x0").alias("px"),
-            F.max("y0").alias("py"),
-        )
+    rings = _rings(_pieces(vertices, poly, ring, seq), poly, ring)
+    sums = rings.groupBy(poly).agg(
+        *[F.sum(t).alias(t) for t in EDGE_TERMS], F.max("px").alias("px"), F.max("py").alias("py")
     )
 
     def centre(area_sum: str, length_sum: str, point: str):

@@ -280,9 +280,22 @@ def test_centroids(spark):
     }
 
 
-def test_ring_edges_of_one_large_ring_need_no_group_of_the_ring(spark):
-    text = plan(centroid.polygon_centroids(vertices(spark, ("a", [SQUARE]))))
-    assert "Window" not in text and "collect_list" not in text
+@pytest.mark.parametrize("size", [2, 3, 7, 1000])
+def test_centroids_do_not_depend_on_the_piece_size(spark, monkeypatch, size):
+    monkeypatch.setattr(centroid, "PIECE_SIZE", size)
+    ring = [(i * i % 37, i) for i in range(12)] + [(-5 - i % 3, 12 - i) for i in range(12)]
+    shifted = [(x + 100, y - 40) for x, y in ring]
+    table = vertices(spark, ("a", [ring]), ("b", [ring, shifted]), ("square", [SQUARE]))
+    # The pieces may start anywhere in the numbering.
+    table = table.withColumn("seq", F.col("seq") - 5).repartition(3)
+    found = {r.poly: (r.x, r.y) for r in centroid.polygon_centroids(table).collect()}
+    cross = [(a[0] * b[1] - b[0] * a[1], a, b) for a, b in zip(ring, ring[1:] + ring[:1], strict=True)]
+    area2 = sum(c for c, _, _ in cross)
+    x = sum((a[0] + b[0]) * c for c, a, b in cross) / (3 * area2)
+    y = sum((a[1] + b[1]) * c for c, a, b in cross) / (3 * area2)
+    assert found["a"] == pytest.approx((x, y))
+    assert found["b"] == pytest.approx((x + 50, y - 20))
+    assert found["square"] == pytest.approx((2, 2))
 
 
 def test_stage_table_cuts_lineage(spark):
