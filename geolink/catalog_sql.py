@@ -40,7 +40,8 @@ cases AS (
 
 REGISTRY = """
 registry AS (
-  SELECT lpad(cast(c_custkey AS varchar), 7, '0') AS CNES,
+  SELECT CASE WHEN c_custkey % 7 = 0 THEN concat('X', cast(c_custkey AS varchar))
+              ELSE lpad(cast(c_custkey AS varchar), 7, '0') END AS CNES,
          CASE WHEN part_no = 1 AND c_custkey % 4 = 0 THEN ' ' WHEN c_custkey % 53 = 0 THEN '000000'
               WHEN c_custkey % 31 = 0 THEN concat(uf_codigo, '9999')
               ELSE municipio_codigo_6 END AS CODUFMUN,
@@ -50,18 +51,18 @@ registry AS (
          lpad(cast(c_custkey % 20 AS varchar), 2, '0') AS TP_UNID, c_mktsegment AS NAT_JUR,
          c_custkey * 10 + part_no AS ord
   FROM customer JOIN places ON c_nationkey = n_nationkey
-  CROSS JOIN (SELECT 1 AS part_no UNION ALL SELECT 2) p
-  WHERE c_custkey % 7 <> 0)"""
+  CROSS JOIN (SELECT 1 AS part_no UNION ALL SELECT 2) p)"""
 
 CACHE = """
 cache AS (
-  SELECT concat(lpad(cast(10000 + k % 700 AS varchar), 5, '0'), lpad(cast(k % 2 AS varchar), 3, '0')) AS cep_limpo,
+  SELECT CASE WHEN k % 9 = 0 THEN concat('X', cast(k AS varchar))
+              ELSE concat(lpad(cast(10000 + k % 700 AS varchar), 5, '0'), lpad(cast(k % 2 AS varchar), 3, '0')) END AS cep_limpo,
          CASE WHEN k % 10 = 0 THEN NULL WHEN k % 3 = 0 THEN cast(-15.803258 AS double)
               ELSE centroide_lat + cast(0.03 AS double) * (k % 50 - 25) END AS latitude,
          CASE WHEN k % 10 = 0 THEN NULL WHEN k % 3 = 0 THEN cast(-47.885477 AS double) ELSE centroide_lon END AS longitude,
          CASE WHEN k % 10 = 0 THEN 'False' ELSE 'True' END AS geocode_success, k AS seq
   FROM (SELECT c_custkey AS k, centroide_lat, centroide_lon
-        FROM customer JOIN places ON c_nationkey = n_nationkey WHERE c_custkey % 9 <> 0) t)"""
+        FROM customer JOIN places ON c_nationkey = n_nationkey) t)"""
 
 RESULTS = """
 results AS (
@@ -278,10 +279,10 @@ TERRITORY = (
     MESH
     + f""",
 payloads AS (
-  SELECT concat('[{{"id":', code, ',"nome":', CASE WHEN c_custkey % 10 = 1 THEN 'null'
+  SELECT concat('[{{"id":', CASE WHEN c_custkey % 8 = 0 THEN concat('98', cast(c_custkey AS varchar)) ELSE code END, ',"nome":', CASE WHEN c_custkey % 10 = 1 THEN 'null'
            ELSE concat('"N', cast(c_custkey AS varchar), '"') END, '}},{{"id":99', cast(c_custkey AS varchar),
            ',"nome":"fora"}}]') AS payload
-  FROM holders WHERE c_custkey % 8 <> 0),
+  FROM holders),
 official AS (
   SELECT cast(item.id AS varchar) AS code7, item.nome AS nome
   FROM (SELECT unnest(from_json(payload, '[{{"id":"BIGINT","nome":"VARCHAR"}}]')) AS item FROM payloads) t),
