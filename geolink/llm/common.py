@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Bounds of one Arrow batch: rows, and bytes where the running Spark honours them.
 BATCH_ROWS = 1000
@@ -18,12 +22,61 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="geolink-code-")) / f"{root.name}-code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema) -> DataFrame:
     """``mapInArrow`` over batches that are bounded, so that a task holds few long texts at once.
 
     The bounds are session settings; they change no result.
     """
+    ship_package(df.sparkSession)
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
+
+
+#: The key under which an operator finds a text again. Rows with one key have one text.
+KEY = ["text_id", "text_version"]
+KEY_TYPES = "text_id bigint, text_version int"
+
+
+def keyed_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """Texts as bytes in ``text`` under the key; a row without an id is known by its text alone."""
+    text = F.col(f"`{text_col}`")
+    return docs.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-1)).alias("text_id"),
+        F.hash(text).alias("text_version"),
+        text.cast("binary").alias("text"),
+        *more,
+    )
+
+
+def packed(docs: DataFrame, text_col: str) -> Column:
+    """All columns but the text as one struct ``row``, so that no name of theirs can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+
+
+def unpacked(df: DataFrame, docs: DataFrame, text_col: str, text: str) -> DataFrame:
+    """The columns of ``docs`` in their order, with column ``text`` in place of the old text."""
+    return df.select(
+        *[
+            F.col(text).alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
+            for c in docs.columns
+        ]
+    )

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geolink.llm import bpe, substrings
+import corpus_pipeline
+from geolink.llm import bpe, decontam, simhash, substrings, toxicity
 from geolink.llm.common import table
 
 
@@ -18,8 +19,32 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.repeat_digests(table(spark, folder, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination_digests(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.severities(docs, toxicity.train(docs, table(spark, folder, "labels")))
+
+
+def op8_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.component_table(table(spark, folder, "documents"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_byte_bpe, op2_substring_dedup]
+    found = [
+        op1_byte_bpe,
+        op2_substring_dedup,
+        op5_decontamination,
+        op7_toxicity,
+        op8_simhash_dedup,
+        pipeline,
+    ]
     return {q.__name__: q for q in found}
 
 

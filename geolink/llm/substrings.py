@@ -29,28 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geolink.llm.common import Batches, map_batches
+from geolink.llm.common import KEY, KEY_TYPES, Batches, keyed_texts, map_batches, packed, unpacked
 from geolink.llm.winnow import BASES, SequenceHash, hash_words, spans, split_words
 from geolink.operators.staging import stage_table
 
 WINDOW = 35
 GRAM = 8
 
-KEY = ["text_id", "text_version"]
-KEY_TYPES = "text_id bigint, text_version int"
-
-
-def _keyed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
-    """Texts as bytes under a key; rows with the same key have the same text."""
-    text = F.col(f"`{text_col}`")
-    return docs.select(
-        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-1)).alias("text_id"),
-        F.hash(text).alias("text_version"),
-        text.cast("binary").alias("text"),
-        *more,
-    )
-
-
 def _seeds(window: int, gram: int):
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -119,7 +104,7 @@ def repeated_ranges(
 
     A range is a struct of the ``first`` and ``last`` start of a run; runs may touch or overlap.
     """
-    texts = _keyed(docs, id_col, text_col).filter("text is not null")
+    texts = keyed_texts(docs, id_col, text_col).filter("text is not null")
     seeds = map_batches(
         texts,
         _seeds(window, gram),
@@ -182,7 +167,7 @@ def _kept_words(found: list[bytes], cut: np.ndarray) -> bytes:
 
 def _with_ranges(docs: DataFrame, window, gram, id_col, text_col, *more) -> DataFrame:
     ranges = repeated_ranges(docs, window, gram, id_col, text_col)
-    return _keyed(docs, id_col, text_col, *more).join(ranges, KEY, "left")
+    return keyed_texts(docs, id_col, text_col, *more).join(ranges, KEY, "left")
 
 
 def repeat_digests(
@@ -234,30 +219,15 @@ def remove_repeats(
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            texts = [
-                _kept_words(found, cut).decode() if cut.any() else text and text.decode()
-                for text, found, cut in _cuts(batch, window)
-            ]
             kept = [
-                text if text is not None or old is None else ""
-                for text, old in zip(texts, batch["text"].to_pylist(), strict=True)
+                _kept_words(found, cut) if cut.any() else text
+                for text, found, cut in _cuts(batch, window)
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array([_text(t) for t in kept], pa.string())], names=["row", "kept"]
+                [batch["row"], pa.array(kept, pa.binary()).cast(pa.string())], names=["row", "kept"]
             )
 
-    rest = [c for c in docs.columns if c != text_col]
-    row = F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row")
-    joined = _with_ranges(docs, window, gram, id_col, text_col, row).select("row", "text", "ranges")
+    joined = _with_ranges(docs, window, gram, id_col, text_col, packed(docs, text_col))
+    joined = joined.select("row", "text", "ranges")
     schema = f"row {joined.schema['row'].dataType.simpleString()}, kept string"
-    out = map_batches(joined, run, schema)
-    return out.select(
-        *[
-            F.col("kept").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
-            for c in docs.columns
-        ]
-    )
-
-
-def _text(value: bytes | str | None) -> str | None:
-    return value.decode() if isinstance(value, bytes) else value
+    return unpacked(map_batches(joined, run, schema), docs, text_col, "kept")
