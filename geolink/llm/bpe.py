@@ -31,7 +31,7 @@ from geolink.llm.common import Batches, map_batches
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of a worker's memories: runs between spaces, pieces, and short runs of bytes or pairs of
 #: tokens. A full one starts anew.
-UNITS = 500_000
+UNITS = 200_000
 PIECES = 200_000
 MEMORY = 400_000
 #: Runs of so many bytes are merged directly; longer ones are halved.
@@ -53,17 +53,19 @@ class Encoder:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.apart: dict[tuple[bytes, bytes], bool] = {}
-        self.merged: dict[bytes, list[bytes]] = {}
+        self.merged: dict[bytes, tuple[bytes, ...]] = {}
+        # One object for each token, so that what is remembered stays small.
+        self.same = {token: token for token in ranks}.__getitem__
 
-    def merge(self, data: bytes) -> list[bytes]:
+    def merge(self, data: bytes) -> tuple[bytes, ...]:
         """Tokens of a run of bytes, merged pair by pair: the lowest rank, then the left."""
         if len(data) > 32:
-            return self._merge_long(data)
+            return tuple(self._merge_long(data))
         known = self.merged.get(data)
         if known is None:
             if len(self.merged) >= MEMORY:
                 self.merged.clear()
-            known = self.merged[data] = self._merge_short(data)
+            known = self.merged[data] = tuple(map(self.same, self._merge_short(data)))
         return known
 
     def _merge_short(self, data: bytes) -> list[bytes]:
@@ -118,10 +120,10 @@ class Encoder:
         if known is None:
             if len(self.apart) >= MEMORY:
                 self.apart.clear()
-            known = self.apart[a, b] = self.merge(a + b) == [a, b]
+            known = self.apart[self.same(a), self.same(b)] = self.merge(a + b) == (a, b)
         return known
 
-    def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
+    def join(self, left: tuple[bytes, ...], right: tuple[bytes, ...]) -> tuple[bytes, ...]:
         """The encoding of two neighbouring encodings."""
         if not left or not right or self.stay_apart(left[-1], right[0]):
             return left + right
@@ -135,7 +137,7 @@ class Encoder:
             i = i if free_left else min(2 * i, len(left))
             j = j if free_right else min(2 * j, len(right))
 
-    def tree(self, data: bytes) -> list[bytes]:
+    def tree(self, data: bytes) -> tuple[bytes, ...]:
         """Tokens of one piece: halves joined up the tree."""
         if len(data) <= LEAF:
             return self.merge(data)
@@ -183,8 +185,11 @@ class Units(dict):
     def __missing__(self, unit: str) -> tuple[int, ...]:
         if not unit or WHITE(unit[0]) or WHITE(unit[-1]):
             raise Refused
-        pieces = map(self.pieces.__getitem__, self.split(" " + unit))
-        ids = tuple(chain.from_iterable(pieces))
+        pieces = self.split(" " + unit)
+        if len(pieces) == 1:
+            ids = self.pieces[pieces[0]]
+        else:
+            ids = tuple(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
         if len(self) >= UNITS:
             self.clear()
         self[unit] = ids

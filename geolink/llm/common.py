@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -12,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bounds of one Arrow batch: rows, and bytes where the running Spark honours them.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 BATCH_BYTES = 16 * 1024 * 1024
 
 Batches = Iterator[pa.RecordBatch]
@@ -22,6 +25,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _give_back_memory() -> None:
+    """At a task's end, return what the worker holds but does not use to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only this C library has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 _shipped: set[str] = set()
 
 
@@ -45,10 +56,17 @@ def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema) -
     The bounds are session settings; they change no result.
     """
     ship_package(df.sparkSession)
+
+    def run(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            _give_back_memory()
+
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 #: The key under which an operator finds a text again. Rows with one key have one text.

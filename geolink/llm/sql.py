@@ -10,7 +10,7 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _words(text: str, separators: str) -> str:
-    return f"list_filter(string_split_regex(coalesce({text}, ''), '{separators}'), x -> x <> '')"
+    return f"list_filter(string_split_regex(coalesce({text}, ''), '{separators}'), lambda x: x <> '')"
 
 
 def substring_dedup_sql() -> str:

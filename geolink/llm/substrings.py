@@ -90,7 +90,9 @@ def _windows(window: int):
 
 
 def _repeated(df: DataFrame, *key: str) -> DataFrame:
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("places")).filter("places > 1").select(*key)
+    """Keys with several rows, staged: a join with a table can split the rows of a frequent key."""
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("places"))
+    return stage_table(counted.filter("places > 1").select(*key), "repeated")
 
 
 def repeated_ranges(

@@ -24,7 +24,7 @@ from geolink.llm.common import Batches, map_batches, packed, unpacked
 from geolink.llm.decontam import words
 
 #: Labelled rows that the model is fitted on, and the longest text among them.
-SAMPLE = 8000
+SAMPLE = 4000
 SAMPLE_BYTES = 100_000
 #: Words of the model: those whose log odds ratio is so many standard errors from zero, and of them
 #: the most telling ``WORDS``.
