@@ -24,8 +24,9 @@ from geolink.plans import (
     plausibility,
     territory,
 )
+from geolink.sources import dictionary as dictionary_source
 from geolink.sources import files, payload, sinks
-from geolink.sources.tables import read_text_csv
+from geolink.sources.tables import read_table_in_order, read_text_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +87,10 @@ def q_enriched_validation(spark, d):
 
 
 def q_enriched_sample(spark, d):
-    sample = enrich.enriched_sample(enriched(spark, d), "case_id")
+    units = staging.stage_table(rebuilt(spark, d), "facilities")
+    sample = enrich.first_enriched(
+        standins.cases(spark, d), standins.territory(spark, d), units, "case_id"
+    )
     return round6(sample, "unidade_latitude", "unidade_longitude")
 
 
@@ -272,9 +276,8 @@ def _orders_by_status(spark, d):
 
 
 def q_stack(spark, d):
-    return stacking.stack_strict(_orders_by_status(spark, d)).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
-    )
+    day = F.col("o_orderdate").cast("date")
+    return stacking.stack_strict(_orders_by_status(spark, d)).withColumn("o_orderdate", day)
 
 
 def q_stack_aligned(spark, d):
@@ -286,6 +289,28 @@ def q_stack_aligned(spark, d):
     )
 
 
+def q_aligned_files(spark, d):
+    """Parts with different columns, written apart and read as one table in order."""
+    filled, opened, rest = (
+        f.select("o_orderkey", "o_custkey", "o_orderpriority") for f in _orders_by_status(spark, d)
+    )
+    paths = []
+    for part in (filled.drop("o_orderpriority"), opened.drop("o_custkey"), rest):
+        paths.append(staging.stage_path(spark, "part"))
+        sinks.write_table(part, paths[-1])
+    return read_table_in_order(spark, *paths).drop("ord")
+
+
+def q_results_log(spark, d):
+    """Batches of results, appended one by one and read back: the last row per key."""
+    out = staging.stage_path(spark, "results")
+    results = standins.new_results(spark, d)
+    cache.append_results(results, out, 1)
+    again = results.where("seq % 5 = 0").withColumn("latitude", F.col("latitude") + 1)
+    cache.append_results(again, out, 2)
+    return cache.read_results(spark, out, ["seq"])
+
+
 def q_schema_scan(spark, d):
     return inspection.scan_inventory(standins.column_inventory(spark, d))
 
@@ -300,7 +325,20 @@ def q_first_rows(spark, d):
 
 
 def q_load_summary(spark, d):
-    return dictionary.load_summary(standins.cases(spark, d))
+    """Cases next to a dictionary that is written from the parts and loaded again."""
+    out = staging.stage_path(spark, "dictionary")
+    entry = F.struct("name", F.create_map(F.lit("label"), F.col("name")))
+    names = standins.declared_columns(spark, d)
+    described = F.map_from_entries(F.collect_list(F.when(F.col("name").startswith("QT"), entry)))
+    external = F.collect_list(F.when(~F.col("name").startswith("QT"), F.col("name")))
+    document = F.struct(
+        described.alias("variables"), external.alias("external_lookup_variables")
+    )
+    names.agg(F.to_json(document).alias("value")).write.text(out)
+    counts = dictionary_source.variable_counts(
+        dictionary_source.read_document(spark, out, kind="json")
+    )
+    return dictionary.load_summary(standins.cases(spark, d), *counts)
 
 
 def q_roundtrip_csv(spark, d):
@@ -308,16 +346,14 @@ def q_roundtrip_csv(spark, d):
     out = staging.stage_path(spark, "csv")
     cases = standins.cases(spark, d).withColumn("case_id", F.col("case_id").cast("string"))
     sinks.write_csv(cases, out)
-    names = ["case_id", "ID_MN_RESI", "SG_UF", "ID_UNIDADE", "NOT_THERE"]
-    return read_text_csv(spark, out, names)
+    return read_text_csv(spark, out, [*cases.columns, "NOT_THERE"])
 
 
 def q_roundtrip_parquet(spark, d):
-    """Cases written as zstd Parquet and counted per state from the written table."""
+    """Cases written as zstd Parquet and read back."""
     out = staging.stage_path(spark, "parquet")
     sinks.write_table(standins.cases(spark, d), out, compression="zstd")
-    back = spark.read.parquet(out)
-    return back.select("case_id", "ID_MN_RESI", "ID_MUNICIP", "SG_UF_NOT")
+    return spark.read.parquet(out)
 
 
 def q_roundtrip_json(spark, d):

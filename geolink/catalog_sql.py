@@ -45,7 +45,8 @@ registry AS (
          CASE WHEN part_no = 1 AND c_custkey % 4 = 0 THEN ' ' WHEN c_custkey % 53 = 0 THEN '000000'
               WHEN c_custkey % 31 = 0 THEN concat(uf_codigo, '9999')
               ELSE municipio_codigo_6 END AS CODUFMUN,
-         CASE WHEN part_no = 1 AND c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 29 = 0 THEN '00000000'
+         CASE WHEN part_no = 1 AND c_custkey % 3 = 0 THEN NULL WHEN part_no = 1 AND c_custkey % 5 = 0 THEN chr(9)
+              WHEN c_custkey % 29 = 0 THEN '00000000'
               ELSE concat(lpad(cast(10000 + c_custkey % 700 AS varchar), 5, '0'), '-',
                           lpad(cast(c_custkey % 2 AS varchar), 3, '0')) END AS COD_CEP,
          lpad(cast(c_custkey % 20 AS varchar), 2, '0') AS TP_UNID, c_mktsegment AS NAT_JUR,
@@ -55,7 +56,7 @@ registry AS (
 
 CACHE = """
 cache AS (
-  SELECT CASE WHEN k % 9 = 0 THEN concat('X', cast(k AS varchar))
+  SELECT CASE WHEN k % 700 % 9 = 0 THEN concat('X', cast(k AS varchar))
               ELSE concat(lpad(cast(10000 + k % 700 AS varchar), 5, '0'), lpad(cast(k % 2 AS varchar), 3, '0')) END AS cep_limpo,
          CASE WHEN k % 10 = 0 THEN NULL WHEN k % 3 = 0 THEN cast(-15.803258 AS double)
               ELSE centroide_lat + cast(0.03 AS double) * (k % 50 - 25) END AS latitude,
@@ -79,7 +80,7 @@ case_keys AS (
 
 
 def _first(column: str) -> str:
-    return f"arg_min({column}, ord) FILTER (WHERE trim(coalesce({column}, '')) <> '') AS {column}"
+    return f"arg_min({column}, ord) FILTER (WHERE regexp_matches({column}, '[^ \t-\r]')) AS {column}"
 
 
 CONSOLIDATED = f"""
@@ -252,12 +253,13 @@ MESH = (
     PLACES
     + """,
 holders AS (
-  SELECT c.*, p.uf_codigo, concat(p.uf_codigo, CASE WHEN c_custkey < 100000
-           THEN lpad(cast(c_custkey AS varchar), 5, '0') ELSE cast(c_custkey AS varchar) END) AS code
+  SELECT c.*, p.uf_codigo, concat(p.uf_codigo, lpad(cast(c_custkey % 100000 AS varchar), 5, '0')) AS code
   FROM customer c JOIN places p ON c_nationkey = n_nationkey),
 vertices AS (
-  SELECT concat(code, CASE WHEN c_custkey % 17 = 0 THEN 'X' ELSE '' END) AS poly, ring, seq,
-         cast(c_custkey % 1000 * 100 + dx AS double) AS x, cast(c_custkey % 300 * 50 + dy AS double) AS y
+  SELECT concat(code, CASE WHEN c_custkey % 17 = 0 THEN 'X' ELSE '' END) AS poly,
+         c_custkey // 100000 * 2 + ring AS ring, seq,
+         cast(-70 AS double) + cast(0.03 AS double) * (c_custkey % 1000) + cast(0.0002 AS double) * dx AS x,
+         cast(-30 AS double) + cast(0.1 AS double) * (c_custkey % 300) + cast(0.0002 AS double) * dy AS y
   FROM holders CROSS JOIN (
     SELECT 0 AS ring, 0 AS seq, 0 AS dx, 0 AS dy UNION ALL SELECT 0, 1, 40, 0 UNION ALL SELECT 0, 2, 50, 30
     UNION ALL SELECT 0, 3, 20, 45 UNION ALL SELECT 0, 4, -10, 25 UNION ALL SELECT 1, 0, 10, 10
@@ -268,9 +270,15 @@ edges AS (
          coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1
   FROM vertices WINDOW w AS (PARTITION BY poly, ring ORDER BY seq)),
 centroids AS (
-  SELECT poly, sum((x + x1) * (x * y1 - x1 * y)) / (3 * sum(x * y1 - x1 * y)) AS x,
-         sum((y + y1) * (x * y1 - x1 * y)) / (3 * sum(x * y1 - x1 * y)) AS y
-  FROM edges GROUP BY poly)"""
+  SELECT poly, sum((x + x1) * (x * (y1 - y) - y * (x1 - x))) / (3 * sum(x * (y1 - y) - y * (x1 - x))) AS x,
+         sum((y + y1) * (x * (y1 - y) - y * (x1 - x))) / (3 * sum(x * (y1 - y) - y * (x1 - x))) AS y
+  FROM edges GROUP BY poly),
+flat AS (SELECT poly, x, x1, degrees(sin(radians(y))) AS y, degrees(sin(radians(y1))) AS y1 FROM edges),
+degree_centroids AS (
+  SELECT poly, sum((x + x1) * (x * (y1 - y) - y * (x1 - x))) / (3 * sum(x * (y1 - y) - y * (x1 - x))) AS lon,
+         degrees(asin(radians(sum((y + y1) * (x * (y1 - y) - y * (x1 - x)))
+                              / (3 * sum(x * (y1 - y) - y * (x1 - x)))))) AS lat
+  FROM flat GROUP BY poly)"""
 )
 
 _STATE_ROWS = ", ".join(f"('{k}', '{v[0]}', '{v[1]}')" for k, v in STATES.items())
@@ -279,7 +287,7 @@ TERRITORY = (
     MESH
     + f""",
 payloads AS (
-  SELECT concat('[{{"id":', CASE WHEN c_custkey % 8 = 0 THEN concat('98', cast(c_custkey AS varchar)) ELSE code END, ',"nome":', CASE WHEN c_custkey % 10 = 1 THEN 'null'
+  SELECT concat('[{{"id":', CASE WHEN c_custkey % 8 = 0 OR c_custkey >= 100000 THEN concat('98', cast(c_custkey AS varchar)) ELSE code END, ',"nome":', CASE WHEN c_custkey % 10 = 1 THEN 'null'
            ELSE concat('"N', cast(c_custkey AS varchar), '"') END, '}},{{"id":99', cast(c_custkey AS varchar),
            ',"nome":"fora"}}]') AS payload
   FROM holders),
@@ -290,13 +298,13 @@ territory AS (
   SELECT m.cd AS municipio_codigo_7, substr(m.cd, 1, length(m.cd) - 1) AS municipio_codigo_6,
          coalesce(o.nome, m.nm) AS municipio_nome, substr(m.cd, 1, 2) AS uf_codigo,
          coalesce(m.sigla, u.sigla) AS uf_sigla, u.nome AS uf_nome,
-         c.x AS centroide_lon, c.y AS centroide_lat, m.area AS area_km2
+         c.lon AS centroide_lon, c.lat AS centroide_lat, m.area AS area_km2
   FROM (SELECT concat(code, CASE WHEN c_custkey % 17 = 0 THEN 'X' ELSE '' END) AS cd,
-               concat('M', cast(c_custkey AS varchar)) AS nm,
-               CASE WHEN c_custkey % 6 <> 0 THEN concat('S', uf_codigo) END AS sigla,
-               cast(0.5 AS double) * c_custkey AS area FROM holders) m
+               concat('M', cast(min(c_custkey) AS varchar)) AS nm,
+               CASE WHEN min(c_custkey) % 6 <> 0 THEN concat('S', any_value(uf_codigo)) END AS sigla,
+               cast(0.5 AS double) * max(c_custkey) AS area FROM holders GROUP BY cd) m
   JOIN official o ON m.cd = o.code7
-  LEFT JOIN centroids c ON c.poly = m.cd
+  LEFT JOIN degree_centroids c ON c.poly = m.cd
   LEFT JOIN (VALUES {_STATE_ROWS}) u(code, sigla, nome) ON u.code = substr(m.cd, 1, 2)
   WHERE regexp_matches(m.cd, '^[0-9]{{7}}$'))"""
 )
@@ -705,8 +713,17 @@ WITH payloads AS (
                 cast(event_id AS varchar), ',"nome":null}]') AS payload FROM events)
 SELECT cast(item.id AS varchar) AS municipio_codigo_7, item.nome AS municipio_nome_api
 FROM (SELECT unnest(from_json(payload, '[{"id":"BIGINT","nome":"VARCHAR"}]')) AS item FROM payloads) t"""
-    sql["q_stack"] = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders"
-    sql["q_stack_aligned"] = """
+    sql["q_stack"] = "SELECT * REPLACE (cast(o_orderdate AS date) AS o_orderdate) FROM orders"
+    sql["q_results_log"] = (
+        _with(RESULTS)
+        + """, log AS (
+  SELECT cep_limpo, latitude, longitude, geocode_success = 'True' AS geocode_success, seq,
+         cast(1 AS bigint) AS batch FROM results
+  UNION ALL SELECT cep_limpo, latitude + 1, longitude, geocode_success = 'True', seq, 2 FROM results
+  WHERE seq % 5 = 0)
+SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY cep_limpo ORDER BY batch DESC, seq DESC) = 1"""
+    )
+    sql["q_aligned_files"] = sql["q_stack_aligned"] = """
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_custkey END AS o_custkey,
        CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"""
     sql["q_schema_scan"] = (
@@ -728,21 +745,28 @@ SELECT 'lineitem' AS file, count(*) AS n_rows, cast(11 AS bigint) AS n_columns,
     )
     sql["q_load_summary"] = (
         _with(CASES)
-        + ", totals AS (SELECT count(*) AS n FROM cases)\n"
+        + """, declared AS (
+  SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN concat('QT_', cast(p_partkey % 50 AS varchar))
+         WHEN 1 THEN concat('NOME_', cast(p_partkey % 70 AS varchar))
+         ELSE concat('DT_', cast(p_size AS varchar)) END AS name FROM part),
+totals AS (SELECT (SELECT count(*) FROM cases) AS n,
+  (SELECT count(*) FROM declared WHERE starts_with(name, 'QT')) AS described,
+  (SELECT count(*) FROM declared WHERE NOT starts_with(name, 'QT')) AS external)
+"""
         + _union(
             _metric("load", "rows", "n"),
             _metric("load", "columns", "8"),
-            _metric("load", "described_variables", "0"),
-            _metric("load", "external_variables", "0"),
+            _metric("load", "described_variables", "described"),
+            _metric("load", "external_variables", "external"),
         )
     )
     sql["q_roundtrip_csv"] = (
         _with(CASES)
-        + """SELECT cast(case_id AS varchar) AS case_id, ID_MN_RESI, SG_UF, ID_UNIDADE, CAST(NULL AS varchar) AS NOT_THERE
+        + """SELECT * REPLACE (cast(case_id AS varchar) AS case_id), CAST(NULL AS varchar) AS NOT_THERE
 FROM cases"""
     )
     sql["q_roundtrip_parquet"] = (
-        _with(CASES) + "SELECT case_id, ID_MN_RESI, ID_MUNICIP, SG_UF_NOT FROM cases"
+        _with(CASES) + "SELECT * FROM cases"
     )
     sql["q_projection_rules"] = (
         _with(PLACES, REGISTRY)

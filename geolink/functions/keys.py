@@ -111,10 +111,6 @@ def finite(c: Column | str) -> Column:
     return F.when(~F.isnan(col), col)
 
 
-def first_known(*cs: Column | str) -> Column:
-    return F.coalesce(*[_col(c) for c in cs])
-
-
 def ladder(default: str | None, *steps: tuple[Column, str]) -> Column:
     """Ordered masks over a default, each later mask overriding the earlier ones."""
     return reduce(
@@ -157,19 +153,22 @@ def name_matches(name: Column | str, start: str, end: str) -> Column:
     return F.upper(col).startswith(start.upper()) & F.lower(col).endswith(end.lower())
 
 
-def name_year(name: Column | str) -> Column:
-    """Two-digit year of a name that ends in ``yymm`` and a four-character suffix."""
-    return F.substring(_col(name), -8, 2)
+def name_year(name: Column | str, suffix: str = ".dbc") -> Column:
+    """Two-digit year of a name that ends in ``yymm`` and the suffix."""
+    return F.substring(_col(name), -4 - len(suffix), 2)
+
 
+def name_month(name: Column | str, suffix: str = ".dbc") -> Column:
+    """Two-digit month of a name that ends in ``yymm`` and the suffix."""
+    return F.substring(_col(name), -2 - len(suffix), 2)
 
-def name_month(name: Column | str) -> Column:
-    """Two-digit month of a name that ends in ``yymm`` and a four-character suffix."""
-    return F.substring(_col(name), -6, 2)
 
+def has_period(name: Column | str, suffix: str = ".dbc", digits: int = 4) -> Column:
+    """True for names with digits where the year and month belong; templates have letters there.
 
-def has_period(name: Column | str) -> Column:
-    """True for names with digits where the year and month belong; templates have letters there."""
-    return _col(name).rlike("[0-9]{4}.{4}$")
+    The length of the suffix counts, not its letters. Yearly files have two ``digits``.
+    """
+    return _col(name).rlike(f"[0-9]{{{digits}}}.{{{len(suffix)}}}$")
 
 
 def is_variable_name(c: Column | str) -> Column:

@@ -11,19 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from geolink.operators.ranking import order_columns
-from geolink.operators.stacking import stack_aligned
+from geolink.operators.stacking import require_same_schema, stack_aligned
 from geolink.plans import cache as cache_plans
 from geolink.plans import (
     conservative,
     coverage,
     enrich,
     facility,
+    inspection,
     locate,
     plausibility,
     territory,
 )
 from geolink.plans.cases import write_cases
-from geolink.plans.dictionary import audit_table_schema
+from geolink.plans.dictionary import audit_table_schema, dictionary_from_cells, load_summary
 from geolink.sources import dictionary as dictionary_source
 from geolink.sources import sinks, tables
 from geolink.sources.files import find_inputs
@@ -36,9 +37,40 @@ CASE_PREFIX = "MENIBR"
 def stack_cases(
     spark: SparkSession, folder: str, out: str, prefix: str = CASE_PREFIX, suffix: str = ".parquet"
 ) -> int:
-    """Consolidate the yearly case files of a folder, in name order, and return the row count."""
-    yearly = [spark.read.parquet(p) for p in find_inputs(spark, folder, prefix, suffix)]
-    return write_cases(yearly, out)
+    """Consolidate the yearly case files of a folder and return the row count.
+
+    The files must agree in schema, which their footers tell; all are then one scan.
+    """
+    paths = find_inputs(spark, folder, prefix, suffix)
+    schemas = [spark.read.parquet(p).schema for p in paths]
+    require_same_schema(schemas)
+    return write_cases([spark.read.schema(schemas[0]).parquet(*paths)], out)
+
+
+def load_report(spark: SparkSession, cases: str, dictionary: str, out: str) -> None:
+    """Summarise the case table next to its dictionary."""
+    document = dictionary_source.read_document(spark, dictionary)
+    described, external = dictionary_source.variable_counts(document)
+    sinks.write_metrics(load_summary(spark.read.parquet(cases), described, external), out)
+
+
+def extract_dictionary(spark: SparkSession, cells: str, out: str) -> None:
+    """Write the variables found in the table rows of documents as JSON."""
+    sinks.write_json(dictionary_from_cells(spark.read.parquet(cells)), out)
+
+
+def scan_schemas(
+    spark: SparkSession, folder: str, groups: Sequence[str], out: str, suffix: str = ".parquet"
+) -> None:
+    """Scan the latest file of each group for address columns."""
+    sinks.write_metrics(inspection.scan_folder(spark, folder, groups, suffix), out)
+
+
+def inspect_territory(spark: SparkSession, territory_path: str, out: str) -> None:
+    """Size of the territory lookup, its rows per state and its first rows."""
+    facts = inspection.territory_facts(spark.read.parquet(territory_path))
+    for name, table in zip(("total", "per_state", "first_rows"), facts, strict=True):
+        sinks.write_metrics(table, f"{out}/{name}")
 
 
 def audit_schema(spark: SparkSession, cases: str, dictionary: str, out: str) -> None:
@@ -78,6 +110,21 @@ def build_facilities(
     sinks.write_table(lookup, out, sort_by=["cnes_codigo"])
 
 
+def build_facilities_of_period(
+    spark: SparkSession,
+    folder: str,
+    year: int,
+    month: int,
+    cases: str,
+    out: str,
+    prefix: str = "ST",
+    suffix: str = ".parquet",
+) -> None:
+    """Build the facility lookup from the registry files of one period, which also names it."""
+    paths = find_inputs(spark, folder, prefix, suffix, year, month)
+    build_facilities(spark, paths, cases, out, f"{year:04d}-{month:02d}")
+
+
 def diagnose_facilities(
     spark: SparkSession, registry_paths: Sequence[str], cases: str, out: str
 ) -> None:
@@ -106,6 +153,19 @@ def postal_work_list(
     fresh.write.mode("overwrite").parquet(out)
 
 
+def apply_results(spark: SparkSession, cache_csv: str, results: str, out: str) -> None:
+    """Write the cache with the saved results of its work-list: a new CSV, the next cache.
+
+    Per postal code the last row wins, and results come after the cache. The old cache is only
+    read, so that a failed run loses nothing.
+    """
+    if out.rstrip("/") == cache_csv.rstrip("/"):
+        raise ValueError("the new cache needs a path of its own")
+    found = cache_plans.read_results(spark, results).drop("batch")
+    updated = cache_plans.upsert_cache(cache_plans.load_cache(spark, cache_csv), found, order=[])
+    sinks.write_csv(cache_plans.as_cache(updated), out)
+
+
 def locate_facilities(
     spark: SparkSession, facilities: str, cache_csv: str, territory_path: str, out: str
 ) -> None:

@@ -43,39 +43,22 @@ def _pieces(vertices: DataFrame, poly: str, ring: str, seq: str) -> DataFrame:
     )
 
 
-def _rings(pieces: DataFrame, poly: str, ring: str) -> DataFrame:
-    """Sums over whole rings: within pieces, from piece to piece, and back to the first vertex.
+def _joined_pieces(pieces: DataFrame, poly: str, ring: str) -> DataFrame:
+    """Sums of each piece and the edge from its last vertex to the next piece that there is.
 
-    The edge after piece ``p`` is a group of two rows keyed by (polygon, ring, ``p``): one from the
-    piece, with its last vertex, and one from the next piece, with its first. So even the pieces of
-    one ring are spread over all tasks.
+    The last piece of a ring is joined to the first. The window holds one row for each piece, so
+    one for up to ``PIECE_SIZE`` vertices.
     """
-    terms = list(EDGE_TERMS)
-    own = ", ".join(f"'{t}', {t}" for t in terms)
-    absent = ", ".join(f"'{t}', cast(null as double)" for t in terms)
-    none = "cast(null as double)"
-    links = (
-        pieces.selectExpr(
-            poly,
-            ring,
-            "inline(array("
-            f"named_struct('link', piece, 'x0', last_x, 'y0', last_y, 'x1', {none}, 'y1', {none}, {own}),"
-            f"named_struct('link', piece - 1, 'x0', {none}, 'y0', {none}, 'x1', first_x, 'y1', first_y, {absent})"
-            "))",
-        )
-        .groupBy(poly, ring, "link")
-        .agg(*[F.max(c).alias(c) for c in ("x0", "y0", "x1", "y1", *terms)])
-    )
-    whole = links.groupBy(poly, ring).agg(
-        *[
-            F.sum(F.expr(f"coalesce({t}, 0d) + coalesce({EDGE_TERMS[t]}, 0d)")).alias(t)
-            for t in terms
-        ],
-        *[F.expr(f"max_by({c}, if({c} is null, null, link))").alias(c) for c in ("x0", "y0")],
-        *[F.expr(f"min_by({c}, if({c} is null, null, link))").alias(c) for c in ("x1", "y1")],
-    )
-    closed = [F.expr(f"{t} + {EDGE_TERMS[t]}").alias(t) for t in terms]
-    return whole.select(poly, *closed, F.col("x1").alias("px"), F.col("y1").alias("py"))
+    along = Window.partitionBy(poly, ring).orderBy("piece")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = {
+        f"{axis}1": F.coalesce(F.lead(f"first_{axis}").over(along), F.first(f"first_{axis}").over(whole))
+        for axis in ("x", "y")
+    }
+    starts = {"px": F.first("first_x").over(whole), "py": F.first("first_y").over(whole)}
+    joined = pieces.withColumns({**ends, **starts, "x0": F.col("last_x"), "y0": F.col("last_y")})
+    terms = [F.expr(f"coalesce({t}, 0d) + {edge}").alias(t) for t, edge in EDGE_TERMS.items()]
+    return joined.select(poly, *terms, "px", "py")
 
 
 def polygon_centroids(
@@ -83,15 +66,15 @@ def polygon_centroids(
 ) -> DataFrame:
     """One centroid ``(poly, x, y)`` per polygon on planar coordinates.
 
-    Vertices are ordered by an integer ``seq`` that counts up along each ring; whether a ring
-    repeats its first vertex at the end makes no difference. Rings add up by signed area, so holes
+    Vertices are ordered by an integer ``seq`` that rises along each ring, with gaps of any size;
+    whether a ring repeats its first vertex at the end makes no difference. Rings add up by signed area, so holes
     must run the other way round than shells. A polygon without area gets the centre of its
     outline, and one without length its only point.
     """
     if ring not in vertices.columns:
         vertices = vertices.withColumn(ring, F.lit(0))
-    rings = _rings(_pieces(vertices, poly, ring, seq), poly, ring)
-    sums = rings.groupBy(poly).agg(
+    pieces = _joined_pieces(_pieces(vertices, poly, ring, seq), poly, ring)
+    sums = pieces.groupBy(poly).agg(
         *[F.sum(t).alias(t) for t in EDGE_TERMS], F.max("px").alias("px"), F.max("py").alias("py")
     )
 

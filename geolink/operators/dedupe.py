@@ -7,17 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geolink.functions.keys import is_filled
+from geolink.functions.keys import or_empty, stripped
 
 
 def first_filled_per_key(df: DataFrame, key: str, ordinal: Column | str) -> DataFrame:
     """First non-blank value of every column per key, column by column, in ordinal order.
 
-    A column without such a value is null. Aggregated map-side: each task sends one row per key.
+    Spaces, tabs and line ends are blanks. A column without such a value is null. Aggregated map-side: each task sends one row per key.
     """
     ordinal = F.col(ordinal) if isinstance(ordinal, str) else ordinal
     picks = [
-        F.min_by(F.col(c), F.when(is_filled(c), ordinal)).alias(c) for c in df.columns if c != key
+        F.min_by(F.col(c), F.when(or_empty(stripped(c)) != "", ordinal)).alias(c)
+        for c in df.columns
+        if c != key
     ]
     return df.groupBy(key).agg(*picks)
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _require_frames(frames: Sequence[DataFrame]) -> None:
@@ -14,17 +15,21 @@ def _require_frames(frames: Sequence[DataFrame]) -> None:
         raise ValueError("no input tables to stack")
 
 
-def stack_strict(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union all by name; every table must have the same columns with the same types."""
-    _require_frames(frames)
-    first = {f.name: f.dataType for f in frames[0].schema.fields}
-    for i, frame in enumerate(frames[1:], start=1):
-        other = {f.name: f.dataType for f in frame.schema.fields}
+def require_same_schema(schemas: Sequence[StructType]) -> None:
+    """Fail unless all schemas have the same columns with the same types, in any order."""
+    first, *others = [{f.name: f.dataType for f in schema.fields} for schema in schemas]
+    for i, other in enumerate(others, start=1):
         if other != first:
             differing = sorted(
                 c for c in first.keys() | other.keys() if first.get(c) != other.get(c)
             )
             raise ValueError(f"table {i} differs from table 0 in columns {differing}")
+
+
+def stack_strict(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union all by name; every table must have the same columns with the same types."""
+    _require_frames(frames)
+    require_same_schema([f.schema for f in frames])
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -83,3 +83,14 @@ def append_results(results: DataFrame, path: str, batch: int) -> None:
 def read_results(spark: SparkSession, path: str, order: Sequence[str] = ()) -> DataFrame:
     """All saved batches, the last row per key."""
     return keep_last(spark.read.parquet(path), ["cep_limpo"], "batch", *order)
+
+
+def as_cache(cache: DataFrame) -> DataFrame:
+    """The columns of the cache file, as text; what is absent is empty."""
+    present = set(cache.columns)
+    return cache.select(
+        *[
+            (F.col(c) if c in present else F.lit(None)).cast("string").alias(c)
+            for c in CACHE_COLUMNS
+        ]
+    )

@@ -141,3 +141,11 @@ def enriched_summary(enriched: DataFrame) -> DataFrame:
 def enriched_sample(enriched: DataFrame, key: str, n: int = 10) -> DataFrame:
     """The first rows by ``key``, with the columns that show the links."""
     return top_n(enriched.select(key, *SAMPLE_COLUMNS), n, ascending=[key])
+
+
+def first_enriched(
+    cases: DataFrame, territory: DataFrame, facilities: DataFrame, key: str, n: int = 10
+) -> DataFrame:
+    """``enriched_sample`` of cases that are not enriched yet: the joins keep rows, so these come first."""
+    first = top_n(cases, n, ascending=[key])
+    return enriched_sample(enrich_cases(first, territory, facilities), key, n)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from geolink.functions.keys import has_period
 from geolink.operators.ranking import top_n
 from geolink.plans.territory import count_by_state
-from geolink.sources.files import find_inputs
+from geolink.sources.files import latest_paths
 
 # Parts of column names that hint at an address or a name.
 ADDRESS_PATTERNS = ("CEP", "LOGRA", "ENDERE", "BAIR", "NUM", "COMPL", "FANT", "RAZA", "NOME")
@@ -68,7 +68,7 @@ def scan_inventory(
 
 def scan_groups(
     spark: SparkSession,
-    latest_paths: Mapping[str, str],
+    chosen: Mapping[str, str],
     patterns: Sequence[str] = ADDRESS_PATTERNS,
 ) -> DataFrame:
     """Scan the chosen file of each group: column count, matching columns and their first values.
@@ -76,7 +76,7 @@ def scan_groups(
     Column names come from the footers, and the first record is one row per group.
     """
     frames = []
-    for group, path in latest_paths.items():
+    for group, path in chosen.items():
         table = spark.read.parquet(path)
         names = matching_columns(table, patterns)
         pairs = [
@@ -97,6 +97,20 @@ def scan_groups(
     return reduce(DataFrame.unionByName, frames)
 
 
+def scan_folder(
+    spark: SparkSession,
+    folder: str,
+    groups: Sequence[str],
+    suffix: str = ".parquet",
+    patterns: Sequence[str] = ADDRESS_PATTERNS,
+) -> DataFrame:
+    """Scan the latest file of each group in a folder; see ``scan_groups``."""
+    chosen = latest_paths(spark, folder, groups, suffix)
+    if not chosen:
+        raise FileNotFoundError(f"no file of {list(groups)} with a period in {folder}")
+    return scan_groups(spark, chosen, patterns)
+
+
 def file_facts(table: DataFrame, label: str) -> DataFrame:
     """Row count and column names of one table: ``(file, n_rows, n_columns, columns)``."""
     return table.agg(F.count("*").alias("n_rows")).select(
@@ -115,8 +129,14 @@ def first_rows(table: DataFrame, order: Sequence[str], n: int = 3) -> DataFrame:
 def inspect_latest(
     spark: SparkSession, folder: str, order: Sequence[str], prefix: str = "", suffix: str = ".parquet"
 ) -> tuple[DataFrame, DataFrame]:
-    """Facts and first rows of the Parquet file with the greatest name in a folder."""
-    path = find_inputs(spark, folder, prefix, suffix)[-1]
+    """Facts and first rows of the latest Parquet file in a folder, monthly or yearly.
+
+    Templates do not count.
+    """
+    found = latest_paths(spark, folder, [prefix], suffix, digits=2)
+    if not found:
+        raise FileNotFoundError(f"no file {prefix}*{suffix} with a period in {folder}")
+    path = found[prefix]
     table = spark.read.parquet(path)
     return file_facts(table, path.rsplit("/", 1)[-1]), first_rows(table, order)
 

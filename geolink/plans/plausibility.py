@@ -104,18 +104,25 @@ def top_distances(audited: DataFrame, n: int = 500) -> DataFrame:
 
 def repeated_coordinates(audited: DataFrame) -> DataFrame:
     """Facilities, municipalities and states per rounded point, with one level as an example."""
-    level = F.col("spatial_resolution_final")
-    return (
-        audited.where("has_coord")
-        .groupBy("lat_round6", "lon_round6")
-        .agg(
-            F.count("cnes_codigo").alias("n_cnes"),
-            F.countDistinct("municipio_codigo_6").alias("n_municipios"),
-            F.countDistinct("uf_codigo").alias("n_ufs"),
-            F.min_by(level, F.when(level.isNotNull(), F.col("cnes_codigo"))).alias(
-                "example_spatial_resolution"
-            ),
-        )
+    point, level = ["lat_round6", "lon_round6"], F.col("spatial_resolution_final")
+    example = F.min(F.when(level.isNotNull(), F.struct("cnes_codigo", level.alias("level"))))
+
+    def grouped(df: DataFrame, *keys: str, **more: Column) -> DataFrame:
+        sums = [F.sum("n_cnes").alias("n_cnes"), F.min("example").alias("example")]
+        return df.groupBy(*point, *keys).agg(*sums, *[c.alias(n) for n, c in more.items()])
+
+    # Distinct counts level by level: each is a count of the rows of the level below, where a plain
+    # count of distinct values would multiply every row.
+    places = audited.where("has_coord").groupBy(*point, "uf_codigo", "municipio_codigo_6")
+    places = places.agg(F.count("cnes_codigo").alias("n_cnes"), example.alias("example"))
+    towns = grouped(places, "municipio_codigo_6", **{"uf": F.collect_set("uf_codigo")})
+    one = grouped(towns, n_municipios=F.count("municipio_codigo_6"), ufs=F.collect_set("uf"))
+    return one.select(
+        *point,
+        "n_cnes",
+        "n_municipios",
+        F.size(F.array_distinct(F.flatten("ufs"))).cast("long").alias("n_ufs"),
+        F.col("example.level").alias("example_spatial_resolution"),
     )
 
 

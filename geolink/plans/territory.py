@@ -74,16 +74,32 @@ def read_mesh(mesh: DataFrame) -> DataFrame:
     ).where(is_municipality7("municipio_codigo_7"))
 
 
+def degree_centroids(vertices: DataFrame, poly: str) -> DataFrame:
+    """``centroide_lon, centroide_lat`` of polygons whose vertices are longitudes and latitudes.
+
+    The centroid is taken in the cylindrical equal-area projection, in which longitudes stay and
+    latitudes become their sines, and brought back. Vertices that are no degrees are an error.
+    """
+    in_range = F.col("x").between(-180, 180) & F.col("y").between(-90, 90)
+    message = F.lit("polygon vertices must be longitudes and latitudes in degrees")
+    flat = F.degrees(F.sin(F.radians("y")))
+    checked = F.when(in_range | F.col("x").isNull() | F.col("y").isNull(), flat)
+    projected = vertices.withColumn("y", checked.otherwise(F.raise_error(message).cast("double")))
+    return polygon_centroids(projected, poly=poly).select(
+        poly,
+        F.col("x").alias("centroide_lon"),
+        F.degrees(F.asin(F.radians("y"))).alias("centroide_lat"),
+    )
+
+
 def territory_lookup(mesh: DataFrame, official: DataFrame, vertices: DataFrame) -> DataFrame:
     """Territory lookup of the municipalities that the official list has.
 
-    ``vertices`` are the mesh polygons in planar coordinates, keyed by the seven-digit code. All
+    ``vertices`` are the mesh polygons, x and y in degrees, keyed by the seven-digit code. All
     three inputs meet on that code, so each is shuffled at most once.
     """
     code = "municipio_codigo_7"
-    centroids = polygon_centroids(vertices.withColumnRenamed("poly", code), poly=code).select(
-        code, F.col("x").alias("centroide_lon"), F.col("y").alias("centroide_lat")
-    )
+    centroids = degree_centroids(vertices.withColumnRenamed("poly", code), code)
     state = prefix(code, 2)
     out = (
         read_mesh(mesh)

@@ -18,10 +18,13 @@ VARIABLE_SCHEMA = (
 )
 
 
-def read_document(spark: SparkSession, path: str) -> dict:
-    """A dictionary document from YAML or JSON. It describes columns, so it is small by nature."""
+def read_document(spark: SparkSession, path: str, kind: str | None = None) -> dict:
+    """A dictionary document from YAML or JSON. It describes columns, so it is small by nature.
+
+    Without a ``kind`` the end of the path tells which.
+    """
     text = spark.read.text(path, wholetext=True).first()[0]
-    if path.endswith(".json"):
+    if (kind or path.rsplit(".", 1)[-1]) == "json":
         return json.loads(text)
     if yaml is None:
         raise RuntimeError("reading a YAML dictionary needs PyYAML; JSON works without it")
@@ -55,3 +58,8 @@ def declared_names(spark: SparkSession, document: Mapping) -> DataFrame:
     """Every name the document declares, described or external, once."""
     described = variable_table(spark, document).select("name")
     return described.unionAll(external_names(spark, document)).distinct()
+
+
+def variable_counts(document: Mapping) -> tuple[int, int]:
+    """How many variables a document describes, and how many it leaves to external lookups."""
+    return len(document.get("variables", {})), len(document.get("external_lookup_variables", []))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,9 +36,9 @@ def select_files(
     """
     chosen = files.where(name_matches(name, prefix, suffix))
     if year is not None:
-        chosen = chosen.where(name_year(name) == f"{year % 100:02d}")
+        chosen = chosen.where(name_year(name, suffix) == f"{year % 100:02d}")
     if month is not None:
-        chosen = chosen.where(name_month(name) == f"{month:02d}")
+        chosen = chosen.where(name_month(name, suffix) == f"{month:02d}")
     ordered = chosen.orderBy(F.col(name).asc_nulls_last())
     return ordered.limit(cap) if cap is not None else ordered
 
@@ -50,20 +52,38 @@ def find_inputs(
     month: int | None = None,
     cap: int | None = None,
 ) -> list[str]:
-    """Paths of the chosen files of a folder, in name order; none is an error.
-
-    A period in the names counts from the end of a suffix of four characters, as in ``.dbc``.
-    """
+    """Paths of the chosen files of a folder, in name order; none is an error."""
     found = select_files(list_files(spark, folder), prefix, year, month, suffix, cap).collect()
     if not found:
         raise FileNotFoundError(f"no file {prefix}*{suffix} in {folder}")
     return [row.path for row in found]
 
 
-def latest_files(files: DataFrame, group: str, suffix: str = ".dbc", name: str = "name") -> DataFrame:
+def latest_files(
+    files: DataFrame, group: str, suffix: str = ".dbc", name: str = "name", digits: int = 4
+) -> DataFrame:
     """Greatest name per group among the names that carry a period; templates do not count."""
     return (
-        files.where(F.lower(F.col(name)).endswith(suffix.lower()) & has_period(name))
+        files.where(F.lower(F.col(name)).endswith(suffix.lower()) & has_period(name, suffix, digits))
         .groupBy(group)
         .agg(F.max(name).alias(name))
     )
+
+
+def latest_paths(
+    spark: SparkSession,
+    folder: str,
+    groups: Sequence[str],
+    suffix: str = ".parquet",
+    digits: int = 4,
+) -> dict[str, str]:
+    """Path of the latest file of each group, whose names begin with the group; templates aside.
+
+    Groups without a file are left out.
+    """
+    files = list_files(spark, folder)
+    group = F.coalesce(*[F.when(name_matches("name", g, suffix), F.lit(g)) for g in groups])
+    grouped = files.withColumn("group", group).where(F.col("group").isNotNull())
+    latest = latest_files(grouped, "group", suffix, digits=digits)
+    found = grouped.join(latest, ["group", "name"]).groupBy("group").agg(F.max("path").alias("path"))
+    return {row["group"]: row["path"] for row in found.collect()}

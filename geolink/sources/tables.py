@@ -10,25 +10,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def read_aligned(spark: SparkSession, *paths: str) -> DataFrame:
+    """One Parquet table from one or many paths, with every column that any file has.
+
+    Columns are aligned by name, null where a file lacks them; one name with two types is an error.
+    The footers are read by a job, and the plan is one scan, however many files there are.
+    """
+    return spark.read.option("mergeSchema", True).parquet(*paths)
+
+
 def read_table(spark: SparkSession, *paths: str, columns: Sequence[str] | None = None) -> DataFrame:
     """One Parquet table from one or many paths; an absent path raises at once."""
-    df = spark.read.parquet(*paths)
+    df = read_aligned(spark, *paths)
     return df.select(*columns) if columns else df
 
 
 def read_table_in_order(spark: SparkSession, *paths: str, ordinal: str = "ord") -> DataFrame:
     """A Parquet table with the position of each row: file name, then row in the file.
 
-    First-wins rules need the position, since a distributed scan has no order of its own.
+    First-wins rules need the position, since a distributed scan has no order of its own. Columns
+    that only some files have are kept, see ``read_aligned``.
     """
-    df = spark.read.parquet(*paths)
+    df = read_aligned(spark, *paths)
     position = F.struct("_metadata.file_name", "_metadata.row_index", "_metadata.file_path")
     return df.select("*", position.alias(ordinal))
 
 
 def column_names(spark: SparkSession, *paths: str) -> list[str]:
     """Column names from the file footers alone."""
-    return spark.read.parquet(*paths).columns
+    return read_aligned(spark, *paths).columns
 
 
 def count_rows(spark: SparkSession, *paths: str) -> int:

@@ -97,6 +97,7 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
             " when c_custkey % 31 = 0 then concat(uf_codigo, '9999')"
             " else municipio_codigo_6 end as CODUFMUN",
             "case when part_no = 1 and c_custkey % 3 = 0 then null"
+            " when part_no = 1 and c_custkey % 5 = 0 then '\t'"
             " when c_custkey % 29 = 0 then '00000000'"
             " else concat(lpad(cast(10000 + c_custkey % 700 as string), 5, '0'), '-',"
             " lpad(cast(c_custkey % 2 as string), 3, '0')) end as COD_CEP",
@@ -108,11 +109,14 @@ def registry(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cache(spark: SparkSession, d: str) -> DataFrame:
-    """Geocode cache: repeated, failed and unused keys, and one point that a third shares."""
+    """Geocode cache: repeated, failed and unused keys, and one point that a third shares.
+
+    One postal code in nine is not cached, however many facilities have it.
+    """
     return (
         customers(spark, d)
         .selectExpr(
-            "if(c_custkey % 9 = 0, concat('X', cast(c_custkey as string)),"
+            "if(c_custkey % 700 % 9 = 0, concat('X', cast(c_custkey as string)),"
             " concat(lpad(cast(10000 + c_custkey % 700 as string), 5, '0'),"
             " lpad(cast(c_custkey % 2 as string), 3, '0'))) as cep_limpo",
             "case when c_custkey % 10 = 0 then null when c_custkey % 3 = 0 then -15.803258d"
@@ -155,33 +159,38 @@ def coordinate_registry(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-# Seven-digit codes for the first hundred thousand customers of a state, longer ones beyond.
-MESH_CODE = (
-    "concat(uf_codigo, if(c_custkey < 100000, lpad(cast(c_custkey as string), 5, '0'),"
-    " cast(c_custkey as string)))"
-)
+# Seven digits at any size: beyond a hundred thousand, customers of a state share municipalities.
+MESH_CODE = "concat(uf_codigo, lpad(cast(c_custkey % 100000 as string), 5, '0'))"
 
 
 def mesh(spark: SparkSession, d: str) -> DataFrame:
-    """Mesh attributes: one municipality per customer, some with codes that are no codes."""
-    return customers(spark, d).selectExpr(
+    """Mesh attributes: a municipality per customer or more, some with codes that are no codes."""
+    parts = customers(spark, d).selectExpr(
         f"concat({MESH_CODE}, if(c_custkey % 17 = 0, 'X', '')) as cd_mun",
         "concat('M', cast(c_custkey as string)) as NM_MUN",
         "if(c_custkey % 6 <> 0, concat('S', uf_codigo), null) as SIGLA_UF",
         "0.5d * c_custkey as AREA_KM2",
+        "c_custkey",
+    )
+    return parts.groupBy("cd_mun").agg(
+        *[F.min_by(c, "c_custkey").alias(c) for c in ("NM_MUN", "SIGLA_UF")],
+        F.max("AREA_KM2").alias("AREA_KM2"),
     )
 
 
 def mesh_vertices(spark: SparkSession, d: str) -> DataFrame:
-    """Planar pentagons per mesh municipality; one in five has a triangular hole."""
+    """Pentagons in degrees per customer of a municipality; one in five has a triangular hole.
+
+    The vertices are numbered with gaps, most of them larger than a piece of a ring.
+    """
     shell = [(0, 0), (40, 0), (50, 30), (20, 45), (-10, 25)]
     hole = [(10, 10), (10, 20), (20, 10)]
 
     def ring(number: int, points) -> str:
         return ", ".join(
-            f"named_struct('ring', {number}, 'seq', {i},"
-            f" 'x', cast(c_custkey % 1000 * 100 + {dx} as double),"
-            f" 'y', cast(c_custkey % 300 * 50 + {dy} as double))"
+            f"named_struct('ring', c_custkey div 100000 * 2 + {number}, 'seq', {i} * (c_custkey % 7) * 9001 + {i},"
+            f" 'x', -70d + 0.03d * (c_custkey % 1000) + 0.0002d * {dx},"
+            f" 'y', -30d + 0.1d * (c_custkey % 300) + 0.0002d * {dy})"
             for i, (dx, dy) in enumerate(points)
         )
 
@@ -198,7 +207,7 @@ def official_payloads(spark: SparkSession, d: str) -> DataFrame:
     return (
         customers(spark, d)
         .selectExpr(
-            f"""concat('[{{"id":', if(c_custkey % 8 = 0, concat('98', cast(c_custkey as string)),
+            f"""concat('[{{"id":', if(c_custkey % 8 = 0 or c_custkey >= 100000, concat('98', cast(c_custkey as string)),
                 {MESH_CODE}), ',"nome":', {name}, '}},{{"id":99',
                 cast(c_custkey as string), ',"nome":"fora"}}]') as payload"""
         )

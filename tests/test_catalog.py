@@ -3,7 +3,9 @@
 import pytest
 from oracle import connect, differences
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from geolink.catalog import queries
+from geolink.catalog_sql import oracle_sql
 
 FOLDER = "/root/testdata/sf0.001"
 

@@ -118,3 +118,63 @@ def test_inspect_latest(spark, root):
     assert facts.first().file == "MENIBR08.parquet" and first.count() == 3
     with pytest.raises(FileNotFoundError):
         inspection.inspect_latest(spark, f"{root}/raw", ["case_id"], "NONE")
+
+
+def test_cache_cycle(spark, tmp_path):
+    """Work-list, results in batches, and a new cache in which they are."""
+    from geolink.plans import cache as cache_plans
+
+    units = spark.createDataFrame([("10000000",), ("20000000",), ("30000000",)], "cep_limpo string")
+    units.write.parquet(f"{tmp_path}/units")
+    old = spark.createDataFrame([("10000000", "1.5", "2.5", "True")], "cep_limpo string, latitude string, longitude string, geocode_success string")
+    old.toPandas().to_csv(f"{tmp_path}/cache.csv", index=False)
+    jobs.postal_work_list(spark, f"{tmp_path}/units", f"{tmp_path}/cache.csv", f"{tmp_path}/work")
+    wanted = [r.cep_limpo for r in spark.read.parquet(f"{tmp_path}/work").collect()]
+    assert wanted == ["20000000", "30000000"]
+    schema = "cep_limpo string, latitude double, longitude double, geocode_success boolean"
+    first = spark.createDataFrame([("20000000", 3.0, 4.0, True), ("30000000", None, None, False)], schema)
+    cache_plans.append_results(first, f"{tmp_path}/results", 1)
+    again = spark.createDataFrame([("30000000", 5.0, 6.0, True), ("10000000", 7.0, 8.0, True)], schema)
+    cache_plans.append_results(again, f"{tmp_path}/results", 2)
+    jobs.apply_results(spark, f"{tmp_path}/cache.csv", f"{tmp_path}/results", f"{tmp_path}/next")
+    rows = cache_plans.load_cache(spark, f"{tmp_path}/next").collect()
+    assert sorted((r.cep_limpo, float(r.latitude), r.geocode_success) for r in rows) == [
+        ("10000000", 7.0, "True"),
+        ("20000000", 3.0, "True"),
+        ("30000000", 5.0, "True"),
+    ]
+    jobs.postal_work_list(spark, f"{tmp_path}/units", f"{tmp_path}/next", f"{tmp_path}/work2")
+    assert spark.read.parquet(f"{tmp_path}/work2").count() == 0
+    with pytest.raises(ValueError, match="path of its own"):
+        jobs.apply_results(spark, f"{tmp_path}/next", f"{tmp_path}/results", f"{tmp_path}/next/")
+
+
+def test_registry_of_a_period_with_columns_of_the_second_file_only(spark, root, tmp_path):
+    import pandas as pd
+
+    folder = tmp_path / "registry"
+    folder.mkdir()
+    pd.DataFrame({"CNES": ["0000001"], "TP_UNID": ["05"]}).to_parquet(folder / "STAA2601.parquet")
+    pd.DataFrame({"CNES": ["0000001"], "COD_CEP": ["12345678"]}).to_parquet(folder / "STBB2601.parquet")
+    pd.DataFrame({"CNES": ["0000001"], "COD_CEP": ["99999999"]}).to_parquet(folder / "STBB2512.parquet")
+    spark.createDataFrame([("0000001",)], "ID_UNIDADE string").write.parquet(f"{tmp_path}/cases")
+    jobs.build_facilities_of_period(spark, str(folder), 2026, 1, f"{tmp_path}/cases", f"{tmp_path}/units")
+    row = spark.read.parquet(f"{tmp_path}/units").first()
+    assert (row.tp_unid, row.cep_limpo, row.cnes_competencia) == ("05", "12345678", "2026-01")
+    jobs.scan_schemas(spark, str(folder), ["ST"], f"{tmp_path}/scan")
+    scanned = spark.read.option("header", True).csv(f"{tmp_path}/scan").collect()
+    assert [(r.arquivo, r.coluna, r.primeiro) for r in scanned] == [("STBB2601.parquet", "COD_CEP", "12345678")]
+
+
+def test_reports(spark, root, tmp_path):
+    (tmp_path / "dictionary.json").write_text('{"variables": {"A": {}, "B": {}}, "external_lookup_variables": ["C"]}')
+    standins.cases(spark, FOLDER).limit(5).write.parquet(f"{tmp_path}/cases")
+    jobs.load_report(spark, f"{tmp_path}/cases", f"{tmp_path}/dictionary.json", f"{tmp_path}/load")
+    found = metrics(spark, tmp_path / "load")
+    assert found["load", "described_variables"] == 2 and found["load", "external_variables"] == 1
+    jobs.inspect_territory(spark, f"{root}/territory", f"{tmp_path}/territory")
+    total = spark.read.option("header", True).csv(f"{tmp_path}/territory/total").first()
+    assert int(total.n) == standins.territory(spark, FOLDER).count()
+    standins.dictionary_rows(spark, FOLDER).write.parquet(f"{tmp_path}/cells")
+    jobs.extract_dictionary(spark, f"{tmp_path}/cells", f"{tmp_path}/variables")
+    assert spark.read.json(f"{tmp_path}/variables").count() > 0

@@ -303,3 +303,18 @@ def test_stage_table_cuts_lineage(spark):
     staged = staging.stage_table(df, "test")
     assert rows(staged) == rows(df)
     assert "FileScan parquet" in plan(staged) and "Range" not in plan(staged)
+
+
+@pytest.mark.parametrize("step", [1, 10, 9_999, 10_001, 20_000, 10**9])
+def test_centroids_with_gaps_in_the_numbering(spark, step):
+    corners = [(0, 0), (4, 0), (4, 2), (0, 2)]
+    rows = [(1, i * step, float(x), float(y)) for i, (x, y) in enumerate(corners)]
+    table = spark.createDataFrame(rows, "poly int, seq long, x double, y double")
+    row = centroid.polygon_centroids(table).first()
+    assert (row.x, row.y) == pytest.approx((2, 1))
+
+
+def test_first_filled_passes_over_tabs(spark):
+    rows = [("k", "\t", 1), ("k", " \n", 2), ("k", "77", 3)]
+    table = spark.createDataFrame(rows, "key string, code string, ord int")
+    assert dedupe.first_filled_per_key(table, "key", "ord").first().code == "77"

@@ -475,9 +475,12 @@ def test_territory_lookup(spark):
     assert set(found) == {"1100015", "1200013"}
     a, b = found["1100015"], found["1200013"]
     assert (a.municipio_nome, a.municipio_codigo_6, a.uf_codigo, a.uf_nome) == ("Official", "110001", "11", "Rondônia")
-    assert (a.centroide_lon, a.centroide_lat) == (1.0, 1.0)
+    assert (a.centroide_lon, a.centroide_lat) == pytest.approx((1.0, 1.0), abs=1e-3)
     assert (b.municipio_nome, b.uf_sigla, b.centroide_lat) == ("Other", "AC", None)
     assert "area_km2" not in territory.territory_lookup(mesh, official, vertices).columns
+    planar = vertices.withColumn("x", F.col("x") * 1000)
+    with pytest.raises(Exception, match="in degrees"):
+        territory.territory_lookup(mesh, official, planar).collect()
     with pytest.raises(ValueError, match="NM_MUN"):
         territory.territory_lookup(mesh.drop("Nm_Mun"), official, vertices)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geolink.operators.staging import shared_folder
 from geolink.plans import cases as case_plans
+from geolink.plans import inspection
 from geolink.sources import dictionary, files, payload, sinks, tables
 
 NAMES = [
@@ -184,3 +185,35 @@ def test_shared_folder_setting_wins(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Bare())
+
+
+def test_columns_of_later_files_are_kept(spark, tmp_path):
+    spark.createDataFrame([("a", "1")], "CNES string, TP_UNID string").write.parquet(f"{tmp_path}/x1")
+    spark.createDataFrame([("b", "9")], "CNES string, COD_CEP string").write.parquet(f"{tmp_path}/x2")
+    table = tables.read_table_in_order(spark, f"{tmp_path}/x1", f"{tmp_path}/x2")
+    rows = sorted(tuple(r) for r in table.select("CNES", "TP_UNID", "COD_CEP").collect())
+    assert rows == [("a", "1", None), ("b", None, "9")]
+    spark.createDataFrame([(1, "9")], "CNES int, COD_CEP string").write.parquet(f"{tmp_path}/x3")
+    with pytest.raises(Exception, match="(?i)merg"):
+        tables.read_aligned(spark, f"{tmp_path}/x1", f"{tmp_path}/x3")
+
+
+def test_latest_files_leave_templates_out(spark, tmp_path):
+    import pandas as pd
+
+    for name, year in (("STSP2512", 25), ("STSP2601", 26), ("STufAAmm", 0), ("EPSP2401", 24)):
+        pd.DataFrame({"COD_CEP": [str(year)], "N": [year]}).to_parquet(f"{tmp_path}/{name}.parquet")
+    found = files.latest_paths(spark, str(tmp_path), ["ST", "EP", "PF"])
+    assert {g: p.rsplit("/", 1)[-1] for g, p in found.items()} == {
+        "ST": "STSP2601.parquet",
+        "EP": "EPSP2401.parquet",
+    }
+    paths = files.find_inputs(spark, str(tmp_path), "ST", ".parquet", 2026, 1)
+    assert [p.rsplit("/", 1)[-1] for p in paths] == ["STSP2601.parquet"]
+    facts, _ = inspection.inspect_latest(spark, str(tmp_path), ["N"], "ST")
+    assert facts.first().file == "STSP2601.parquet"
+    scan = inspection.scan_folder(spark, str(tmp_path), ["ST", "EP", "PF"])
+    assert sorted((r.grupo, r.coluna, r.primeiro) for r in scan.collect()) == [
+        ("EP", "COD_CEP", "24"),
+        ("ST", "COD_CEP", "26"),
+    ]
