@@ -10,12 +10,13 @@ Four errors over four segments leave one of two cases:
 * A segment is free of errors. Then there is one whose successor, in the circle of segments, has at
   most two. Keys: each segment as it is, with each codeword of the next (28 bits).
 * Every segment has one error. Keys: each pair of codewords of the first two segments, with either
-  half of the third, one of which is free of errors (32 bits).
+  half of the third, one of which is free of errors (32 bits). Here it is enough if one side is
+  filed under the codewords of its own segments, and the other looks for all of its nearby ones.
 
-Distinct fingerprints that share a key are compared, and verified by their distance. Equal
-fingerprints are one node from the start, however many documents have them. Keys that few have
-cost little; the holders of a frequent key are dealt out to pairs of blocks, so that each group is
-bounded and each two meet. A task gives back stars, not pairs.
+Distinct fingerprints that share a key, under which one of them is filed, are compared and verified
+by their distance. Equal fingerprints are one node from the start, however many documents have them.
+Keys that one node has alone end there; the holders of a frequent key are dealt out to pairs of
+blocks, so that each group is bounded and each two meet. A task gives back stars, not pairs.
 
 A text of no words has the fingerprint zero and is linked like any other; null counts as no words.
 """
@@ -118,16 +119,18 @@ def _leaders() -> tuple[np.ndarray, np.ndarray]:
 def near_codewords(words: np.ndarray) -> np.ndarray:
     """For each word of 23 bits the indices of its nearby codewords, filled up with -1.
 
-    They are what the word and those with one bit flipped decode to. An index is the codeword's
-    leading twelve bits.
+    They are what the word, first, and those with one bit flipped decode to. An index is the
+    codeword's leading twelve bits.
     """
     remainder, leader = _leaders()
     flips = np.array([0, *(1 << i for i in range(23))], np.uint32)
     near = words.astype(np.uint32)[:, None] ^ flips
-    found = np.sort(((near ^ leader[remainder[near]]) >> np.uint32(11)).astype(np.int64), axis=1)
-    found[:, 1:][found[:, 1:] == found[:, :-1]] = 1 << 12
-    found = np.sort(found, axis=1)[:, :6]
-    return np.where(found < 1 << 12, found, -1)
+    found = ((near ^ leader[remainder[near]]) >> np.uint32(11)).astype(np.int64)
+    others = np.sort(found[:, 1:], axis=1)
+    again = others == found[:, :1]
+    again[:, 1:] |= others[:, 1:] == others[:, :-1]
+    others = np.sort(np.where(again, 1 << 12, others), axis=1)[:, :5]
+    return np.concatenate([found[:, :1], np.where(others < 1 << 12, others, -1)], axis=1)
 
 
 @lru_cache(1)
@@ -137,38 +140,54 @@ def codewords() -> np.ndarray:
 
 
 def _pairs_of(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """All pairs of codeword indices of two segments, in 24 bits; -1 where there is none."""
+    """All pairs of codeword indices of two segments, in 24 bits; -1 where there is none.
+
+    The first pair is that of the words' own codewords.
+    """
     a, b = first[:, :, None], second[:, None, :]
     return np.where((a >= 0) & (b >= 0), (a << 12) | b, -1).reshape(len(first), -1)
 
 
-def keys_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of fingerprints: the position of the fingerprint, and the key."""
+def keys_of(fingerprints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of fingerprints: the position of the fingerprint, the key, and whether it is filed there."""
     table = codewords()
     segments = [
         ((fingerprints.view(np.uint64) >> np.uint64(16 * i)) & np.uint64(0xFFFF)).astype(np.int64)
         for i in range(4)
     ]
     codes = [table[s] for s in segments]
-    all_keys = []
+    all_keys, filed = [], []
     for i in range(4):
         code = codes[(i + 1) % 4]
         key = (i << 32) | (segments[i][:, None] << 12) | code
         all_keys.append(np.where(code >= 0, key, -1))
+        filed.append(np.ones(code.shape, bool))
     pairs = _pairs_of(codes[0], codes[1])
     for half in range(2):
         part = (segments[2] >> (8 * half)) & 0xFF
         all_keys.append(np.where(pairs >= 0, ((4 + half) << 32) | (part[:, None] << 24) | pairs, -1))
-    keys = np.concatenate(all_keys, axis=1)
+        filed.append(np.arange(pairs.shape[1]) == np.zeros((len(pairs), 1)))
+    return _listed(all_keys, filed)
+
+
+def _listed(keys: list[np.ndarray], filed: list[np.ndarray]):
+    keys, filed = np.concatenate(keys, axis=1), np.concatenate(filed, axis=1)
     at, column = np.nonzero(keys >= 0)
-    return at, keys[at, column]
+    return at, keys[at, column], filed[at, column]
+
+
+_KEYS = "key bigint, node bigint, filed boolean"
+
+
+def _key_rows(node: np.ndarray, at: np.ndarray, keys: np.ndarray, filed: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(keys), pa.array(node[at]), pa.array(filed)]
+    return pa.RecordBatch.from_arrays(columns, names=["key", "node", "filed"])
 
 
 def _keys(batches: Batches) -> Batches:
     for batch in batches:
         fp = batch["fp"].to_numpy(zero_copy_only=False)
-        at, keys = keys_of(fp)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[at])], names=["key", "node"])
+        yield _key_rows(fp, *keys_of(fp))
 
 
 def _close_pairs(bits: list[np.ndarray], group: np.ndarray, distance: int):
@@ -225,16 +244,25 @@ def _compare(columns: list[str], distance: int, rows: int = 100_000):
 
 
 def links_within_keys(
-    keys: DataFrame, columns: list[str], distance: int, block: int = BLOCK
+    keys: DataFrame,
+    columns: list[str],
+    distance: int,
+    block: int = BLOCK,
+    bits: DataFrame | None = None,
 ) -> DataFrame:
     """``u, v``: stars that connect the ``node``s that share a ``key`` and are close.
 
-    Close is a distance of the bits of all ``columns`` up to the bound. Holders of a frequent key are
-    dealt to blocks, and each pair of blocks is a group.
+    A key counts if two have it and one is ``filed`` there. Close is a distance of the bits of all
+    ``columns`` up to the bound; those that the keys lack come from ``bits``, by node, once the
+    keys are few. Holders of a frequent key are dealt to blocks, and each pair of blocks is a group.
     """
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    shared = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("holders"), F.bool_or("filed").alias("any_filed")
+    )
+    shared = shared.filter("holders > 1 AND any_filed").select("key", "holders")
     groups = (
-        keys.join(shared, "key")
+        # A merge join at every size, in which the rows of a frequent key can be split.
+        keys.join(stage_table(shared, "keys").hint("merge"), "key")
         .withColumn("blocks", F.ceil(F.col("holders") / block).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -242,11 +270,14 @@ def links_within_keys(
             "key",
             F.least("own", "other").alias("low"),
             F.greatest("own", "other").alias("high"),
-            *dict.fromkeys(["node", *columns]),
+            "node",
         )
     )
+    if bits is not None:
+        groups = groups.join(bits.select("node", *columns), "node")
     order = ["key", "low", "high"]
-    dealt = groups.repartition(*order).sortWithinPartitions(*order)
+    dealt = groups.select(*order, "node", *[c for c in columns if c != "node"])
+    dealt = dealt.repartition(*order).sortWithinPartitions(*order)
     return map_batches(dealt, _compare(columns, distance), "u bigint, v bigint")
 
 
@@ -254,7 +285,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE, block: int
     """``u, v``: stars that connect the distinct fingerprints ``fp`` within the distance."""
     if distance > DISTANCE:
         raise ValueError(f"the keys find distances up to {DISTANCE}")
-    keys = map_batches(distinct.select("fp"), _keys, "key bigint, node bigint")
+    keys = map_batches(distinct.select("fp"), _keys, _KEYS)
     return links_within_keys(keys, ["node"], distance, block)
 
 
@@ -301,11 +332,13 @@ def component_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # Near copies by similarity. A bound on the similarity of texts, rather than on the distance of one
 # fingerprint, takes longer fingerprints: an edited word changes five shingles of five words, so that
 # texts of similarity 0.8 differ in about 15 % of the bits. Keys are therefore drawn from the simhash of
-# distinct words, where they differ in about 5 %: two pairs of segments of 23 bits, each with all
-# pairs of nearby codewords. Links are verified by the simhash of the distinct shingles.
+# distinct words, where they differ in about 5 %: six pairs of segments of 23 bits with two bits as they
+# are, each filed under its own pair of codewords and looked up under all pairs of nearby ones. Links
+# are verified by the simhash of the distinct shingles, once the few texts that meet are known.
 
 #: Bits of the two signatures, in words of 64.
-WORD_PARTS, SHINGLE_PARTS = 2, 4
+WORD_PARTS, SHINGLE_PARTS = 6, 4
+WORDS = [f"w{i}" for i in range(WORD_PARTS)]
 SIGNATURE = [f"s{i}" for i in range(SHINGLE_PARTS)]
 
 
@@ -335,27 +368,27 @@ def _signatures(shingle: int):
             columns = np.array(found, np.uint64).reshape(-1, 1 + WORD_PARTS + SHINGLE_PARTS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], *[batch[c] for c in KEY], *[pa.array(c.copy()) for c in columns.T]],
-                names=["id", *KEY, "node", "w0", "w1", *SIGNATURE],
+                names=["id", *KEY, "node", *WORDS, *SIGNATURE],
             )
 
     return run
 
 
 def _word_keys(batches: Batches) -> Batches:
-    """Four segments of 23 bits from two longs; keys of the first two and of the last two."""
+    """Keys of pairs of segments of 23 bits and two bits, from each part of the words' signature."""
     for batch in batches:
-        segments = []
-        for c in ("w0", "w1"):
+        keys, filed = [], []
+        for i, c in enumerate(WORDS):
             bits = batch[c].to_numpy(zero_copy_only=False).view(np.uint64)
-            for low in (0, 23):
-                segments.append(near_codewords((bits >> np.uint64(low)) & np.uint64((1 << 23) - 1)))
-        keys = [_pairs_of(segments[0], segments[1]), _pairs_of(segments[2], segments[3])]
-        keys = np.concatenate([np.where(k >= 0, (i << 24) | k, -1) for i, k in enumerate(keys)], axis=1)
-        at, column = np.nonzero(keys >= 0)
-        rest = [batch[c].take(pa.array(at)) for c in ("node", *SIGNATURE)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[at, column]), *rest], names=["key", "node", *SIGNATURE]
-        )
+            low, high = (
+                near_codewords((bits >> np.uint64(s)) & np.uint64((1 << 23) - 1)) for s in (0, 23)
+            )
+            pairs = _pairs_of(low, high)
+            plain = ((bits >> np.uint64(46)) & np.uint64(3)).astype(np.int64)[:, None]
+            keys.append(np.where(pairs >= 0, (i << 26) | (plain << 24) | pairs, -1))
+            filed.append(np.arange(pairs.shape[1]) == np.zeros((len(pairs), 1)))
+        node = batch["node"].to_numpy(zero_copy_only=False)
+        yield _key_rows(node, *_listed(keys, filed))
 
 
 def differing_bits(similarity: float) -> int:
@@ -379,14 +412,13 @@ def similar_groups(
     """Per row: ``id``, its key, and ``component_id``, the smallest id linked by similarity."""
     texts = keyed_texts(docs, id_col, text_col, F.col(f"`{id_col}`").alias("id"))
     kind = docs.schema[id_col].dataType.simpleString()
-    longs = ", ".join(f"{c} bigint" for c in ("node", "w0", "w1", *SIGNATURE))
+    longs = ", ".join(f"{c} bigint" for c in ("node", *WORDS, *SIGNATURE))
     schema = f"id {kind}, text_id bigint, text_version int, {longs}"
     rows = stage_table(map_batches(texts, _signatures(shingle), schema), "signatures")
 
     def links(classes: DataFrame) -> DataFrame:
-        keys = ", ".join(f"{c} bigint" for c in ("key", "node", *SIGNATURE))
-        found = map_batches(classes.select("node", "w0", "w1", *SIGNATURE), _word_keys, keys)
-        return links_within_keys(found, SIGNATURE, differing_bits(similarity))
+        keys = map_batches(classes.select("node", *WORDS), _word_keys, _KEYS)
+        return links_within_keys(keys, SIGNATURE, differing_bits(similarity), bits=classes)
 
     return _grouped(rows, links, "node").select("id", *KEY, "component_id")
 
