@@ -2,8 +2,9 @@
 
 The severity grades are ordered: 0 is not toxic, 1 is toxic, 2 is toxic and of low quality. The model
 is ``P(grade <= k) = logistic(threshold_k - w.x)``: one weight vector for all thresholds, which are
-kept in order by positive steps. x tells which chosen words a text has. The result of a text is its
-expected severity, the sum over k of ``P(grade > k)``.
+kept in order by positive steps. x tells which chosen words, and beginnings of words, a text has, so
+that inflected forms count together. The result of a text is its expected severity, the sum over k of
+``P(grade > k)``.
 
 The model is fitted on a bounded sample of labelled rows: ``SAMPLE`` rows with the smallest hash of
 their id, texts of up to ``SAMPLE_BYTES``. Every row is scored, whole texts, in one pass without a
@@ -13,7 +14,7 @@ labelled row, or without a toxic one, nothing is toxic.
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -24,23 +25,58 @@ from geolink.llm.common import Batches, map_batches, packed, unpacked
 from geolink.llm.decontam import words
 
 #: Labelled rows that the model is fitted on, and the longest text among them.
-SAMPLE = 4000
+SAMPLE = 10_000
 SAMPLE_BYTES = 100_000
-#: Words of the model: those whose log odds ratio is so many standard errors from zero, and of them
-#: the most telling ``WORDS``.
-ERRORS = 3.5
-WORDS = 4000
+#: Features of the model: those that stand in so many toxic texts and whose log odds ratio is so many
+#: standard errors above zero, and of them the most telling ``FEATURES``.
+LEAST = 2
+ERRORS = 2.0
+FEATURES = 6000
+#: Bytes of the beginnings of words that are features.
+BEGINNINGS = range(4, 13)
+#: Words whose features a worker remembers.
+MEMORY = 200_000
 #: A text is rejected from this probability of grade 1 or more.
-LIMIT = 0.5
+LIMIT = 0.3
 
 
-class Model(NamedTuple):
-    weights: dict[bytes, float]
-    thresholds: tuple[float, ...]
+def features_of(word: bytes) -> list[bytes]:
+    """The word itself, and its beginnings, each with a mark in front."""
+    return [word, *(b"^" + word[:n] for n in BEGINNINGS if n <= len(word))]
+
+
+def features(text: bytes | None) -> set[bytes]:
+    return {f for w in set(words(text)) for f in features_of(w)}
+
+
+class Memory(dict):
+    """The model's features of the words seen lately."""
+
+    def __init__(self, weights: dict[bytes, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: bytes) -> tuple[bytes, ...]:
+        found = tuple(f for f in features_of(word) if f in self.weights)
+        if len(self) >= MEMORY:
+            self.clear()
+        self[word] = found
+        return found
+
+
+class Model:
+    """Weights of the features, and the thresholds between grades."""
+
+    def __init__(self, weights: dict[bytes, float], thresholds: tuple[float, ...]):
+        self.weights, self.thresholds = weights, thresholds
+        self.memory = Memory(weights)
+
+    def __reduce__(self):
+        return Model, (self.weights, self.thresholds)
 
     def score(self, text: bytes | None) -> float:
-        found = self.weights.keys() & set(words(text))
-        return sum(self.weights[w] for w in sorted(found))
+        found = set().union(*map(self.memory.__getitem__, set(words(text))))
+        return sum(self.weights[f] for f in sorted(found))
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """``P(grade > k)`` for each threshold."""
@@ -51,34 +87,42 @@ def severity_grade(toxic: str = "toxic", quality: str = "quality") -> Column:
     return F.when(F.col(toxic) != 1, 0).when(F.col(quality) == 0, 2).when(F.col(toxic) == 1, 1)
 
 
-def choose_words(texts: list[set[bytes]], severe: np.ndarray) -> list[bytes]:
-    """The words whose presence tells most about severity, by their log odds ratios."""
-    counts: dict[bytes, list[int]] = {}
-    for found, s in zip(texts, severe.tolist(), strict=True):
-        for w in found:
-            counts.setdefault(w, [0, 0])[s] += 1
-    vocabulary = sorted(counts)
-    without, with_ = np.array([counts[w] for w in vocabulary], np.float64).reshape(-1, 2).T + 0.5
-    m = severe.sum() + 1.0
-    ratio = np.log(with_ / (m - with_)) - np.log(without / (len(texts) + 2.0 - m - without))
-    errors = np.abs(ratio) / np.sqrt(1 / with_ + 1 / without)
-    best = np.argsort(-errors, kind="stable")[:WORDS]
-    return [vocabulary[i] for i in best if errors[i] >= ERRORS]
-
-
-def fit(rows: list[tuple[bytes, int]], steps: int = 400, penalty: float = 0.05) -> Model:
+def choose_features(texts: list[bytes], severe: np.ndarray) -> list[bytes]:
+    """The features whose presence tells most for severity, by their log odds ratios.
+
+    What the severe texts do not have often enough is never counted in the others.
+    """
+    with_: Counter = Counter()
+    for text, s in zip(texts, severe.tolist(), strict=True):
+        if s:
+            with_.update(features(text))
+    wanted = {f: n for f, n in with_.items() if n >= LEAST}
+    without: Counter = Counter()
+    for text, s in zip(texts, severe.tolist(), strict=True):
+        if not s:
+            without.update(f for f in features(text) if f in wanted)
+    names = sorted(wanted)
+    a = np.array([wanted[f] for f in names]) + 0.5
+    b = np.array([without[f] for f in names]) + 0.5
+    m, n = severe.sum() + 1.0, len(texts) - severe.sum() + 1.0
+    errors = (np.log(a / (m - a)) - np.log(b / (n - b))) / np.sqrt(1 / a + 1 / b)
+    best = np.argsort(-errors, kind="stable")[:FEATURES]
+    return [names[i] for i in best if errors[i] >= ERRORS]
+
+
+def fit(rows: list[tuple[bytes, int]], steps: int = 400, penalty: float = 1.0) -> Model:
     """Fits texts (as bytes) with grades by penalised likelihood, full-batch Adam."""
     rows = sorted(rows)
     grades = np.array([g for _, g in rows], np.int64)
     top = int(grades.max(initial=0))
     if top == 0:
         return Model({}, (40.0,))
-    texts = [set(words(t)) for t, _ in rows]
-    chosen = choose_words(texts, (grades > 0).astype(np.int64))
+    texts = [t for t, _ in rows]
+    chosen = choose_features(texts, (grades > 0).astype(np.int64))
     place = {w: i for i, w in enumerate(chosen)}
     row_of, word_of = [], []
-    for i, found in enumerate(texts):
-        hit = sorted(place[w] for w in place.keys() & found)
+    for i, text in enumerate(texts):
+        hit = sorted(place[w] for w in place.keys() & features(text))
         word_of += hit
         row_of += [i] * len(hit)
     row_of, word_of = np.array(row_of, np.int64), np.array(word_of, np.int64)
