@@ -165,8 +165,8 @@ def train(
 
     sets = map_batches(chosen, run, "lang string, rank int, bits binary")
     found = sorted((r["rank"], r["lang"], bytes(r["bits"])) for r in sets.limit(sample).collect())
-    bits = np.frombuffer(b"".join(b for *_, b in found), np.uint8).reshape(len(found), -1)
-    unpacked = np.unpackbits(bits, axis=1).astype(bool) if found else np.zeros((0, BUCKETS), bool)
+    bits = np.frombuffer(b"".join(b for *_, b in found), np.uint8).reshape(-1, BUCKETS // 8)
+    unpacked = np.unpackbits(bits, axis=1).astype(bool)
     return fit(unpacked, [lang for _, lang, _ in found])
 
 

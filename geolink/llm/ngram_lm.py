@@ -149,8 +149,8 @@ def _open(shard: Shard) -> dict:
 
 def _by_shard(shards: tuple[Shard, ...], keys: np.ndarray) -> Iterator[tuple[Shard, np.ndarray]]:
     """Shards with the positions of the sorted keys that fall into their ranges."""
-    cuts = np.searchsorted(keys, np.array([s.first for s in shards], np.int64))
-    for shard, low, high in zip(shards, cuts, [*cuts[1:], len(keys)], strict=True):
+    cuts = [*np.searchsorted(keys, np.array([s.first for s in shards], np.int64)), len(keys)]
+    for shard, low, high in zip(shards, cuts[:-1], cuts[1:], strict=True):
         if low < high:
             yield shard, np.arange(low, high)
 
