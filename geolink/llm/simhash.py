@@ -290,7 +290,10 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE, block: int
 
 
 def _grouped(rows: DataFrame, links: Callable[[DataFrame], DataFrame], node: str) -> DataFrame:
-    """Rows with ``component_id``, the smallest id of the rows whose nodes are connected."""
+    """Rows with ``component_id``, the smallest id of the rows whose nodes are connected, and ``root``.
+
+    The root is the component's smallest node. It tells components apart where ids are null or repeated.
+    """
     others = [c for c in rows.columns if c not in ("id", node, *KEY)]
     classes = stage_table(
         rows.groupBy(node).agg(F.min("id").alias("first_id"), *[F.first(c).alias(c) for c in others]),
@@ -301,7 +304,7 @@ def _grouped(rows: DataFrame, links: Callable[[DataFrame], DataFrame], node: str
         classes[node].alias(node), "first_id", F.coalesce("root", classes[node]).alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.select(node, "root").join(least, "root").select(node, "component_id")
+    named = rooted.select(node, "root").join(least, "root").select(node, "root", "component_id")
     return rows.join(named, node)
 
 
@@ -409,7 +412,7 @@ def similar_groups(
     shingle: int = 5,
     similarity: float = 0.8,
 ) -> DataFrame:
-    """Per row: ``id``, its key, and ``component_id``, the smallest id linked by similarity."""
+    """Per row: ``id``, its key, ``root`` of its component, and the component's smallest id."""
     texts = keyed_texts(docs, id_col, text_col, F.col(f"`{id_col}`").alias("id"))
     kind = docs.schema[id_col].dataType.simpleString()
     longs = ", ".join(f"{c} bigint" for c in ("node", *WORDS, *SIGNATURE))
@@ -420,7 +423,7 @@ def similar_groups(
         keys = map_batches(classes.select("node", *WORDS), _word_keys, _KEYS)
         return links_within_keys(keys, SIGNATURE, differing_bits(similarity), bits=classes)
 
-    return _grouped(rows, links, "node").select("id", *KEY, "component_id")
+    return _grouped(rows, links, "node").select("id", *KEY, "root", "component_id")
 
 
 def drop_near_copies(
@@ -432,12 +435,13 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows and columns of ``docs``, of each group of near copies the row with the smallest id.
 
-    Rows that repeat an id of the group count once. Texts without words are one group.
+    Rows that repeat an id of the group count once; groups without ids, or that share one, are kept
+    apart. Texts without words are one group.
     """
     groups = similar_groups(docs, id_col, text_col, shingle, similarity)
     keepers = (
         groups.filter(F.col("id").eqNullSafe(F.col("component_id")))
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.min(F.struct(*KEY)).alias("one"))
         .select("one.text_id", "one.text_version")
     )

@@ -158,3 +158,11 @@ def test_schema_has_the_columns_of_the_contract(spark):
     assert df.schema.simpleString() == "struct<doc_id:bigint,fingerprint:string,component_id:bigint>"
     assert df.filter(F.length("fingerprint") != 16).count() == 0
     assert DOCUMENT.startswith("doc_id")
+
+
+def test_groups_without_ids_or_of_one_id_stay_apart(spark):
+    texts = [(None, prose(60)) for _ in range(4)] + [(7, prose(60)) for _ in range(3)]
+    copies = [(None, texts[0][1].upper()), (7, texts[5][1].upper()), (8, texts[6][1].upper())]
+    kept = simhash.drop_near_copies(documents(spark, texts + copies)).collect()
+    assert sorted(r.text.lower() for r in kept) == sorted(t for _, t in texts)
+    assert not any(r.doc_id == 8 for r in kept)
