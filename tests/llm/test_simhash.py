@@ -166,3 +166,42 @@ def test_groups_without_ids_or_of_one_id_stay_apart(spark):
     kept = simhash.drop_near_copies(documents(spark, texts + copies)).collect()
     assert sorted(r.text.lower() for r in kept) == sorted(t for _, t in texts)
     assert not any(r.doc_id == 8 for r in kept)
+
+
+def shingles(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def edited(rng, words, kind, share):
+    """A copy with other words for a share of its length: at an end, in the place of a passage, or scattered."""
+    n = max(round(len(words) * share), 1)
+    other = prose(n).split()
+    if kind == "appended":
+        return words + other
+    if kind == "truncated":
+        return words[n:]
+    if kind == "swapped":
+        at = rng.randrange(len(words) - n)
+        return words[:at] + other + words[at + n :]
+    words = list(words)
+    for at, w in zip(rng.sample(range(len(words)), n), other, strict=True):
+        words[at] = w
+    return words
+
+
+def test_near_copies_of_any_kind_are_found_and_decided_exactly(spark):
+    rng = random.Random(3)
+    shares = {"appended": (0.1, 0.32), "truncated": (0.1, 0.26), "swapped": (0.05, 0.15), "words": (0.01, 0.06)}
+    texts, expected = [], set()
+    for i in range(480):
+        kind = list(shares)[i % 4]
+        words = [f"{w}{rng.randrange(50)}" for w in prose(rng.randrange(80, 300)).split()]
+        copy = edited(rng, words, kind, rng.uniform(*shares[kind]))
+        texts += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+        a, b = (shingles(t) for _, t in texts[-2:])
+        if 5 * len(a & b) >= 4 * len(a | b):
+            expected.add(2 * i + 1)
+    assert 150 < len(expected) < 330
+    kept = {r.doc_id for r in simhash.drop_near_copies(documents(spark, texts)).collect()}
+    assert {i for i, _ in texts} - kept == expected
