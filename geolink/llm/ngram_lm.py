@@ -12,7 +12,7 @@ Probabilities are smoothed by absolute discounting and interpolation, with the t
 
     p(w | h) = max(c(h, w) - D, 0) / c(h) + left(h) p(w)
 
-Bigrams counted at least ``LEAST`` times are stored, with the logarithm of p(w | h) quantised to 16
+Bigrams counted at least ``least`` times are stored (the registered query stores all), with the logarithm of p(w | h) quantised to 16
 bits; ``left(h)``, all that the stored ones leave, likewise. Every training token is counted; a bigram
 that is not stored only adds to ``left``. Probabilities of a context add up to one, but for rounding.
 
@@ -43,7 +43,7 @@ from geolink.llm.common import Batches, map_batches
 from geolink.llm.elias_fano import EliasFano
 from geolink.operators.staging import shared_folder, stage_table
 
-#: Least count of a stored bigram, and the discount of each count.
+#: Least count of a stored bigram unless a caller says otherwise, and the discount of each count.
 LEAST = 2
 DISCOUNT = 0.75
 #: Entries of a shard.
@@ -380,10 +380,12 @@ def held_out(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def score_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_table(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST
+) -> DataFrame:
     """Trains on the rows that are not held out and scores all."""
     id_ = F.col(f"`{id_col}`")
-    model = train(docs.filter(~held_out(id_)), text_col)
+    model = train(docs.filter(~held_out(id_)), text_col, least)
     scored = score_texts(docs, model, text_col, id_.alias("id"), held_out(id_).alias("held_out"))
     return scored.select(
         F.col("id").alias(id_col),

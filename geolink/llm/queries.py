@@ -63,7 +63,7 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_lm.score_table(table(spark, folder, "documents"))
+    return ngram_lm.score_table(table(spark, folder, "documents"), least=1)
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from llm.edge_cases import TEXTS, clashing, documents, empty, prose
 
-from geolink.llm import ngram_lm
+from geolink.llm import ngram_lm, queries
 from geolink.llm.elias_fano import EliasFano
 
 
@@ -114,3 +114,14 @@ def test_elias_fano(size, top):
         assert (at >= 0) == (value in known) and (at < 0 or int(values[at]) == value)
     half = sequence.find(values, np.full(size, size // 2), np.full(size, size))
     assert all((at >= size // 2) == (v in set(values[size // 2 :].tolist())) for v, at in zip(values.tolist(), half.tolist(), strict=True))
+
+
+def test_the_query_stores_bigrams_seen_once(spark, tmp_path):
+    texts = [(i, prose(12)) for i in range(40)]
+    documents(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    train = [t for i, t in texts if zlib.crc32(str(i).encode()) % 7 != 2]
+    _, expected = brute(train, [t for _, t in texts], least=1)
+    rows = {r.doc_id: r for r in queries.op10_lm_scoring(spark, str(tmp_path)).collect()}
+    for (i, _), e in zip(texts, expected, strict=True):
+        r = rows[i]
+        check((r.n_tokens, r.n_known, r.base_score, r.score), e)
