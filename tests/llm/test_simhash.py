@@ -205,3 +205,12 @@ def test_near_copies_of_any_kind_are_found_and_decided_exactly(spark):
     assert 150 < len(expected) < 330
     kept = {r.doc_id for r in simhash.drop_near_copies(documents(spark, texts)).collect()}
     assert {i for i, _ in texts} - kept == expected
+
+
+def test_links_are_exact_at_the_bound(spark):
+    words = [[f"{w}{i}x{k}" for k, w in enumerate(prose(12).split())] for i in range(60)]
+    texts = [(i, " ".join(w)) for i, w in enumerate(words)]
+    # Of 8 shingles two more make 8 / 10, three more 8 / 11.
+    texts += [(100 + i, " ".join(w + ["more", f"m{i}", "end"][: 2 + i % 2])) for i, w in enumerate(words)]
+    kept = {r.doc_id for r in simhash.drop_near_copies(documents(spark, texts)).collect()}
+    assert kept == {*range(60), *range(101, 160, 2)}
