@@ -318,3 +318,13 @@ def test_first_filled_passes_over_tabs(spark):
     rows = [("k", "\t", 1), ("k", " \n", 2), ("k", "77", 3)]
     table = spark.createDataFrame(rows, "key string, code string, ord int")
     assert dedupe.first_filled_per_key(table, "key", "ord").first().code == "77"
+
+
+def test_numbers_of_all_rows(spark):
+    values = [None, *range(50), 7, 7] * 3
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v int, i int").repartition(5)
+    rows = ranking.numbered(df, "n", ["v"], ["i"]).orderBy("n").collect()
+    expected = sorted(((v, i) for i, v in enumerate(values)), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [(r.v, r.i) for r in rows] == expected
+    assert [r.n for r in rows] == list(range(1, len(values) + 1))
+    assert ranking.numbered(df.limit(0), "n", ["v"]).count() == 0
