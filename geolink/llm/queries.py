@@ -12,13 +12,16 @@ from geolink.llm import (
     decontam,
     langid,
     lattice,
+    mixing,
     ngram_lm,
+    search,
     shards,
     simhash,
     sql,
     substrings,
     toxicity,
     urls,
+    whiten,
 )
 from geolink.llm.common import table
 
@@ -66,6 +69,18 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_lm.score_table(table(spark, folder, "documents"), least=1)
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten.whitened(table(spark, folder, "embeddings"))
+
+
+def op13_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -82,6 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_simhash_dedup,
         op9_embedding_dedup,
         op10_lm_scoring,
+        op11_ranked_search,
+        op12_embedding_whitening,
+        op13_source_mixing,
         pipeline,
     ]
     return {q.__name__: q for q in found}

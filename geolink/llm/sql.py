@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from geolink.llm.decontam import WINDOW as ITEM_WINDOW
+from geolink.llm.mixing import DIGITS, EPOCHS, SEED, SHARE, WEIGHTS
+from geolink.llm.search import TOP
 from geolink.llm.substrings import WINDOW
 from geolink.llm.urls import url_filter_sql
 
@@ -34,11 +36,14 @@ def substring_dedup_sql() -> str:
     """
 
 
-def decontamination_sql() -> str:
+def _plain_words() -> str:
     # All ASCII characters but letters and digits separate words.
-    separators = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     low = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
-    words = _words(low, separators)
+    return _words(low, "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+
+
+def decontamination_sql() -> str:
+    words = _plain_words()
     n = ITEM_WINDOW
     return f"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
@@ -65,9 +70,79 @@ def decontamination_sql() -> str:
     """
 
 
+def ranked_search_sql() -> str:
+    words = _plain_words()
+    return f"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, {words} AS w, len(w)::BIGINT AS n FROM documents),
+        total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS length FROM docs WHERE n > 0),
+        asked AS (SELECT row_number() OVER () AS q, item_id, list_distinct({words}) AS t FROM benchmark),
+        wanted AS (SELECT q, unnest(t) AS term FROM asked),
+        placed AS (SELECT r, unnest(w) AS term FROM docs),
+        held AS (
+            SELECT r, term, count(*)::BIGINT AS tf
+            FROM placed SEMI JOIN wanted USING (term) GROUP BY r, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM held, total GROUP BY term, docs),
+        scores AS (
+            SELECT q, r, sum(weight * ((1000000000 * tf)
+                // (1000 * tf + 8 * (100 - 90 + (90 * n * total.docs) // total.length))))::BIGINT AS score
+            FROM held JOIN weights USING (term) JOIN wanted USING (term) JOIN docs USING (r), total
+            GROUP BY q, r),
+        ranked AS (
+            SELECT item_id, doc_id, score,
+                   row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+            FROM scores JOIN docs USING (r) JOIN asked USING (q) WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {TOP}
+    """
+
+
+def source_mixing_sql() -> str:
+    words = _words("text", "[ \\t-\\r]+")
+    weights = ", ".join(map(str, WEIGHTS))
+    return f"""
+        WITH docs AS (
+            SELECT doc_id, source, len({words})::BIGINT AS size,
+                   substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'text:' || text, '')), 1, {DIGITS}) AS draw
+            FROM documents),
+        sources AS (
+            SELECT source, source_size, {EPOCHS} * source_size AS cap, ([{weights}])[(place % {len(WEIGHTS)}) + 1] AS weight
+            FROM (SELECT source, sum(size)::BIGINT AS source_size,
+                         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+                  FROM docs GROUP BY source)),
+        parts AS (
+            SELECT *, cap::DOUBLE / weight AS fill,
+                   ({SHARE}::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER lower, 0)::DOUBLE)
+                   / (sum(weight) OVER () - coalesce(sum(weight) OVER lower, 0))::DOUBLE AS level
+            FROM sources
+            WINDOW lower AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        water AS (
+            SELECT coalesce(first(level ORDER BY fill, source NULLS LAST) FILTER (WHERE fill > level), 0) AS level
+            FROM parts),
+        targets AS (
+            SELECT source, source_size, least(cap::DOUBLE, weight * water.level) AS target,
+                   floor(target + 0.5)::BIGINT AS wanted,
+                   CASE WHEN source_size > 0 THEN wanted // source_size ELSE 0 END AS whole
+            FROM sources, water),
+        placed AS (
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY draw) AS upto,
+                   sum(size) OVER (PARTITION BY source, draw) AS held
+            FROM docs)
+        SELECT doc_id, p.source AS source, size, source_size, target, whole::INTEGER AS whole,
+               (size * whole + CASE
+                    WHEN upto <= wanted - whole * source_size THEN size
+                    WHEN upto - held >= wanted - whole * source_size THEN 0
+                    ELSE size * (wanted - whole * source_size - upto + held)::BIGINT // held::BIGINT END)::BIGINT AS taken
+        FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": substring_dedup_sql(),
         "op3_url_filter": url_filter_sql(),
         "op5_decontamination": decontamination_sql(),
+        "op11_ranked_search": ranked_search_sql(),
+        "op13_source_mixing": source_mixing_sql(),
     }
