@@ -12,7 +12,8 @@ from typing import NamedTuple
 import numpy as np
 
 _ONE = np.uint64(1)
-_BYTE_ONES = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.int64)
+# One bit in each byte: the lowest, and the highest.
+_LOWEST, _HIGHEST = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 
 
 def _select_tables() -> np.ndarray:
@@ -28,19 +29,18 @@ _SELECT = _select_tables()
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Position of the k-th one (from 0) in each word."""
-    place = np.zeros(len(word), np.int64)
-    left = k.astype(np.int64).copy()
-    done = np.zeros(len(word), bool)
-    found = np.zeros(len(word), np.int64)
-    for byte in range(8):
-        value = ((word >> np.uint64(8 * byte)) & np.uint64(255)).astype(np.int64)
-        ones = _BYTE_ONES[value]
-        here = ~done & (left < ones)
-        found[here] = 8 * byte + _SELECT[value[here], left[here]]
-        done |= here
-        left = np.where(done, left, left - ones)
-    return found + place
+    """Position of the k-th one (from 0) in each word, by the ones up to each of its bytes."""
+    k = k.astype(np.uint64)
+    ones = word - ((word >> _ONE) & np.uint64(0x5555555555555555))
+    two = np.uint64(0x3333333333333333)
+    ones = (ones & two) + ((ones >> np.uint64(2)) & two)
+    ones = ((ones + (ones >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _LOWEST
+    # The highest bit of a byte stays where up to there are no more than k ones.
+    passed = ((k * _LOWEST | _HIGHEST) - ones) & _HIGHEST
+    at = np.bitwise_count(passed).astype(np.uint64) << np.uint64(3)
+    before = ((ones << np.uint64(8)) >> at) & np.uint64(255)
+    byte = (word >> at) & np.uint64(255)
+    return at.astype(np.int64) + _SELECT[byte.astype(np.int64), (k - before).astype(np.int64)]
 
 
 class EliasFano(NamedTuple):

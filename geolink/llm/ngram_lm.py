@@ -12,14 +12,20 @@ Probabilities are smoothed by absolute discounting and interpolation, with the t
 
     p(w | h) = max(c(h, w) - D, 0) / c(h) + left(h) p(w)
 
-Bigrams counted at least ``least`` times are stored (the registered query stores all), with the logarithm of p(w | h) quantised to 16
-bits; ``left(h)``, all that the stored ones leave, likewise. Every training token is counted; a bigram
-that is not stored only adds to ``left``. Probabilities of a context add up to one, but for rounding.
+All bigrams are stored (those counted ``least`` times and more, if a caller asks), with the logarithm of
+their discounted share, the first term, quantised to 16 bits; ``left(h)``, all that the stored ones leave,
+likewise. Every training token is counted. Probabilities of a context add up to one, but for rounding.
 
-The levels are built by range: counts are sorted and cut into shards, each task writes the arrays of
-its shard into the shared folder, and names them in its result, so that what a lost task wrote is never
-read. Scoring tasks map the files into memory: they take page cache, not heap, and only the pages that
-are asked for. The folder that ``spark.checkpoint.dir`` names must be mounted on the executors for that.
+The levels are built by range: each task writes the arrays of its shard into the shared folder, and names
+them in its result, so that what a lost task wrote is never read. Where the shards of bigrams are cut follows
+from the counts of the tokens, since a context has as many bigrams as it has occurrences: a shard has about
+``SHARD`` of them, and a context with more is cut by its successors. What such a context leaves is added up
+over its shards and kept with the model. Tasks count bigrams in chunks of ``CHUNK`` tokens and send sorted
+runs, one for each shard, so that bigrams are shuffled once.
+
+Scoring tasks map the files into memory: they take page cache, not heap, and only the pages that are asked
+for; a worker keeps ``OPEN`` shards open. Distinct bigrams of a chunk are looked up once, in order. The folder
+that ``spark.checkpoint.dir`` names must be mounted on the executors for that.
 
 A null text is empty: it has the end alone. Rows that repeat count and are scored each. Without training
 rows N and V are 0, and every token has probability one.
@@ -29,6 +35,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import urlparse
@@ -44,10 +51,12 @@ from geolink.llm.elias_fano import EliasFano
 from geolink.operators.staging import shared_folder, stage_table
 
 #: Least count of a stored bigram unless a caller says otherwise, and the discount of each count.
-LEAST = 2
+LEAST = 1
 DISCOUNT = 0.75
-#: Entries of a shard.
+#: Entries of a shard, tokens of a chunk, shards that a worker keeps open.
 SHARD = 1_000_000
+CHUNK = 1_000_000
+OPEN = 512
 #: Steps of a quantised logarithm (base 10); 16 bits reach down to -16.
 STEPS = 4096
 _TOP = np.uint64(1 << 63)
@@ -74,16 +83,61 @@ class Tokens(NamedTuple):
 
 
 def tokenize(texts: list[bytes | None]) -> Tokens:
-    digest = xxhash.xxh64_intdigest
-    end = END + 2**63
+    digest = xxhash.xxh64_digest
+    end = digest(b"\n")
     found, starts = [], [0]
     for text in texts:
-        if text:
-            found += [digest(w) for w in text.lower().split()]
+        words = text.lower().split() if text else []
+        found += map(digest, words)
         found.append(end)
         starts.append(len(found))
-    hashes = (np.array(found, np.uint64) ^ _TOP).view(np.int64)
-    return Tokens(hashes, np.array(starts, np.int64))
+    hashes = np.frombuffer(b"".join(found), ">u8").astype(np.uint64) ^ _TOP
+    return Tokens(hashes.view(np.int64), np.array(starts, np.int64))
+
+
+def chunks(batches: Batches) -> Iterator[tuple[list[pa.RecordBatch], Tokens]]:
+    """The batches of a task in chunks of ``CHUNK`` tokens or more, with their tokens."""
+    held: list[tuple[pa.RecordBatch, Tokens]] = []
+    size = 0
+    for batch in batches:
+        held.append((batch, tokenize(batch["text"].to_pylist())))
+        size += len(held[-1][1].hashes)
+        if size >= CHUNK:
+            yield _joined(held)
+            held, size = [], 0
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[pa.RecordBatch, Tokens]]) -> tuple[list[pa.RecordBatch], Tokens]:
+    hashes = np.concatenate([t.hashes for _, t in held])
+    sizes = np.concatenate([t.sizes for _, t in held])
+    return [b for b, _ in held], Tokens(hashes, np.r_[0, np.cumsum(sizes)])
+
+
+class Sums:
+    """Counts by key, added up whenever as many as ``limit`` are pending."""
+
+    def __init__(self, limit: int):
+        self.limit, self.parts, self.pending = limit, [], 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.pending += len(keys)
+        if self.pending > self.limit and len(self.parts) > 1:
+            self.parts = [self.total()]
+            # As many again may come before the next time.
+            self.pending = max(0, len(self.parts[0][0]) - self.limit // 2)
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys in order, each once, and their counts."""
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys, counts = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 class Shard(NamedTuple):
@@ -97,17 +151,25 @@ class Shard(NamedTuple):
 
 
 class Model(NamedTuple):
+    """The shards, and contexts that several shards share (``wide``, in order) with what they leave."""
+
     tokens: tuple[Shard, ...]
     contexts: tuple[Shard, ...]
     total: int
     distinct: int
     texts: int
+    wide: np.ndarray
+    left: np.ndarray
 
     @property
     def start(self) -> int:
         """Id of the start of a text, as a context."""
         return self.distinct
 
+    def keys(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """One number for a bigram, in the order of context and word; an unknown one is -1."""
+        return context * (self.distinct + 1) + word + 1
+
 
 def _local(folder: str) -> str:
     url = urlparse(folder)
@@ -129,21 +191,25 @@ def _write(folder: str, sequences: dict[str, EliasFano], arrays: dict[str, np.nd
     return path, shapes
 
 
-_opened: dict[str, dict] = {}
+_opened: OrderedDict[str, dict] = OrderedDict()
 
 
 def _open(shard: Shard) -> dict:
-    """The shard's arrays, mapped into memory."""
-    if shard.path not in _opened:
-        read = {
-            name.removesuffix(".npy"): np.load(f"{shard.path}/{name}", mmap_mode="r")
-            for name in os.listdir(shard.path)
-        }
-        sequences = {
-            name: EliasFano(size, bits, *(read[f"{name}-{k}"] for k in ("low", "high", "ones", "zeros")))
-            for name, (size, bits) in shard.shapes.items()
-        }
-        _opened[shard.path] = read | sequences
+    """The shard's arrays, mapped into memory; the ones asked for last stay open."""
+    if shard.path in _opened:
+        _opened.move_to_end(shard.path)
+        return _opened[shard.path]
+    while len(_opened) >= OPEN:
+        _opened.popitem(last=False)
+    read = {
+        name.removesuffix(".npy"): np.load(f"{shard.path}/{name}", mmap_mode="r")
+        for name in os.listdir(shard.path)
+    }
+    sequences = {
+        name: EliasFano(size, bits, *(read[f"{name}-{k}"] for k in ("low", "high", "ones", "zeros")))
+        for name, (size, bits) in shard.shapes.items()
+    }
+    _opened[shard.path] = read | sequences
     return _opened[shard.path]
 
 
@@ -188,33 +254,41 @@ def quantised(logarithm: np.ndarray) -> np.ndarray:
 
 
 def score_bigrams(model: Model, context: np.ndarray, word: np.ndarray, below: np.ndarray) -> np.ndarray:
-    """Logarithms of p(word | context), for bigrams sorted by context; ``below`` are those of p(word)."""
-    out = below.copy()
-    for shard, at in _by_shard(model.contexts, context):
+    """Logarithms of p(word | context); ``below`` are those of p(word). Equal bigrams are looked up once."""
+    keys, first, back = np.unique(model.keys(context, word), return_index=True, return_inverse=True)
+    share, left = np.zeros(len(keys)), np.ones(len(keys))
+    context, word = context[first], word[first]
+    for shard, at in _by_shard(model.contexts, keys):
         opened = _open(shard)
-        whole = np.zeros(len(at), np.int64)
-        place = opened["context"].find(context[at].astype(np.uint64), whole, whole + shard.size)
-        at, place = at[place >= 0], place[place >= 0]
+        edge = np.flatnonzero(np.r_[True, np.diff(context[at]) != 0])
+        names = context[at[edge]].astype(np.uint64)
+        whole = np.zeros(len(names), np.int64)
+        place = opened["context"].find(names, whole, whole + shard.size)
+        rows = np.diff(np.r_[edge, len(at)])
+        known = place >= 0
+        at, place, rows = at[np.repeat(known, rows)], place[known], rows[known]
         if not len(at):
             continue
-        out[at] -= opened["left"][place] / STEPS
+        left[at] = np.repeat(10 ** (opened["left"][place] / -STEPS), rows)
         begin = opened["pointer"].access(place).astype(np.int64)
         end = opened["pointer"].access(place + 1).astype(np.int64)
+        place, begin, end = (np.repeat(v, rows) for v in (place, begin, end))
         known = word[at] >= 0
         at, place, begin, end = at[known], place[known], begin[known], end[known]
         wanted = place.astype(np.uint64) * np.uint64(model.distinct) + word[at].astype(np.uint64)
         found = opened["successor"].find(wanted, begin, end)
         hit = found >= 0
-        out[at[hit]] = -(opened["probability"][found[hit]] / STEPS)
-    return out
+        share[at[hit]] = 10 ** (opened["share"][found[hit]] / -STEPS)
+    if len(model.wide):
+        at = np.minimum(np.searchsorted(model.wide, context), len(model.wide) - 1)
+        left = np.where(model.wide[at] == context, model.left[at], left)
+    return np.log10(share + left * 10 ** below[first])[back]
 
 
-def _gather(batches: Batches, *names: str) -> list[np.ndarray]:
-    parts = [[b[n].to_numpy(zero_copy_only=False) for n in names] for b in batches if b.num_rows]
-    return [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else []
+_BUILT = "path string, first bigint, size bigint, names array<string>, shapes array<bigint>, more array<double>"
 
 
-def _built(path: str, first: int, size: int, shapes: dict) -> pa.RecordBatch:
+def _built(path: str, first: int, size: int, shapes: dict, more: list[float]) -> pa.RecordBatch:
     flat = [x for name in sorted(shapes) for x in shapes[name]]
     return pa.RecordBatch.from_pydict(
         {
@@ -223,49 +297,69 @@ def _built(path: str, first: int, size: int, shapes: dict) -> pa.RecordBatch:
             "size": [size],
             "names": [sorted(shapes)],
             "shapes": pa.array([flat], pa.list_(pa.int64())),
+            "more": pa.array([more], pa.list_(pa.float64())),
         }
     )
 
 
-_BUILT = "path string, first bigint, size bigint, names array<string>, shapes array<bigint>"
-
-
-def _shards(built: DataFrame) -> tuple[Shard, ...]:
-    """The shards in order; their few rows come to the driver."""
-    shards, offset = [], 0
+def _shards(built: DataFrame) -> tuple[tuple[Shard, ...], list[list[float]]]:
+    """The shards in order, and what else their tasks tell; their few rows come to the driver."""
+    shards, offset, more = [], 0, []
     for r in sorted(built.collect(), key=lambda r: r["first"]):
         pairs = zip(r["names"], zip(r["shapes"][::2], r["shapes"][1::2], strict=True), strict=True)
         shards.append(Shard(r["path"], r["first"], r["size"], offset, dict(pairs)))
         offset += r["size"]
-    return tuple(shards)
-
-
-def _in_shards(df: DataFrame, key: str, *then: str) -> DataFrame:
-    parts = max(1, -(-df.count() // SHARD))
-    return df.repartitionByRange(parts, key).sortWithinPartitions(key, *then)
+        more.append(r["more"])
+    return tuple(shards), more
 
 
 def _count_tokens(batches: Batches) -> Batches:
-    for batch in batches:
-        found, counts = np.unique(tokenize(batch["text"].to_pylist()).hashes, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts)], names=["hash", "n"])
+    sums = Sums(SHARD)
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in sums.total()], names=["hash", "n"])
+
+    for _, tokens in chunks(batches):
+        found, counts = np.unique(tokens.hashes, return_counts=True)
+        sums.add(found, counts)
+        if sums.pending > SHARD // 2:
+            yield rows()
+            sums = Sums(SHARD)
+    yield rows()
+
+
+def cuts(counts: np.ndarray, limit: int) -> list[float]:
+    """Where contexts with these counts are cut into shards: triples of a position, a part and the parts.
+
+    A context with more than ``limit`` occurrences has several parts; others go together.
+    """
+    upto = np.cumsum(counts)
+    wide = np.flatnonzero(counts > limit)
+    at = np.searchsorted(upto, np.arange(limit, upto[-1], limit), side="right")
+    plain = np.unique(np.r_[0, at, wide + 1])
+    plain = plain[(plain < len(counts)) & ~np.isin(plain, wide)]
+    out = [x for p in plain.tolist() for x in (p, 0, 1)]
+    for p in wide.tolist():
+        parts = -(-int(counts[p]) // limit)
+        out += [x for k in range(parts) for x in (p, k, parts)]
+    return out
 
 
-def _build_tokens(folder: str):
+def _build_tokens(folder: str, limit: int):
     def run(batches: Batches) -> Batches:
-        columns = _gather(batches, "hash", "n")
-        if columns:
-            hashes, counts = columns
+        parts = [[b[n].to_numpy(zero_copy_only=False) for n in ("hash", "n")] for b in batches if b.num_rows]
+        if parts:
+            hashes, counts = (np.concatenate(c) for c in zip(*parts, strict=True))
             small = np.uint32 if counts.max() < 1 << 32 else np.uint64
             sequences = {"hash": EliasFano.build(_unsigned(hashes))}
             path, shapes = _write(folder, sequences, {"count": counts.astype(small)})
-            yield _built(path, int(hashes[0]), len(hashes), shapes)
+            yield _built(path, int(hashes[0]), len(hashes), shapes, cuts(counts, limit))
 
     return run
 
 
 class Bigrams(NamedTuple):
-    """The bigrams of a batch: ids of context and word, and the logarithm of p(word)."""
+    """The bigrams of a chunk: ids of context and word, the word's count and the logarithm of p(word)."""
 
     context: np.ndarray
     word: np.ndarray
@@ -284,43 +378,86 @@ def bigrams(model: Model, tokens: Tokens) -> Bigrams:
     return Bigrams(context, word, below[back], counts[back])
 
 
-def _count_bigrams(model: Model):
+def packed_run(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Keys in order and their counts as bytes, by digit, which compress well: high digits are zeros."""
+    steps = np.diff(keys, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return np.concatenate([steps, counts.astype("<u4").view(np.uint8).reshape(-1, 4)], axis=1).T.tobytes()
+
+
+def unpacked_run(run: bytes) -> tuple[np.ndarray, np.ndarray]:
+    digits = np.frombuffer(run, np.uint8).reshape(12, -1).T
+    steps, counts = (np.ascontiguousarray(d) for d in (digits[:, :8], digits[:, 8:]))
+    return np.cumsum(steps.view("<u8").ravel().astype(np.int64)), counts.view("<u4").ravel().astype(np.int64)
+
+
+def _count_bigrams(model: Model, firsts: np.ndarray):
+    """Sorted runs of a chunk's bigrams, one for each shard, which begin at ``firsts``."""
+
     def run(batches: Batches) -> Batches:
-        for batch in batches:
-            found = bigrams(model, tokenize(batch["text"].to_pylist()))
-            keys, counts = np.unique(found.context * model.distinct + found.word, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
+        for _, tokens in chunks(batches):
+            found = bigrams(model, tokens)
+            keys, counts = np.unique(model.keys(found.context, found.word), return_counts=True)
+            edges = np.r_[np.searchsorted(keys, firsts), len(keys)]
+            parts = np.flatnonzero(np.diff(edges))
+            runs = [packed_run(keys[i:j], counts[i:j]) for i, j in zip(edges[parts], edges[parts + 1], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(runs, pa.binary())], names=["part", "run"])
 
     return run
 
 
-def _build_contexts(folder: str, model: Model, discount: float):
+def _build_contexts(folder: str, model: Model, firsts: np.ndarray, least: int, discount: float):
+    """The arrays of one shard: a partition has the runs of one."""
+
     def run(batches: Batches) -> Batches:
-        columns = _gather(batches, "context", "word", "n")
-        if not columns:
+        sums, number = Sums(4 * SHARD), 0
+        for batch in batches:
+            number = batch["part"][0].as_py() if batch.num_rows else number
+            for part in batch["run"]:
+                sums.add(*unpacked_run(part.as_py()))
+        keys, n = sums.total()
+        keys, n = keys[n >= least], n[n >= least]
+        if not len(keys):
             return
-        context, word, n = columns
+        context, word = np.divmod(keys, model.distinct + 1)
+        word -= 1
         present, begin, back = np.unique(context, return_index=True, return_inverse=True)
         total = counts_of_ids(model, present)
         taken = np.bincount(back, n - discount, len(present)) / total
-        left = np.maximum(1 - taken, 1e-12)
-        order = np.argsort(word, kind="stable")
-        below = np.empty(len(word))
-        below[order] = (counts_of_ids(model, word[order]) + 1) / (model.total + model.distinct + 1)
-        p = (n - discount) / total[back] + left[back] * below
         relative = back.astype(np.uint64) * np.uint64(model.distinct) + word.astype(np.uint64)
         sequences = {
             "context": EliasFano.build(present.astype(np.uint64)),
             "pointer": EliasFano.build(np.r_[begin, len(word)].astype(np.uint64)),
             "successor": EliasFano.build(relative),
         }
-        arrays = {"left": quantised(np.log10(left)), "probability": quantised(np.log10(p))}
+        arrays = {
+            "left": quantised(np.log10(np.maximum(1 - taken, 1e-12))),
+            "share": quantised(np.log10((n - discount) / total[back])),
+        }
         path, shapes = _write(folder, sequences, arrays)
-        yield _built(path, int(present[0]), len(present), shapes)
+        shared = np.flatnonzero(np.isin(present, model.wide))
+        more = [float(x) for i in shared for x in (present[i], taken[i])]
+        yield _built(path, int(firsts[number]), len(present), shapes, more)
 
     return run
 
 
+def _first_keys(model: Model, found: list[list[float]]) -> tuple[np.ndarray, np.ndarray]:
+    """The first key of each shard of bigrams, and the contexts that have several shards."""
+    span = model.distinct + 1
+    firsts, wide = [], set()
+    places = [
+        (int(p) + shard.offset, int(k), int(parts))
+        for shard, flat in zip(model.tokens, found, strict=True)
+        for p, k, parts in zip(flat[::3], flat[1::3], flat[2::3], strict=True)
+    ]
+    starts = -(-model.texts // SHARD)
+    for context, k, parts in [*places, *((model.start, k, starts) for k in range(starts))]:
+        firsts.append(context * span + span * k // parts)
+        if parts > 1:
+            wide.add(context)
+    return np.array(sorted(set(firsts)), np.int64), np.array(sorted(wide), np.int64)
+
+
 def train(docs: DataFrame, text_col: str = "text", least: int = LEAST, discount: float = DISCOUNT) -> Model:
     """The trie of all given texts."""
     spark: SparkSession = docs.sparkSession
@@ -334,18 +471,25 @@ def train(docs: DataFrame, text_col: str = "text", least: int = LEAST, discount:
         F.count(F.lit(1)).alias("distinct"),
         F.coalesce(F.max(F.when(F.col("hash") == END, F.col("n"))), F.lit(0)).alias("texts"),
     ).first()
-    tokens = _shards(map_batches(_in_shards(counts, "hash"), _build_tokens(folder), _BUILT))
-    model = Model(tokens, (), sums["total"], sums["distinct"], sums["texts"])
+    parts = max(1, -(-sums["distinct"] // SHARD))
+    ordered = counts.repartitionByRange(parts, "hash").sortWithinPartitions("hash")
+    tokens, found = _shards(map_batches(ordered, _build_tokens(folder, SHARD), _BUILT))
+    none = np.zeros(0)
+    model = Model(tokens, (), sums["total"], sums["distinct"], sums["texts"], none.astype(np.int64), none)
     if not model.total:
         return model
-    pairs = map_batches(texts, _count_bigrams(model), "key bigint, n bigint")
-    stored = pairs.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    split = stored.selectExpr(f"key div {model.distinct}L AS context", f"key % {model.distinct}L AS word", "n")
-    split = stage_table(split, "bigrams")
-    built = map_batches(
-        _in_shards(split, "context", "word"), _build_contexts(folder, model, discount), _BUILT
-    )
-    return model._replace(contexts=_shards(built))
+    firsts, wide = _first_keys(model, found)
+    model = model._replace(wide=wide)
+    runs = map_batches(texts, _count_bigrams(model, firsts), "part int, run binary")
+    dealt = runs.repartitionById(len(firsts), "part")
+    built = map_batches(dealt, _build_contexts(folder, model, firsts, least, discount), _BUILT)
+    contexts, ends = _shards(built)
+    taken = dict.fromkeys(wide.tolist(), 0.0)
+    for flat in ends:
+        for context, share in zip(flat[::2], flat[1::2], strict=True):
+            taken[int(context)] += share
+    left = np.array([max(1 - taken[c], 1e-12) for c in wide.tolist()])
+    return model._replace(contexts=contexts, left=left)
 
 
 def score_texts(docs: DataFrame, model: Model, text_col: str, *more: Column) -> DataFrame:
@@ -355,17 +499,15 @@ def score_texts(docs: DataFrame, model: Model, text_col: str, *more: Column) ->
 
     def run(batches: Batches) -> Batches:
         own = shared.value
-        for batch in batches:
-            tokens = tokenize(batch["text"].to_pylist())
+        for held, tokens in chunks(batches):
             found = bigrams(own, tokens)
-            order = np.lexsort((found.word, found.context))
-            scores = np.empty(len(order))
-            scores[order] = score_bigrams(own, found.context[order], found.word[order], found.below[order])
+            scores = score_bigrams(own, found.context, found.word, found.below)
             text = np.repeat(np.arange(len(tokens.sizes)), tokens.sizes)
             sums = [np.bincount(text, v, len(tokens.sizes)) for v in (found.below, scores)]
             known = np.bincount(text, found.count > 0, len(tokens.sizes)).astype(np.int64)
+            row = pa.concat_arrays([b["row"] for b in held])
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(tokens.sizes), pa.array(known), *map(pa.array, sums)],
+                [row, pa.array(tokens.sizes), pa.array(known), *map(pa.array, sums)],
                 names=["row", "n_tokens", "n_known", "base_score", "score"],
             )
 

@@ -17,7 +17,7 @@ def tokens(text):
     return [*low.encode().split(), None]
 
 
-def brute(train, texts, least=2, discount=0.75):
+def brute(train, texts, least=1, discount=0.75):
     """Token counts, base score and model score of each text, by plain counting."""
     words, pairs = Counter(), Counter()
     for text in train:
@@ -49,14 +49,15 @@ def check(found, expected):
     assert found[3] == pytest.approx(expected[3], abs=2e-4 * expected[0])
 
 
-@pytest.mark.parametrize("shard", [1_000_000, 7])
-def test_scores_against_counting(spark, monkeypatch, shard):
+@pytest.mark.parametrize(("shard", "chunk", "least"), [(1_000_000, 1_000_000, 1), (7, 5, 1), (40, 1, 1), (7, 50, 2)])
+def test_scores_against_counting(spark, monkeypatch, shard, chunk, least):
     monkeypatch.setattr(ngram_lm, "SHARD", shard)
+    monkeypatch.setattr(ngram_lm, "CHUNK", chunk)
     rng = random.Random(1)
     texts = [(i, " ".join(rng.choice("a b c D d ee F".split()) for _ in range(rng.randint(0, 30)))) for i in range(70)]
     held = {i for i, _ in texts if zlib.crc32(str(i).encode()) % 7 == 2}
-    total, expected = brute([t for i, t in texts if i not in held], [t for _, t in texts])
-    rows = {r.doc_id: r for r in ngram_lm.score_table(documents(spark, texts)).collect()}
+    total, expected = brute([t for i, t in texts if i not in held], [t for _, t in texts], least)
+    rows = {r.doc_id: r for r in ngram_lm.score_table(documents(spark, texts), least=least).collect()}
     assert {i for i, r in rows.items() if r.held_out} == held
     for (i, _), e in zip(texts, expected, strict=True):
         r = rows[i]
@@ -95,6 +96,30 @@ def test_probabilities_of_a_context_add_up_to_one(spark):
         assert p.sum() == pytest.approx(1, abs=2e-3)
 
 
+def test_cuts_of_contexts():
+    for counts, limit in (([5], 2), ([1] * 10, 3), ([0, 9, 1, 1, 1, 20, 0, 2], 4), ([3, 3], 100)):
+        found = np.array(ngram_lm.cuts(np.array(counts), limit)).reshape(-1, 3)
+        assert found[0, 0] == 0
+        firsts = sorted((p + k / parts, p, k, parts) for p, k, parts in found.tolist())
+        for (_, p, _, parts), nxt in zip(firsts, [*firsts[1:], (None, len(counts), 0, 1)], strict=True):
+            assert parts == (-(-counts[int(p)] // limit) if counts[int(p)] > limit else 1)
+            if parts == 1:
+                assert sum(counts[int(p) : int(nxt[1])]) <= 2 * limit
+
+
+def test_counts_are_added_up_in_between():
+    rng = np.random.default_rng(2)
+    sums, expected = ngram_lm.Sums(50), Counter()
+    for _ in range(40):
+        keys, counts = np.unique(rng.integers(0, 300, 30), return_counts=True)
+        sums.add(keys, counts)
+        expected.update(dict(zip(keys.tolist(), counts.tolist(), strict=True)))
+    keys, counts = sums.total()
+    assert dict(zip(keys.tolist(), counts.tolist(), strict=True)) == expected and (np.diff(keys) > 0).all()
+    keys = np.array([0, 1, 2**40, 2**62])
+    assert [a.tolist() for a in ngram_lm.unpacked_run(ngram_lm.packed_run(keys, keys % 7 + 1))] == [keys.tolist(), (keys % 7 + 1).tolist()]
+
+
 def test_the_folder_must_be_mounted():
     with pytest.raises(RuntimeError, match="mounted"):
         ngram_lm._local("hdfs://host/checkpoints")
