@@ -1,9 +1,11 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from llm.edge_cases import DOCUMENT, TEXTS, clashing, documents, empty, prose
 
-from geolink.llm import langid, toxicity
+from geolink.llm import langid, queries, toxicity
 from geolink.llm.common import table
 
 FOLDER = "/root/testdata/sf0.1"
@@ -40,8 +42,7 @@ def test_held_out_accuracy_of_toxicity(spark):
     rows = scored.select("toxic", "rejected").collect()
     caught = [r.rejected for r in rows if r.toxic == 1]
     clean = [r.rejected for r in rows if r.toxic == 0]
-    # About 2,600 labels to learn from here; the registered query has up to 10,000.
-    assert np.mean(caught) > 0.85 and np.mean(clean) < 0.01
+    assert np.mean(caught) > 0.9 and np.mean(clean) < 0.01
 
 
 def test_toxicity_edge_cases(spark):
@@ -54,12 +55,72 @@ def test_toxicity_edge_cases(spark):
     kept = toxicity.drop_toxic(odd, model)
     assert kept.columns == odd.columns
     ids = [r.doc_id for r in kept.collect()]
-    # A very long text has every weak feature of so small a sample, and may go with the toxic.
-    usual = [i for i, t in TEXTS if t is None or len(t) < 100_000]
-    assert sorted((i for i in ids if i not in (5, 6)), key=str) == sorted(usual, key=str)
+    assert len(ids) == len(TEXTS) and 50 not in ids and 51 not in ids
     assert toxicity.severities(empty(spark), model).count() == 0
 
 
+def test_length_does_not_matter(spark):
+    """Toxic passages in much clean text are caught, and clean texts of that length stay."""
+    docs, labels = (table(spark, FOLDER, t) for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels.filter("doc_id % 3 <> 0"))
+    held = docs.join(labels.filter("doc_id % 3 = 0"), "doc_id").select("toxic", "text").orderBy("doc_id").collect()
+    scored = [(r.toxic, r.text.encode(), model.above(np.array([model.score(r.text.encode())]))[0, 0]) for r in held]
+    short = [p >= toxicity.LIMIT for toxic, t, p in scored if toxic and len(t) < 1000]
+    # Some labelled toxic have none of the words: a text of 115 characters that is a license line, lists.
+    assert np.mean(short) > 0.8
+    sure = [t for toxic, t, p in scored if toxic and p > 0.5][:40]
+    clean = [t for toxic, t, p in scored if not toxic and p < toxicity.LIMIT and len(t) < 5000]
+    rng = random.Random(8)
+    for size in (2_000, 5_000, 20_000, 300_000):
+        caught, kept = [], []
+        for passage in sure[: 40 if size < 100_000 else 15]:
+            around = b" ".join(rng.choices(clean, k=size // 200))[:size]
+            for text, out in ((passage + b" " + around, caught), (around + b" " + passage, caught), (around, kept)):
+                out.append(model.above(np.array([model.score(text)]))[0, 0] >= toxicity.LIMIT)
+        assert np.mean(caught) >= 0.9 and np.mean(kept) < 0.05, size
+
+
+def slow_score(model, text):
+    """The score of the worst section, one section after the other."""
+    found, best, begin = toxicity.words(text), 0.0, 0
+    while True:
+        section = Counter(found[begin : begin + toxicity.SECTION])
+        best = max(best, sum(min(n, 2) * model.weights.get(f, 0) for w, n in section.items() for f in toxicity.features_of(w)))
+        if begin + toxicity.SECTION >= len(found):
+            return best
+        begin += toxicity.STEP
+
+
+def test_scores_against_counting():
+    rng = random.Random(4)
+    model = toxicity.Model({b"idiot": 1.5, b"^idio": 0.5, b"^mor": 9.0, b"^moro": 1.0, b"scum": 2.0}, (1.0, 2.0))
+    for count in (0, 1, 59, 60, 61, 80, 81, 100, 400):
+        text = " ".join(rng.choice(["idiot", "idiots", "moron", "scum", *"abcdefghijklmnop"]) for _ in range(count))
+        assert model.score(text.encode()) == pytest.approx(slow_score(model, text.encode()))
+    assert model.score(None) == 0.0
+
+
+def test_query_is_the_model_of_the_whole_table(spark):
+    """All rows of the registered query, against the score one section at a time."""
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (table(spark, folder, t) for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    rows = {r.doc_id: r for r in queries.queries()["op7_toxicity"](spark, folder).collect()}
+    for doc in docs.collect():
+        above = model.above(np.array([slow_score(model, doc.text.encode() if doc.text else None)]))[0]
+        r = rows[doc.doc_id]
+        assert (r.severity, r.p_toxic) == pytest.approx((above.sum(), above[0]), abs=1e-9)
+        assert r.rejected == (above[0] >= toxicity.LIMIT) and r.grade == (above >= 0.5).sum()
+
+
+def test_a_labelled_id_of_many_texts_is_sampled(spark):
+    texts = [(i % 3, insulting(random.Random(i)) if i % 3 == 0 else prose(30)) for i in range(60)] + [(1, "copy")] * 30
+    labels = spark.createDataFrame([(i, 1, int(i == 0)) for i in range(3)], LABEL)
+    rows = toxicity.sampled(documents(spark, texts), labels, "doc_id", "text", 25).collect()
+    assert len(rows) == 25 and {r.grade for r in rows} == {0, 1}
+    assert toxicity.sampled(documents(spark, texts), labels, "doc_id", "text", 900).count() == 61
+
+
 def test_nothing_to_learn_from(spark):
     docs, labels = labelled(spark, 40)
     for given in (labels.limit(0), labels.filter("toxic = 0")):
