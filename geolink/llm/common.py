@@ -14,6 +14,7 @@ from urllib.parse import urlparse
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bounds of one Arrow batch: rows, and bytes where the running Spark honours them.
 BATCH_ROWS = 500
@@ -80,15 +81,21 @@ def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema) -
 
 #: The key under which an operator finds a text again. Rows with one key have one text.
 KEY = ["text_id", "text_version"]
-KEY_TYPES = "text_id bigint, text_version int"
+KEY_TYPES = "text_id bigint, text_version bigint"
 
 
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    """Texts as bytes in ``text`` under the key; a row without an id is known by its text alone."""
-    text = F.col(f"`{text_col}`")
+    """Texts as bytes in ``text`` under the key: a hash of the text, with the id or another hash.
+
+    A whole number is its own part of the key; another kind of id is hashed. A row without an id is known
+    by its text alone, by 128 bits.
+    """
+    text, id_ = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    known = id_.cast("bigint") if whole else F.xxhash64(F.lit(1), id_)
     return docs.select(
-        F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(-1)).alias("text_id"),
-        F.hash(text).alias("text_version"),
+        F.when(id_.isNull(), F.xxhash64(F.lit(2), text)).otherwise(known).alias("text_id"),
+        F.xxhash64(F.lit(3), text.isNull(), text).alias("text_version"),
         text.cast("binary").alias("text"),
         *more,
     )

@@ -23,22 +23,17 @@ A text of no words has the fingerprint zero and is linked like any other; null c
 
 from __future__ import annotations
 
-import math
-import os
-import secrets
-import uuid
-from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geolink.llm.common import KEY, KEY_TYPES, Batches, keyed_texts, map_batches, mounted, packed, unpacked
-from geolink.llm.components import HELD, Contraction, connected_components, contracted
-from geolink.operators.staging import shared_folder, stage_table
+from geolink.llm.common import KEY, KEY_TYPES, Batches, keyed_texts, map_batches, packed, unpacked
+from geolink.llm.components import HELD, Contraction, connected_components
+from geolink.operators.staging import stage_table
 
 SHINGLE = 4
 DISTANCE = 4
@@ -102,7 +97,7 @@ def with_fingerprints(
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = keyed_texts(docs, id_col, text_col, F.col(f"`{id_col}`").alias("id"))
-    return map_batches(texts, run, f"id {kind}, text_id bigint, text_version int, fp bigint")
+    return map_batches(texts, run, f"id {kind}, {KEY_TYPES}, fp bigint")
 
 
 @lru_cache(1)
@@ -296,24 +291,20 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE, block: int
     return links_within_groups(shared_keys(keys, block), _within(["node"], distance))
 
 
-def _grouped(rows: DataFrame, links: Callable[[DataFrame], DataFrame], node: str, *more: Column) -> DataFrame:
-    """Rows with ``component_id``, the smallest id of the rows whose nodes are connected, and ``root``.
+def _grouped(rows: DataFrame, distance: int) -> DataFrame:
+    """Rows with ``component_id``, the smallest id of the rows whose fingerprints are connected, and ``root``.
 
-    The root is the component's smallest node. It tells components apart where ids are null or repeated.
-    ``more`` aggregates of a node's rows are handed to ``links``.
+    The root is the component's smallest fingerprint. It tells components apart where ids are null or
+    repeated.
     """
-    others = [c for c in rows.columns if c not in ("id", node, *KEY)]
-    classes = stage_table(
-        rows.groupBy(node).agg(F.min("id").alias("first_id"), *[F.first(c).alias(c) for c in others], *more),
-        "classes",
-    )
-    roots = connected_components(links(classes), "u", "v")
-    rooted = classes.join(roots, classes[node] == roots.node, "left").select(
-        classes[node].alias(node), "first_id", F.coalesce("root", classes[node]).alias("root")
+    classes = stage_table(rows.groupBy("fp").agg(F.min("id").alias("first_id")), "classes")
+    roots = connected_components(fingerprint_links(classes, distance), "u", "v")
+    rooted = classes.join(roots, classes["fp"] == roots.node, "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.select(node, "root").join(least, "root").select(node, "root", "component_id")
-    return rows.join(named, node)
+    named = rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp")
 
 
 def near_groups(
@@ -323,12 +314,12 @@ def near_groups(
     shingle: int = SHINGLE,
     distance: int = DISTANCE,
 ) -> DataFrame:
-    """Per row: ``id``, its key, ``fp``, and ``component_id``, the smallest id in reach by links.
+    """Per row: ``id``, its key, ``fp``, ``root``, and ``component_id``, the smallest id in reach by links.
 
     Repeated rows get one result each. A null id is never the smallest unless there is no other.
     """
     rows = stage_table(with_fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    return _grouped(rows, lambda classes: fingerprint_links(classes, distance), "fp")
+    return _grouped(rows, distance)
 
 
 def component_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,244 +331,20 @@ def component_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-# Near copies by similarity: pairs of texts whose sets of distinct shingles have a Jaccard similarity of
-# at least a bound. Candidates are drawn from the shingles themselves: a minimum hash of two sets is the
-# same with a probability of their similarity J, whatever kind of edit they differ by. A key is made of
-# ROWS such minima, and there are BANDS of them, so that a pair meets with 1 - (1 - J**ROWS)**BANDS:
-# 0.9999 at 0.8. Pairs whose simhash of the shingles is too far apart are left out, five standard errors
-# beyond what is expected at the bound. Each other pair is decided by its two sets of shingles, unless
-# links already verified connect it. Shingles are compared by 64-bit hashes.
-
-#: Keys of a text, and minimum hashes in each.
-BANDS, ROWS = 40, 7
-#: Bits of the signature that is compared first, in words of 64.
-SHINGLE_PARTS = 4
-SIGNATURE = [f"s{i}" for i in range(SHINGLE_PARTS)]
-#: Where the set of a text's shingles is: its file, its first place there, and its size.
-PLACE = ["file", "place", "size"]
-_PLACED = "node bigint, file bigint, place bigint, size bigint"
-
-#: Pairs found not to be similar that a task remembers.
-REFUSED = 200_000
-
-_rng = np.random.default_rng(SEED)
-_FLIPS, _FACTORS = (_rng.integers(2**32, size=(BANDS * ROWS, 1), dtype=np.uint32) | np.uint32(1) for _ in range(2))
-
-
-def _mixed(hashes: np.ndarray, part: int) -> np.ndarray:
-    """An independent hash of a hash for each part."""
-    x = (hashes ^ np.uint64(part * 0x9E3779B97F4A7C15 & (2**64 - 1))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
-def shingle_set(words: list[bytes], shingle: int) -> np.ndarray:
-    """Hashes of the distinct shingles, in order; fewer words than a shingle are one."""
-    digest = xxhash.xxh64_intdigest
-    count = max(len(words) - shingle + 1, 1)
-    return np.unique(
-        np.fromiter((digest(b" ".join(words[i : i + shingle]), SEED) for i in range(count)), np.uint64, count)
-    )
-
-
-def bands_of(hashes: np.ndarray, block: int = 1024) -> np.ndarray:
-    """The keys of a set of hashes, each a digest of its band's minimum hashes."""
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(BANDS * ROWS, 2**32 - 1, np.uint32)
-    for low in range(0, len(short), block):
-        x = (short[low : low + block] ^ _FLIPS) * _FACTORS
-        x ^= x >> np.uint32(15)
-        x *= np.uint32(0x846CA68B)
-        x ^= x >> np.uint32(16)
-        np.minimum(least, x.min(axis=1), out=least)
-    keys = np.zeros(BANDS, np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        keys = _mixed(keys ^ row.astype(np.uint64), 1)
-    # The last bits tell the band.
-    return (keys & ~np.uint64(63)) | np.arange(BANDS, dtype=np.uint64)
-
-
-def signature(text: bytes | None, shingle: int) -> tuple[list[int], bytes]:
-    """A digest of the words of a text with the majority bits of its distinct shingles, and its keys."""
-    words = (text or b"").lower().split()
-    hashes = shingle_set(words, shingle)
-    parts = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    parts += [majority(_mixed(hashes, part)) for part in range(SHINGLE_PARTS)]
-    return parts, bands_of(hashes).tobytes()
-
-
-def _signatures(shingle: int):
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            found = [signature(t, shingle) for t in batch["text"].to_pylist()]
-            columns = np.array([f for f, _ in found], np.uint64).reshape(-1, 1 + SHINGLE_PARTS).view(np.int64)
-            bands = pa.array([b for _, b in found], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], *[batch[c] for c in KEY], *[pa.array(c.copy()) for c in columns.T], bands],
-                names=["id", *KEY, "node", *SIGNATURE, "bands"],
-            )
-
-    return run
-
-
-def _band_keys(batches: Batches) -> Batches:
-    """Each node under each of its keys."""
-    for batch in batches:
-        keys = np.frombuffer(b"".join(batch["bands"].to_pylist()), np.int64)
-        at = np.repeat(np.arange(batch.num_rows), BANDS)
-        node = batch["node"].to_numpy(zero_copy_only=False)
-        yield _key_rows(node, at, keys, np.ones(len(keys), bool))
-
-
-def differing_bits(similarity: float) -> int:
-    """Bits in which the shingle signatures of texts of this Jaccard similarity hardly ever differ more.
-
-    Sets of equal size, which differ most, have the cosine 2 J / (1 + J), and a bit differs with the
-    angle's share of pi. Five standard errors are added.
-    """
-    bits = 64 * SHINGLE_PARTS
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * share + 5 * math.sqrt(bits * share * (1 - share)))
-
-
-def _write_sets(folder: str, shingle: int):
-    """Writes the shingle sets of a task's texts to a file of its own and tells where each is."""
-
-    def run(batches: Batches) -> Batches:
-        file, place = secrets.randbits(62), 0
-        with open(f"{folder}/{file}", "wb") as out:
-            for batch in batches:
-                sizes = []
-                for text in batch["text"].to_pylist():
-                    hashes = shingle_set((text or b"").lower().split(), shingle)
-                    hashes.tofile(out)
-                    sizes.append(len(hashes))
-                sizes = np.array(sizes, np.int64)
-                stops = place + np.cumsum(sizes)
-                place += int(sizes.sum())
-                columns = [pa.array(np.full(len(sizes), file)), pa.array(stops - sizes), pa.array(sizes)]
-                # The file is whole before a row that names it is.
-                out.flush()
-                yield pa.RecordBatch.from_arrays([batch["node"], *columns], names=["node", *PLACE])
-
-    return run
-
-
-class Sets:
-    """Shingle sets, by their place in mapped files."""
-
-    def __init__(self, folder: str):
-        self.folder = folder
-        self.files: dict[int, np.ndarray] = {}
-
-    def read(self, file: int, place: int, size: int) -> np.ndarray:
-        if file not in self.files:
-            self.files[file] = np.memmap(f"{self.folder}/{file}", np.uint64, "r")
-        return self.files[file][place : place + size]
-
-
-def jaccard(a: np.ndarray, b: np.ndarray) -> float:
-    """Of two sets in order."""
-    at = np.searchsorted(a, b)
-    both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-    return both / (len(a) + len(b) - both)
-
-
-def verified_pairs(rows: dict[str, np.ndarray], group: np.ndarray, distance: int, similarity: float, sets: Sets):
-    """Positions of pairs within sorted groups that are similar by their sets, enough to connect all such.
-
-    A pair that verified ones already connect is not decided again.
-    """
-    nodes, first, at = np.unique(rows["node"], return_index=True, return_inverse=True)
-    bits = [rows[c].view(np.uint64) for c in SIGNATURE]
-    size = rows["size"]
-    places = np.stack([rows[c] for c in PLACE], axis=1)[first]
-    root, refused, found = np.arange(len(nodes)), set(), []
-    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    longest = int(np.diff(np.r_[starts, len(group)]).max())
-    left = np.arange(len(group))
-    for lag in range(1, longest):
-        left = left[left + lag < len(group)]
-        left = left[group[left + lag] == group[left]]
-        right = left + lag
-        near = root[at[left]] != root[at[right]]
-        near &= np.minimum(size[left], size[right]) >= similarity * np.maximum(size[left], size[right]) - 1e-6
-        near[near] = (
-            sum(np.bitwise_count(b[left[near]] ^ b[right[near]]).astype(np.int64) for b in bits) <= distance
-        )
-        joined = []
-        for a, b in zip(at[left[near]].tolist(), at[right[near]].tolist(), strict=True):
-            pair = (min(a, b), max(a, b))
-            if pair in refused:
-                continue
-            if jaccard(*(sets.read(*places[x].tolist()) for x in pair)) >= similarity:
-                joined.append(pair)
-            else:
-                if len(refused) >= REFUSED:
-                    refused.clear()
-                refused.add(pair)
-        if joined:
-            found += joined
-            a, b = np.array(joined).T
-            high, low = contracted(root[a], root[b])
-            to = np.arange(len(nodes))
-            to[high] = low
-            root = to[root]
-    pairs = np.array(found, np.int64).reshape(-1, 2)
-    return nodes[pairs[:, 0]], nodes[pairs[:, 1]]
-
-
-def similar_groups(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = 5,
-    similarity: float = 0.8,
-) -> DataFrame:
-    """Per row: ``id``, its key, ``root`` of its component, and the component's smallest id."""
-    spark = docs.sparkSession
-    texts = keyed_texts(docs, id_col, text_col, F.col(f"`{id_col}`").alias("id"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    longs = ", ".join(f"{c} bigint" for c in ("node", *SIGNATURE))
-    schema = f"id {kind}, {KEY_TYPES}, {longs}, bands binary"
-    rows = stage_table(map_batches(texts, _signatures(shingle), schema), "signatures")
-    folder = f"{mounted(shared_folder(spark))}/geolink/shingles-{uuid.uuid4().hex}"
-    os.makedirs(folder, exist_ok=True)
-
-    def links(classes: DataFrame) -> DataFrame:
-        keys = map_batches(classes.select("node", "bands"), _band_keys, _KEYS)
-        groups = stage_table(shared_keys(keys), "groups")
-        # Only texts that meet another are read again, one for each node.
-        meeting = groups.select("node").distinct().hint("merge")
-        one = classes.select("node", "one.*").join(meeting, "node").hint("merge")
-        again = keyed_texts(docs, id_col, text_col).join(one, KEY).select("node", "text")
-        placed = stage_table(map_batches(again, _write_sets(folder, shingle), _PLACED), "places")
-        placed = placed.groupBy("node").agg(F.min(F.struct(*PLACE)).alias("one")).select("node", "one.*")
-        bits = classes.select("node", *SIGNATURE).join(placed.hint("merge"), "node")
-        distance, sets = differing_bits(similarity), Sets(folder)
-
-        def find(part: dict[str, np.ndarray], group: np.ndarray):
-            return verified_pairs(part, group, distance, similarity, sets)
-
-        return links_within_groups(groups.join(bits.hint("merge"), "node"), find)
-
-    one = F.min(F.struct(*KEY)).alias("one")
-    return _grouped(rows, links, "node", one).select("id", *KEY, "root", "component_id")
-
-
 def drop_near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle: int = 5,
-    similarity: float = 0.8,
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
 ) -> DataFrame:
     """The rows and columns of ``docs``, of each group of near copies the row with the smallest id.
 
-    Rows that repeat an id of the group count once; groups without ids, or that share one, are kept
-    apart. Texts without words are one group.
+    Rows that repeat an id and text of the group count once; of them the one with the smallest hash of its
+    other columns stays. Groups without ids, or that share one, are kept apart. Texts without words are
+    one group.
     """
-    groups = similar_groups(docs, id_col, text_col, shingle, similarity)
+    groups = near_groups(docs, id_col, text_col, shingle, distance)
     keepers = (
         groups.filter(F.col("id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
@@ -585,6 +352,7 @@ def drop_near_copies(
         .select("one.text_id", "one.text_version")
     )
     texts = keyed_texts(docs, id_col, text_col, packed(docs, text_col))
-    kept = texts.join(keepers, KEY, "left_semi").dropDuplicates(KEY)
-    kept = kept.withColumn("body", F.col("text").cast("string"))
-    return unpacked(kept, docs, text_col, "body")
+    kept = texts.join(keepers, KEY, "left_semi").groupBy(*KEY).agg(
+        F.min_by(F.struct("row", F.col("text").cast("string").alias("body")), F.xxhash64(F.to_json("row"))).alias("one")
+    )
+    return unpacked(kept.select("one.row", "one.body"), docs, text_col, "body")

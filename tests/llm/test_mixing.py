@@ -6,11 +6,9 @@ from fractions import Fraction
 
 import pytest
 from llm.edge_cases import TEXTS, clashing, documents, empty, prose
-from oracle import connect, differences
 
-from geolink.llm import mixing, queries
+from geolink.llm import mixing
 
-FOLDER = "/root/testdata/sf0.001"
 
 
 def size(text):
@@ -123,10 +121,3 @@ def test_no_python_in_the_plan(spark, capsys):
     mixing.mixed(documents(spark)).explain("formatted")
     shown = capsys.readouterr().out
     assert "Python" not in shown and "Arrow" not in shown
-
-
-@pytest.mark.parametrize("folder", [FOLDER, "/root/testdata/sf0.01"])
-def test_query_matches_sql(spark, folder):
-    name = "op13_source_mixing"
-    df = queries.queries()[name](spark, folder)
-    assert differences(df, connect(folder), queries.oracle_sql()[name]) == []

@@ -5,11 +5,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm.edge_cases import LONG, TEXTS, clashing, documents, empty, prose
-from oracle import connect, differences
 
-from geolink.llm import queries, search
+from geolink.llm import search
 
-FOLDER = "/root/testdata/sf0.001"
 ITEM = "item_id bigint, text string, number int, terms string, rank int"
 ITEMS = [
     (1, "same text HERE"),
@@ -119,10 +117,3 @@ def test_accumulators_stop_and_scores_stay_exact():
         # With all weight on rare terms, documents with frequent terms alone get no accumulator.
         stopped += int(np.count_nonzero(full) > len(search.best(block, item, docs, int(full[order[-1]]))[0]))
     assert stopped > 10
-
-
-def test_query_matches_sql(spark):
-    name = "op11_ranked_search"
-    df = queries.queries()[name](spark, FOLDER)
-    assert differences(df, connect(FOLDER), queries.oracle_sql()[name]) == []
-    assert df.count() > 100

@@ -2,8 +2,9 @@ import hashlib
 import random
 from collections import Counter
 
-from geolink.llm import substrings
+from geolink.llm import simhash, substrings
 from llm.edge_cases import DOCUMENT, TEXTS, clashing, documents, empty, plain
+from pyspark.sql import functions as F
 
 
 def brute(texts, window):
@@ -67,6 +68,28 @@ def test_rows_without_id_and_repeated_rows(spark):
     assert removed == [(1, 0), (1, 0), (40, 40), (40, 40), (41, 40)]
 
 
+def test_texts_without_id_whose_short_hashes_are_equal(spark):
+    """Of 400,000 texts some have equal hashes of 32 bits; they are still different rows."""
+    ids = spark.range(400_000).selectExpr("concat_ws(' ', transform(sequence(1, 62), k -> concat('w', k * 7919 % 97, 'x', id))) AS t")
+    pairs = ids.groupBy(F.hash("t")).agg(F.collect_list("t").alias("ts")).filter("size(ts) > 1")
+    a, b = pairs.orderBy(F.col("ts")[0]).first().ts[:2]
+    rows = [(None, a), (None, b), (-1, b), (5, " ".join(a.split()[:40]))]
+    texts = [t for _, t in rows]
+    docs = documents(spark, rows).repartition(2)
+    found = sorted(tuple(r)[1:] for r in substrings.repeat_digests(docs).collect())
+    assert found == sorted(brute(texts, 35))
+    kept = simhash.drop_near_copies(documents(spark, rows[:2]))
+    assert sorted(r.text for r in kept.collect()) == sorted([a, b])
+
+
+def test_ids_that_are_texts(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = documents(spark, [(1, passage), (2, "x " + passage), (3, "y")])
+    docs = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    found = {r.doc_id: r.n_removed for r in substrings.repeat_digests(docs).collect()}
+    assert found == {"d1": 40, "d2": 40, "d3": 0}
+
+
 def test_empty_table(spark):
     assert substrings.repeat_digests(empty(spark)).count() == 0
     assert substrings.remove_repeats(empty(spark)).count() == 0
