@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id stays."""
+    """Of each group of near copies by simhash, the document with the smallest id stays."""
     return simhash.drop_near_copies(docs)
 
 
