@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from geolink import standins
 from geolink.functions import keys
 from geolink.functions.ratios import pct
-from geolink.operators import joins, projection, stacking, staging
+from geolink.operators import joins, projection, ranking, stacking, staging
 from geolink.operators.centroid import polygon_centroids
 from geolink.plans import (
     cache,
@@ -25,8 +25,8 @@ from geolink.plans import (
     territory,
 )
 from geolink.sources import dictionary as dictionary_source
-from geolink.sources import files, payload, sinks
-from geolink.sources.tables import read_table_in_order, read_text_csv
+from geolink.sources import files, footers, payload, sinks
+from geolink.sources.tables import read_table_in_order, read_text_csv, split_text_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -275,15 +275,18 @@ def _orders_by_status(spark, d):
     ]
 
 
+def _dated_orders(spark, d):
+    day = F.col("o_orderdate").cast("date")
+    return [part.withColumn("o_orderdate", day) for part in _orders_by_status(spark, d)]
+
+
 def q_stack(spark, d):
     day = F.col("o_orderdate").cast("date")
     return stacking.stack_strict(_orders_by_status(spark, d)).withColumn("o_orderdate", day)
 
 
 def q_stack_aligned(spark, d):
-    filled, opened, rest = (
-        f.select("o_orderkey", "o_custkey", "o_orderpriority") for f in _orders_by_status(spark, d)
-    )
+    filled, opened, rest = _dated_orders(spark, d)
     return stacking.stack_aligned(
         [filled.drop("o_orderpriority"), opened.drop("o_custkey"), rest]
     )
@@ -291,9 +294,7 @@ def q_stack_aligned(spark, d):
 
 def q_aligned_files(spark, d):
     """Parts with different columns, written apart and read as one table in order."""
-    filled, opened, rest = (
-        f.select("o_orderkey", "o_custkey", "o_orderpriority") for f in _orders_by_status(spark, d)
-    )
+    filled, opened, rest = _dated_orders(spark, d)
     paths = []
     for part in (filled.drop("o_orderpriority"), opened.drop("o_custkey"), rest):
         paths.append(staging.stage_path(spark, "part"))
@@ -315,13 +316,79 @@ def q_schema_scan(spark, d):
     return inspection.scan_inventory(standins.column_inventory(spark, d))
 
 
+GROUPS = ["ST", "EP", "DC", "PF"]
+
+
+def named_folder(spark, d):
+    """A folder of many tables, each named by its group and period."""
+    out = staging.stage_path(spark, "named")
+    standins.named_tables(spark, d, out)
+    return out
+
+
 def q_file_inspection(spark, d):
-    return inspection.file_facts(standins.table(spark, d, "lineitem"), "lineitem")
+    """Rows and columns of the latest file of each group in a folder, from the footers."""
+    facts = inspection.inspect_groups(spark, named_folder(spark, d), GROUPS)
+    return facts.withColumnRenamed("group", "grupo")
+
+
+def q_folder_scan(spark, d):
+    """Address columns of the latest file of each group in a folder, with their first values."""
+    return inspection.scan_folder(spark, named_folder(spark, d), GROUPS)
+
+
+def q_folder_footers(spark, d):
+    """Columns, types and rows of all files of a folder, from the footers."""
+    found = footers.footers(footers.list_parts(spark, named_folder(spark, d), pattern="*.parquet"))
+    return footers.table_columns(found).drop("path", "first")
+
+
+def q_quarantined_payloads(spark, d):
+    """Rows of the good payloads, and the bad payloads by fault, counted."""
+    good, bad = payload.split_payloads(standins.broken_payloads(spark, d))
+    return payload.fault_counts(bad).unionByName(
+        good.agg(F.lit("none").alias("fault"), F.count("*").alias("n"))
+    )
+
+
+def q_quarantined_lines(spark, d):
+    """A CSV with lines that do not fit its header: the good rows, and the others whole, with their fault."""
+    out = staging.stage_path(spark, "lines")
+    good = ["cep_limpo", "latitude", "geocode_success"]
+    # Text that begins with the header in each part file, as a CSV does.
+    lines = standins.broken_lines(spark, d).withColumn("place", F.lit(1))
+    header = lines.limit(1).select(F.lit(",".join(good)).alias("value"), F.lit(0).alias("place"))
+    header.unionByName(lines).coalesce(1).sortWithinPartitions("place").select("value").write.text(out)
+    rows, bad = split_text_csv(spark, out, good)
+    return rows.unionByName(bad, allowMissingColumns=True)
+
+
+def q_conservative_numbered(spark, d):
+    """Rebuilt facilities with their number: by rule ascending, then by distance descending."""
+    names = ["cnes_codigo", "regra_aplicada", plausibility.DISTANCE]
+    rows = round6(rebuilt(spark, d).select(*names), plausibility.DISTANCE)
+    return ranking.numbered(rows, "n", conservative.conservative_order())
+
+
+def q_plausibility_numbered(spark, d):
+    """Audited facilities with their number: candidates and the farthest first."""
+    names = ["cnes_codigo", plausibility.CANDIDATE, plausibility.DISTANCE]
+    rows = round6(audited(spark, d).select(*names), plausibility.DISTANCE)
+    return ranking.numbered(rows, "n", plausibility.plausibility_order())
+
+
+def q_cache_stream(spark, d):
+    """The cache with new results that came in as files and were taken in as a stream."""
+    incoming, out, checkpoint = (staging.stage_path(spark, n) for n in ("incoming", "results", "stream"))
+    results = standins.new_results(spark, d)
+    sinks.write_table(results.repartition(4, "seq"), incoming)
+    cache.take_in_results(spark, incoming, results.schema, out, checkpoint, files_per_batch=1)
+    return cache.upsert_cache(standins.cache(spark, d), cache.saved_results(spark, out).drop("batch"))
 
 
 def q_first_rows(spark, d):
-    orders = standins.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return inspection.first_rows(orders, ["o_orderkey"])
+    rows = inspection.first_rows(standins.table(spark, d, "orders"), ["o_orderkey"])
+    return rows.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
 
 
 def q_load_summary(spark, d):

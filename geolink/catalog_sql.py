@@ -40,19 +40,24 @@ cases AS (
 
 REGISTRY = """
 registry AS (
-  SELECT CASE WHEN c_custkey % 7 = 0 THEN concat('X', cast(c_custkey AS varchar))
+  SELECT CASE WHEN part_no = 3 THEN '0000001' WHEN c_custkey % 7 = 0 THEN concat('X', cast(c_custkey AS varchar))
               ELSE lpad(cast(c_custkey AS varchar), 7, '0') END AS CNES,
-         CASE WHEN part_no = 1 AND c_custkey % 4 = 0 THEN ' ' WHEN c_custkey % 53 = 0 THEN '000000'
+         CASE WHEN c_custkey % 37 = 0 THEN uf_codigo WHEN c_custkey % 41 = 0 THEN '0'
+              WHEN part_no = 1 AND c_custkey % 4 = 0 THEN ' ' WHEN c_custkey % 53 = 0 THEN '000000'
               WHEN c_custkey % 31 = 0 THEN concat(uf_codigo, '9999')
               ELSE municipio_codigo_6 END AS CODUFMUN,
-         CASE WHEN part_no = 1 AND c_custkey % 3 = 0 THEN NULL WHEN part_no = 1 AND c_custkey % 5 = 0 THEN chr(9)
+         CASE WHEN c_custkey % 37 = 0 OR c_custkey % 41 = 0 THEN '0'
+              WHEN part_no = 1 AND c_custkey % 3 = 0 THEN NULL WHEN part_no = 1 AND c_custkey % 5 = 0 THEN chr(9)
               WHEN c_custkey % 29 = 0 THEN '00000000'
               ELSE concat(lpad(cast(10000 + c_custkey % 700 AS varchar), 5, '0'), '-',
                           lpad(cast(c_custkey % 2 AS varchar), 3, '0')) END AS COD_CEP,
-         lpad(cast(c_custkey % 20 AS varchar), 2, '0') AS TP_UNID, c_mktsegment AS NAT_JUR,
+         CASE WHEN part_no = 3 THEN '01' ELSE lpad(cast(c_custkey % 20 AS varchar), 2, '0') END AS TP_UNID,
+         CASE WHEN part_no > 1 THEN substr('MED', c_custkey % 3 + 1, 1) END AS TPGESTAO,
+         lpad(cast(c_custkey % 4 + 1 AS varchar), 2, '0') AS ESFERA_A, c_mktsegment AS NAT_JUR,
+         CASE WHEN part_no = 1 AND c_custkey % 6 = 0 THEN ' ' ELSE '202601' END AS COMPETEN,
          c_custkey * 10 + part_no AS ord
   FROM customer JOIN places ON c_nationkey = n_nationkey
-  CROSS JOIN (SELECT 1 AS part_no UNION ALL SELECT 2) p)"""
+  CROSS JOIN (SELECT 1 AS part_no UNION ALL SELECT 2 UNION ALL SELECT 3) p)"""
 
 CACHE = """
 cache AS (
@@ -85,7 +90,8 @@ def _first(column: str) -> str:
 
 CONSOLIDATED = f"""
 consolidated AS (
-  SELECT CNES, {_first("CODUFMUN")}, {_first("COD_CEP")}, {_first("TP_UNID")}, {_first("NAT_JUR")}
+  SELECT CNES, {_first("CODUFMUN")}, {_first("COD_CEP")}, {_first("TP_UNID")}, {_first("NAT_JUR")},
+         {_first("TPGESTAO")}, {_first("ESFERA_A")}, {_first("COMPETEN")}
   FROM registry WHERE CNES IN (SELECT CNES FROM case_keys) GROUP BY CNES),
 coded AS (
   SELECT *, length(cep_limpo) = 8 AND cep_limpo <> '00000000' AS cep_valido,
@@ -99,6 +105,7 @@ coded AS (
 facilities AS (
   SELECT CNES AS cnes_codigo, cod_cep_t AS cod_cep, cep_limpo, cep_valido, codufmun_t AS codufmun,
          municipio_codigo_6, municipio_valido, uf_codigo, uf_valida, TP_UNID AS tp_unid, NAT_JUR AS nat_jur,
+         TPGESTAO AS tpgestao, ESFERA_A AS esfera_a, COMPETEN AS competen,
          CASE WHEN cep_valido THEN 'cep' WHEN municipio_valido THEN 'municipio' WHEN uf_valida THEN 'uf'
               ELSE 'sem_localizacao' END AS spatial_resolution_available,
          'cep' AS spatial_resolution_target, 'cep->municipio->uf' AS fallback_rule,
@@ -124,7 +131,7 @@ chosen AS (
   LEFT JOIN places p ON f.municipio_codigo_6 = p.municipio_codigo_6 AND f.uf_codigo = p.uf_codigo
   LEFT JOIN states s ON f.uf_codigo = s.uf_codigo),
 located AS (
-  SELECT cnes_codigo, cod_cep, cep_limpo, codufmun, municipio_codigo_6, uf_codigo, tp_unid, nat_jur, cep_valido,
+  SELECT cnes_codigo, cod_cep, cep_limpo, codufmun, municipio_codigo_6, uf_codigo, tp_unid, tpgestao, esfera_a, nat_jur, competen, cep_valido,
          municipio_valido, uf_valida, spatial_resolution_available, spatial_resolution_target, fallback_rule,
          cnes_competencia, source_system, lookup_scope,
          CASE spatial_resolution_final WHEN 'cep' THEN c_lat WHEN 'municipio' THEN centroide_lat WHEN 'uf' THEN uf_lat
@@ -187,7 +194,7 @@ ruled AS (
               WHEN s.uf_lat IS NOT NULL THEN 'fallback_uf' END AS regra_aplicada
   FROM measured m LEFT JOIN states s ON m.uf_codigo = s.uf_codigo),
 rebuilt AS (
-  SELECT cnes_codigo, cod_cep, cep_limpo, codufmun, municipio_codigo_6, uf_codigo, tp_unid, nat_jur, cep_valido,
+  SELECT cnes_codigo, cod_cep, cep_limpo, codufmun, municipio_codigo_6, uf_codigo, tp_unid, tpgestao, esfera_a, nat_jur, competen, cep_valido,
          municipio_valido, uf_valida, spatial_resolution_available, spatial_resolution_target, fallback_rule,
          cnes_competencia, source_system, lookup_scope,
          round_even(CASE regra_aplicada WHEN 'manter_cep' THEN latitude WHEN 'fallback_municipio' THEN centroide_lat
@@ -233,8 +240,8 @@ enriched AS (
          {_role("h", "municipio_hospital_")},
          c.cod_cep AS unidade_cod_cep, c.cep_limpo AS unidade_cep_limpo, c.codufmun AS unidade_codufmun,
          c.municipio_codigo_6 AS cnes_municipio_codigo_6, c.uf_codigo AS cnes_uf_codigo, c.tp_unid AS unidade_tp_unid,
-         CAST(NULL AS varchar) AS unidade_tpgestao, CAST(NULL AS varchar) AS unidade_esfera_a,
-         c.nat_jur AS unidade_nat_jur, CAST(NULL AS varchar) AS cnes_competen,
+         c.tpgestao AS unidade_tpgestao, c.esfera_a AS unidade_esfera_a,
+         c.nat_jur AS unidade_nat_jur, c.competen AS cnes_competen,
          c.spatial_resolution_available AS unidade_spatial_resolution_available,
          c.spatial_resolution_target AS unidade_spatial_resolution_target,
          c.spatial_resolution_final AS unidade_spatial_resolution_final,
@@ -266,19 +273,25 @@ vertices AS (
     UNION ALL SELECT 1, 1, 10, 20 UNION ALL SELECT 1, 2, 20, 10) v
   WHERE ring = 0 OR c_custkey % 5 = 0),
 edges AS (
-  SELECT poly, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1,
+  SELECT poly, ring, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS x1,
          coalesce(lead(y) OVER w, first_value(y) OVER w) AS y1
   FROM vertices WINDOW w AS (PARTITION BY poly, ring ORDER BY seq)),
+rings AS (
+  SELECT poly, sum(x * (y1 - y) - y * (x1 - x)) AS a, sum((x + x1) * (x * (y1 - y) - y * (x1 - x))) AS ax,
+         sum((y + y1) * (x * (y1 - y) - y * (x1 - x))) AS ay, CASE WHEN ring % 2 = 1 THEN -1 ELSE 1 END AS s
+  FROM edges GROUP BY poly, ring),
 centroids AS (
-  SELECT poly, sum((x + x1) * (x * (y1 - y) - y * (x1 - x))) / (3 * sum(x * (y1 - y) - y * (x1 - x))) AS x,
-         sum((y + y1) * (x * (y1 - y) - y * (x1 - x))) / (3 * sum(x * (y1 - y) - y * (x1 - x))) AS y
-  FROM edges GROUP BY poly),
-flat AS (SELECT poly, x, x1, degrees(sin(radians(y))) AS y, degrees(sin(radians(y1))) AS y1 FROM edges),
+  SELECT poly, sum(s * sign(a) * ax) / (3 * sum(s * abs(a))) AS x, sum(s * sign(a) * ay) / (3 * sum(s * abs(a))) AS y
+  FROM rings GROUP BY poly),
+flat AS (SELECT poly, ring, x, x1, degrees(sin(radians(y))) AS y, degrees(sin(radians(y1))) AS y1 FROM edges),
+flat_rings AS (
+  SELECT poly, sum(x * (y1 - y) - y * (x1 - x)) AS a, sum((x + x1) * (x * (y1 - y) - y * (x1 - x))) AS ax,
+         sum((y + y1) * (x * (y1 - y) - y * (x1 - x))) AS ay, CASE WHEN ring % 2 = 1 THEN -1 ELSE 1 END AS s
+  FROM flat GROUP BY poly, ring),
 degree_centroids AS (
-  SELECT poly, sum((x + x1) * (x * (y1 - y) - y * (x1 - x))) / (3 * sum(x * (y1 - y) - y * (x1 - x))) AS lon,
-         degrees(asin(radians(sum((y + y1) * (x * (y1 - y) - y * (x1 - x)))
-                              / (3 * sum(x * (y1 - y) - y * (x1 - x)))))) AS lat
-  FROM flat GROUP BY poly)"""
+  SELECT poly, sum(s * sign(a) * ax) / (3 * sum(s * abs(a))) AS lon,
+         degrees(asin(radians(sum(s * sign(a) * ay) / (3 * sum(s * abs(a)))))) AS lat
+  FROM flat_rings GROUP BY poly)"""
 )
 
 _STATE_ROWS = ", ".join(f"('{k}', '{v[0]}', '{v[1]}')" for k, v in STATES.items())
@@ -383,6 +396,24 @@ files AS (
   FROM (SELECT *, ['ST', 'st', 'EP', 'DC'][o_orderkey % 4 + 1] AS g FROM orders) t)"""
 
 
+NAMED_TABLES = """
+asked AS (SELECT unnest(['ST', 'EP', 'DC', 'PF']) AS grupo),
+tables AS (
+  SELECT g AS grupo, concat(g, 'SP', period, '.parquet') AS file, count(*) AS n_rows, min(o_orderkey) AS first_key
+  FROM (SELECT o_orderkey, ['ST', 'EP', 'DC'][o_orderkey % 3 + 1] AS g,
+               concat(lpad(cast(year(o_orderdate) % 100 AS varchar), 2, '0'),
+                      CASE WHEN o_custkey % 2 = 0 THEN '06' ELSE '12' END) AS period FROM orders) t GROUP BY g, period
+  UNION ALL SELECT 'ST', 'STufAAmm.parquet', count(*), min(o_orderkey) FROM orders WHERE o_orderkey % 97 = 0
+  UNION ALL SELECT 'EP', 'EPSP9999.parquet', 0, NULL),
+latest AS (
+  SELECT * FROM tables WHERE regexp_full_match(substr(file, -12, 4), '[0-9]{4}')
+  QUALIFY row_number() OVER (PARTITION BY grupo ORDER BY file DESC) = 1),
+layout AS (
+  SELECT * FROM (VALUES ('ST', 0, 'CNES', 'string'), ('ST', 1, 'COD_CEP', 'string'), ('ST', 2, 'NU_ORDEM', 'int64'),
+    ('EP', 0, 'NOME_FANT', 'string'), ('EP', 1, 'NUM_ORDEM', 'int64'), ('DC', 0, 'NU_ORDEM', 'int64'),
+    ('DC', 1, 'VALOR', 'double')) v(grupo, position, "column", type))"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -724,8 +755,9 @@ FROM (SELECT unnest(from_json(payload, '[{"id":"BIGINT","nome":"VARCHAR"}]')) AS
 SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY cep_limpo ORDER BY batch DESC, seq DESC) = 1"""
     )
     sql["q_aligned_files"] = sql["q_stack_aligned"] = """
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_custkey END AS o_custkey,
-       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders"""
+SELECT * REPLACE (CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_custkey END AS o_custkey,
+       CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderpriority END AS o_orderpriority,
+       cast(o_orderdate AS date) AS o_orderdate) FROM orders"""
     sql["q_schema_scan"] = (
         _with(INVENTORY)
         + """, per_file AS (SELECT grupo, arquivo, count(*) AS n_colunas FROM inventory
@@ -736,13 +768,58 @@ FROM latest l LEFT JOIN (
   SELECT * FROM inventory WHERE regexp_matches(upper(coluna), 'CEP|LOGRA|ENDERE|BAIR|NUM|COMPL|FANT|RAZA|NOME')) i
   ON l.grupo = i.grupo AND l.arquivo = i.arquivo"""
     )
-    sql["q_file_inspection"] = """
-SELECT 'lineitem' AS file, count(*) AS n_rows, cast(11 AS bigint) AS n_columns,
-       'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,'
-       || 'l_linestatus,l_shipdate' AS columns FROM lineitem"""
-    sql["q_first_rows"] = (
-        "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 3"
+    sql["q_file_inspection"] = (
+        _with(NAMED_TABLES)
+        + """SELECT grupo, l.file, l.n_rows, c.n_columns, c.columns
+FROM asked LEFT JOIN latest l USING (grupo) LEFT JOIN (
+  SELECT grupo, count(*) AS n_columns, string_agg("column", ',' ORDER BY position) AS columns FROM layout GROUP BY grupo) c
+  ON l.grupo = c.grupo"""
+    )
+    sql["q_folder_scan"] = (
+        _with(NAMED_TABLES)
+        + """SELECT grupo, l.file AS arquivo, n_colunas, m."column" AS coluna,
+  CASE m."column" WHEN 'COD_CEP' THEN o_orderpriority WHEN 'NOME_FANT' THEN o_orderstatus
+       WHEN 'NUM_ORDEM' THEN cast(l.first_key AS varchar) END AS primeiro
+FROM asked LEFT JOIN latest l USING (grupo)
+LEFT JOIN (SELECT grupo, count(*) AS n_colunas FROM layout GROUP BY grupo) c ON l.grupo = c.grupo
+LEFT JOIN layout m ON l.grupo = m.grupo AND m."column" IN ('COD_CEP', 'NOME_FANT', 'NUM_ORDEM')
+LEFT JOIN orders ON o_orderkey = l.first_key"""
+    )
+    sql["q_folder_footers"] = (
+        _with(NAMED_TABLES)
+        + """SELECT file AS name, n_rows, n_columns, "column", cast(position AS integer) AS position, type
+FROM tables JOIN layout USING (grupo)
+JOIN (SELECT grupo, count(*) AS n_columns FROM layout GROUP BY grupo) c USING (grupo)"""
+    )
+    sql["q_quarantined_payloads"] = """
+SELECT CASE event_id % 11 WHEN 3 THEN 'no JSON array of objects' WHEN 5 THEN 'no payload'
+            WHEN 7 THEN 'an object without a whole number as id' WHEN 9 THEN 'no payload' ELSE 'none' END AS fault,
+       cast(sum(CASE WHEN event_id % 11 IN (3, 5, 7, 9) THEN 1 ELSE 2 END) AS bigint) AS n
+FROM events GROUP BY 1"""
+    sql["q_quarantined_lines"] = """
+SELECT CASE WHEN fits THEN k END AS cep_limpo, CASE WHEN fits THEN v END AS latitude,
+       CASE WHEN fits THEN CASE WHEN s_suppkey % 9 = 2 THEN 'more' ELSE 'True' END END AS geocode_success, CASE WHEN NOT fits THEN line END AS line,
+       CASE WHEN NOT fits THEN 'another number of columns than the header' END AS fault
+FROM (SELECT lpad(cast(s_suppkey AS varchar), 8, '0') AS k,
+             CASE WHEN s_suppkey % 9 = 2 THEN 'True' ELSE cast(s_nationkey AS varchar) END AS v,
+             concat_ws(',', k, CASE WHEN s_suppkey % 9 <> 2 THEN cast(s_nationkey AS varchar) END, 'True',
+                       CASE WHEN s_suppkey % 13 = 5 THEN 'more' END) AS line,
+             length(line) - length(replace(line, ',', '')) = 2 AS fits,
+             s_suppkey FROM supplier) t"""
+    sql["q_conservative_numbered"] = (
+        _with(REBUILT)
+        + """SELECT cnes_codigo, regra_aplicada, dist_km_to_expected_municipio, row_number() OVER (
+  ORDER BY regra_aplicada NULLS LAST, dist_km_to_expected_municipio DESC NULLS LAST, cnes_codigo) AS n FROM rebuilt"""
+    )
+    sql["q_plausibility_numbered"] = (
+        _with(AUDITED)
+        + """SELECT cnes_codigo, candidate_downgrade_to_municipio, dist_km_to_expected_municipio, row_number() OVER (
+  ORDER BY candidate_downgrade_to_municipio DESC NULLS LAST, dist_km_to_expected_municipio DESC NULLS LAST,
+  cnes_codigo) AS n FROM audited"""
     )
+    sql["q_cache_stream"] = sql["q_cache_upsert"]
+    sql["q_first_rows"] = """
+SELECT * REPLACE (cast(o_orderdate AS date) AS o_orderdate) FROM orders ORDER BY o_orderkey LIMIT 3"""
     sql["q_load_summary"] = (
         _with(CASES)
         + """, declared AS (
@@ -770,7 +847,7 @@ FROM cases"""
     )
     sql["q_projection_rules"] = (
         _with(PLACES, REGISTRY)
-        + """SELECT CNES, CODUFMUN, TP_UNID AS tp_unid, ord, '' AS COD_CEP, CAST(NULL AS double) AS AREA,
+        + """SELECT CNES, CODUFMUN, TP_UNID AS tp_unid, TPGESTAO AS tpgestao, ESFERA_A AS esfera_a, COMPETEN AS competen, ord, '' AS COD_CEP, CAST(NULL AS double) AS AREA,
   'CNES / DATASUS / ST' AS source_system,
   CASE WHEN regexp_full_match(CODUFMUN, '[0-9]{6}') AND CODUFMUN <> '000000' THEN 'municipio'
        WHEN regexp_full_match(substr(CODUFMUN, 1, 2), '[0-9]{2}') AND substr(CODUFMUN, 1, 2) <> '00' THEN 'uf'

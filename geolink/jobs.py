@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from geolink.operators.ranking import order_columns
-from geolink.operators.stacking import require_same_schema, stack_aligned
+from geolink.operators.stacking import stack_aligned
 from geolink.plans import cache as cache_plans
 from geolink.plans import (
     conservative,
@@ -26,9 +26,9 @@ from geolink.plans import (
 from geolink.plans.cases import write_cases
 from geolink.plans.dictionary import audit_table_schema, dictionary_from_cells, load_summary
 from geolink.sources import dictionary as dictionary_source
-from geolink.sources import sinks, tables
-from geolink.sources.files import find_inputs
-from geolink.sources.payload import official_municipalities
+from geolink.sources import footers, sinks, tables
+from geolink.sources.files import find_inputs, list_files
+from geolink.sources.payload import official_municipalities, split_payloads
 
 # Fixed value: start of the names of yearly case files.
 CASE_PREFIX = "MENIBR"
@@ -39,12 +39,13 @@ def stack_cases(
 ) -> int:
     """Consolidate the yearly case files of a folder and return the row count.
 
-    The files must agree in schema, which their footers tell; all are then one scan.
+    The files must agree in schema, which tasks read from their footers; all are then one scan. A
+    folder whose files have no rows is an error.
     """
     paths = find_inputs(spark, folder, prefix, suffix)
-    schemas = [spark.read.parquet(p).schema for p in paths]
-    require_same_schema(schemas)
-    return write_cases([spark.read.schema(schemas[0]).parquet(*paths)], out)
+    footers.require_same_columns(footers.footers(footers.list_parts(spark, *paths, pattern="*.parquet")))
+    cases = spark.read.schema(spark.read.parquet(paths[0]).schema).parquet(*paths)
+    return write_cases([tables.require_rows(cases, f"{prefix}* in {folder}")], out)
 
 
 def load_report(spark: SparkSession, cases: str, dictionary: str, out: str) -> None:
@@ -82,13 +83,22 @@ def audit_schema(spark: SparkSession, cases: str, dictionary: str, out: str) ->
 
 
 def build_territory(
-    spark: SparkSession, mesh: str, payload: str, vertices: str, out: str
+    spark: SparkSession, mesh: str, payload: str, vertices: str, out: str, quarantine: str | None = None
 ) -> None:
-    """Build the territory lookup from mesh attributes, the official list and mesh polygons."""
+    """Build the territory lookup from mesh attributes, the official list and mesh polygons.
+
+    A bad official list is an error, unless ``quarantine`` names a table that takes bad payloads.
+    """
     tables.require_paths(spark, mesh, payload, vertices)
     payloads = spark.read.text(payload, wholetext=True).withColumnRenamed("value", "payload")
+    if quarantine is None:
+        official = official_municipalities(payloads)
+    else:
+        official, bad = split_payloads(payloads)
+        sinks.write_table(bad, quarantine)
+        tables.require_rows(official, payload)
     lookup = territory.territory_lookup(
-        spark.read.parquet(mesh), official_municipalities(payloads), spark.read.parquet(vertices)
+        tables.require_rows(spark.read.parquet(mesh), mesh), official, spark.read.parquet(vertices)
     )
     sinks.write_table(lookup, out, sort_by=["uf_sigla", "municipio_nome", "municipio_codigo_7"])
 
@@ -153,6 +163,18 @@ def postal_work_list(
     fresh.write.mode("overwrite").parquet(out)
 
 
+def take_in_results(
+    spark: SparkSession, incoming: str, results: str, checkpoint: str, files_per_batch: int = 1000
+) -> None:
+    """Save the result files that have come in since the last run; see ``cache.take_in_results``.
+
+    The first files give the schema; with none there is nothing to do.
+    """
+    if tables.path_exists(spark, incoming) and not list_files(spark, incoming, "*.parquet").isEmpty():
+        schema = spark.read.parquet(incoming).schema
+        cache_plans.take_in_results(spark, incoming, schema, results, checkpoint, files_per_batch)
+
+
 def apply_results(spark: SparkSession, cache_csv: str, results: str, out: str) -> None:
     """Write the cache with the saved results of its work-list: a new CSV, the next cache.
 
@@ -177,10 +199,9 @@ def locate_facilities(
         spark.read.parquet(territory_path),
         cache_order=["cep_limpo"],
     )
-    sinks.write_table(located, out, sort_by=["cnes_codigo"])
-    written = spark.read.parquet(out)
-    sinks.write_metrics(locate.location_summary(written), f"{out}_summary")
-    sinks.write_csv(written, f"{out}_sample", order_columns(ascending=["cnes_codigo"]), n=500)
+    row = sinks.write_observed(located, out, locate.location_counts(), ["cnes_codigo"])
+    sinks.write_metrics(locate.location_metrics(row), f"{out}_summary")
+    sinks.write_csv(spark.read.parquet(out), f"{out}_sample", order_columns(ascending=["cnes_codigo"]), n=500)
 
 
 def audit_locations(spark: SparkSession, located: str, territory_path: str, out: str) -> None:
@@ -204,10 +225,9 @@ def rebuild_locations(
     rebuilt = conservative.conservative_locations(
         spark.read.parquet(located), spark.read.parquet(territory_path), keep_km
     )
-    sinks.write_table(rebuilt, out, sort_by=["cnes_codigo"])
-    written = spark.read.parquet(out)
-    sinks.write_metrics(conservative.conservative_summary(written), f"{out}_summary")
-    sinks.write_csv(conservative.conservative_sample(written), f"{out}_sample")
+    row = sinks.write_observed(rebuilt, out, conservative.conservative_counts(), ["cnes_codigo"])
+    sinks.write_metrics(conservative.conservative_metrics(row), f"{out}_summary")
+    sinks.write_csv(conservative.conservative_sample(spark.read.parquet(out)), f"{out}_sample")
 
 
 def enrich_cases(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from geolink.operators.staging import stage_table
+
 # Vertices of a ring that one task handles together.
 PIECE_SIZE = 10_000
 
@@ -36,6 +38,8 @@ def _pieces(vertices: DataFrame, poly: str, ring: str, seq: str) -> DataFrame:
     ).withColumns({"x1": F.lead("x0").over(following), "y1": F.lead("y0").over(following)})
     return edges.groupBy(*keys).agg(
         *[F.sum(F.expr(term)).alias(name) for name, term in EDGE_TERMS.items()],
+        *[f(f"{axis}0").alias(f"{name}_{axis}") for axis in "xy" for name, f in (("min", F.min), ("max", F.max))],
+        *[F.min_by(f"{axis}1", "seq").alias(f"next_{axis}") for axis in "xy"],
         F.min_by("x0", "seq").alias("first_x"),
         F.min_by("y0", "seq").alias("first_y"),
         F.max_by("x0", "seq").alias("last_x"),
@@ -43,8 +47,8 @@ def _pieces(vertices: DataFrame, poly: str, ring: str, seq: str) -> DataFrame:
     )
 
 
-def _joined_pieces(pieces: DataFrame, poly: str, ring: str) -> DataFrame:
-    """Sums of each piece and the edge from its last vertex to the next piece that there is.
+def _joints(pieces: DataFrame, poly: str, ring: str) -> DataFrame:
+    """Each piece with the edge from its last vertex to the next piece that there is.
 
     The last piece of a ring is joined to the first. The window holds one row for each piece, so
     one for up to ``PIECE_SIZE`` vertices.
@@ -55,10 +59,49 @@ def _joined_pieces(pieces: DataFrame, poly: str, ring: str) -> DataFrame:
         f"{axis}1": F.coalesce(F.lead(f"first_{axis}").over(along), F.first(f"first_{axis}").over(whole))
         for axis in ("x", "y")
     }
-    starts = {"px": F.first("first_x").over(whole), "py": F.first("first_y").over(whole)}
-    joined = pieces.withColumns({**ends, **starts, "x0": F.col("last_x"), "y0": F.col("last_y")})
-    terms = [F.expr(f"coalesce({t}, 0d) + {edge}").alias(t) for t, edge in EDGE_TERMS.items()]
-    return joined.select(poly, *terms, "px", "py")
+    # Halfway along the first edge, where no other ring is likely to touch.
+    starts = {
+        f"p{axis}": F.first((F.col(f"first_{axis}") + F.coalesce(f"next_{axis}", f"first_{axis}")) / 2).over(whole)
+        for axis in ("x", "y")
+    }
+    return pieces.withColumns({**ends, **starts, "x0": F.col("last_x"), "y0": F.col("last_y")})
+
+
+def _rings(vertices: DataFrame, poly: str, ring: str, seq: str) -> DataFrame:
+    """One row for each ring: its sums, bounds, a point on it, and the edges between its pieces."""
+    joints = _joints(_pieces(vertices, poly, ring, seq), poly, ring)
+    terms = [F.sum(F.expr(f"coalesce({t}, 0d) + {edge}")).alias(t) for t, edge in EDGE_TERMS.items()]
+    bounds = [f(f"{name}_{axis}").alias(f"{name}_{axis}") for axis in "xy" for name, f in (("min", F.min), ("max", F.max))]
+    links = F.collect_list(F.struct("x0", "y0", "x1", "y1")).alias("joints")
+    points = [F.max("px").alias("px"), F.max("py").alias("py"), F.max("first_x").alias("vx"), F.max("first_y").alias("vy")]
+    return joints.groupBy(poly, ring).agg(*terms, *bounds, *points, links)
+
+
+def _depths(vertices: DataFrame, rings: DataFrame, poly: str, ring: str, seq: str) -> DataFrame:
+    """How many other rings of its polygon each ring lies in, for those that lie in any.
+
+    A ring is compared with those whose bounds hold its point, by the edges that a ray from it crosses.
+    """
+    outer = rings.select(poly, F.col(ring).alias("outer"), "min_x", "max_x", "min_y", "max_y", "joints")
+    inner = rings.select(poly, F.col(ring).alias("inner"), "px", "py")
+    held = (F.col("outer") != F.col("inner")) & F.col("px").between(F.col("min_x"), F.col("max_x"))
+    pairs = stage_table(
+        inner.join(outer, poly).where(held & F.col("py").between(F.col("min_y"), F.col("max_y"))), "ring-pairs"
+    )
+    names = [poly, "inner", "outer", "px", "py"]
+    following = Window.partitionBy(poly, "outer", F.floor(F.col(seq) / PIECE_SIZE)).orderBy(seq)
+    wanted = pairs.select(poly, "outer").distinct()
+    edges = (
+        vertices.select(poly, F.col(ring).alias("outer"), seq, F.col("x").alias("x0"), F.col("y").alias("y0"))
+        .join(wanted, [poly, "outer"], "left_semi")
+        .withColumns({"x1": F.lead("x0").over(following), "y1": F.lead("y0").over(following)})
+        .where("x1 is not null")
+    )
+    within = pairs.select(*names).join(edges.drop(seq), [poly, "outer"])
+    between = pairs.select(*names, F.inline("joints"))
+    crosses = F.expr("(y0 > py) <> (y1 > py) and px < (x1 - x0) * (py - y0) / (y1 - y0) + x0")
+    crossings = within.unionByName(between).where(crosses).groupBy(poly, "inner", "outer").agg(F.count("*").alias("n"))
+    return crossings.where("n % 2 = 1").groupBy(poly, F.col("inner").alias(ring)).agg(F.count("*").alias("depth"))
 
 
 def polygon_centroids(
@@ -67,15 +110,20 @@ def polygon_centroids(
     """One centroid ``(poly, x, y)`` per polygon on planar coordinates.
 
     Vertices are ordered by an integer ``seq`` that rises along each ring, with gaps of any size;
-    whether a ring repeats its first vertex at the end makes no difference. Rings add up by signed area, so holes
-    must run the other way round than shells. A polygon without area gets the centre of its
-    outline, and one without length its only point.
+    whether a ring repeats its first vertex at the end makes no difference, nor which way it runs. A
+    ring that lies in an odd number of others of its polygon is a hole and taken off; others are added,
+    so that an island in a hole counts. A polygon without area gets the centre of its outline, and one
+    without length its only point.
     """
     if ring not in vertices.columns:
         vertices = vertices.withColumn(ring, F.lit(0))
-    pieces = _joined_pieces(_pieces(vertices, poly, ring, seq), poly, ring)
-    sums = pieces.groupBy(poly).agg(
-        *[F.sum(t).alias(t) for t in EDGE_TERMS], F.max("px").alias("px"), F.max("py").alias("py")
+    rings = stage_table(_rings(vertices, poly, ring, seq), "rings")
+    several = rings.groupBy(poly).agg(F.count("*").alias("n")).where("n > 1").select(poly)
+    depths = _depths(vertices, rings.join(several, poly, "left_semi"), poly, ring, seq)
+    sign = F.signum("area2") * F.when(F.col("depth") % 2 == 1, -1).otherwise(1)
+    signed = rings.join(depths, [poly, ring], "left").withColumns({t: sign * F.col(t) for t in ("area2", "ax", "ay")})
+    sums = signed.groupBy(poly).agg(
+        *[F.sum(t).alias(t) for t in EDGE_TERMS], F.max("vx").alias("px"), F.max("vy").alias("py")
     )
 
     def centre(area_sum: str, length_sum: str, point: str):

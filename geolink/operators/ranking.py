@@ -35,10 +35,8 @@ def top_n_per_group(
     return df.withColumn("_rank", F.row_number().over(order)).where(f"_rank <= {n}").drop("_rank")
 
 
-def numbered(
-    df: DataFrame, name: str, descending: Sequence[str] = (), ascending: Sequence[str] = ()
-) -> DataFrame:
-    """Rows with their number, from 1, by the descending, then the ascending columns.
+def numbered(df: DataFrame, name: str, order: Sequence[Column]) -> DataFrame:
+    """Rows with their number, from 1, in an order whose directions may differ.
 
     No task sees all rows, as it would in a window over the whole table: rows are sorted by range and
     written with their place in their partition, and the partitions' sizes, one row each, are added up.
@@ -46,7 +44,7 @@ def numbered(
     """
     place, part = "_place", "_part"
     placed = stage_table(
-        df.orderBy(*order_columns(descending, ascending)).withColumn(
+        df.orderBy(*order).withColumn(
             place, F.monotonically_increasing_id()
         ),
         "numbered",

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geolink.functions.keys import finite, flag_text, is_postal_code, or_empty, to_number
 from geolink.operators.dedupe import keep_first, keep_last
 from geolink.operators.ranking import order_columns
 from geolink.operators.stacking import stack_aligned
-from geolink.sources.sinks import append_table
+from geolink.sources.sinks import save_batch
 from geolink.sources.tables import read_text_csv
 
 # Columns of the cache file.
@@ -77,12 +78,40 @@ def upsert_cache(
 
 def append_results(results: DataFrame, path: str, batch: int) -> None:
     """Save one batch of results at once, so that finished lookups are not lost."""
-    append_table(results.withColumn("batch", F.lit(batch).cast("long")), path)
+    save_batch(results, path, batch)
+
+
+def saved_results(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of all saved batches, with their ``batch``."""
+    return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("long"))
 
 
 def read_results(spark: SparkSession, path: str, order: Sequence[str] = ()) -> DataFrame:
     """All saved batches, the last row per key."""
-    return keep_last(spark.read.parquet(path), ["cep_limpo"], "batch", *order)
+    return keep_last(saved_results(spark, path), ["cep_limpo"], "batch", *order)
+
+
+def take_in_results(
+    spark: SparkSession,
+    incoming: str,
+    schema: str | T.StructType,
+    path: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+) -> None:
+    """Save the result files that have come in since the last time, as a stream that then ends.
+
+    The checkpoint knows which files each batch has, and a batch is saved under its number. A run that
+    was killed between or within batches is taken up by the next one: the batch that was not finished
+    replaces what there is of it, so that nothing is lost or repeated.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        save_batch(batch, path, number)
+
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(incoming)
+    run = source.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    run.trigger(availableNow=True).start().awaitTermination()
 
 
 def as_cache(cache: DataFrame) -> DataFrame:

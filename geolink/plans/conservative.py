@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geolink.functions.geo import both_present, usable_point
@@ -116,31 +116,39 @@ def conservative_locations(
     )
 
 
+def conservative_order() -> list[Column]:
+    """By rule, the farthest first."""
+    return [F.col("regra_aplicada").asc_nulls_last(), *order_columns([DISTANCE], ["cnes_codigo"])]
+
+
 def conservative_sample(rebuilt: DataFrame) -> DataFrame:
     """Every facility by rule, the farthest first."""
-    order = [
-        F.col("regra_aplicada").asc_nulls_last(),
-        *order_columns([DISTANCE], ["cnes_codigo"]),
-    ]
-    return keep_existing(rebuilt, SAMPLE_COLUMNS).orderBy(*order)
+    return keep_existing(rebuilt, SAMPLE_COLUMNS).orderBy(*conservative_order())
 
 
-def conservative_summary(rebuilt: DataFrame) -> DataFrame:
-    """Facilities by original level, final level and rule."""
+def conservative_counts() -> list[Column]:
+    """The aggregates of ``conservative_metrics``."""
     level, rule = F.col("spatial_resolution_final"), F.col("regra_aplicada")
-    row = rebuilt.agg(
-        *counts(
-            n=F.lit(True),
-            original_cep=F.col("spatial_resolution_original") == LEVEL_POSTAL,
-            cep=level == LEVEL_POSTAL,
-            mun=level == LEVEL_MUNICIPALITY,
-            uf=level == LEVEL_STATE,
-            none=level == LEVEL_NONE,
-            r_keep=rule == RULE_KEEP,
-            r_mun=rule == RULE_MUNICIPALITY,
-            r_uf=rule == RULE_STATE,
-        )
+    return counts(
+        n=F.lit(True),
+        original_cep=F.col("spatial_resolution_original") == LEVEL_POSTAL,
+        cep=level == LEVEL_POSTAL,
+        mun=level == LEVEL_MUNICIPALITY,
+        uf=level == LEVEL_STATE,
+        none=level == LEVEL_NONE,
+        r_keep=rule == RULE_KEEP,
+        r_mun=rule == RULE_MUNICIPALITY,
+        r_uf=rule == RULE_STATE,
     )
+
+
+def conservative_summary(rebuilt: DataFrame) -> DataFrame:
+    """Facilities by original level, final level and rule."""
+    return conservative_metrics(rebuilt.agg(*conservative_counts()))
+
+
+def conservative_metrics(row: DataFrame) -> DataFrame:
+    """The summary of one row of ``conservative_counts``."""
     n = F.col("n")
     return metrics_long(
         row,

@@ -27,6 +27,7 @@ from geolink.functions.keys import (
 )
 from geolink.functions.ratios import banded, pct, pct_half_up
 from geolink.operators.dedupe import first_filled_per_key, keep_first
+from geolink.operators.joins import Side, sized
 from geolink.operators.metrics import count_metric, metrics_long, verdict_metric
 from geolink.operators.projection import (
     keep_existing,
@@ -36,6 +37,7 @@ from geolink.operators.projection import (
     with_defaults,
 )
 from geolink.operators.ranking import top_n
+from geolink.operators.staging import stage_table
 from geolink.plans.coverage import coverage_of_keys
 
 # Registry columns in use, and their names in the lookup.
@@ -114,17 +116,19 @@ def consolidate_registry(
 ) -> DataFrame:
     """One row per registry facility that the cases name, each column its first filled value.
 
-    The registry is reduced to one row per facility before it meets the case keys. The aggregate
-    absorbs facilities with very many registry rows map-side, and its shuffle by facility also
-    serves the semi-join, whose other side is distinct keys under the same partitioning.
+    The registry meets the case keys before its aggregate, so that rows of other facilities are not
+    shuffled. The distinct keys are staged and broadcast within the bound of ``joins.sized``; beyond it
+    the semi-join is a shuffle join. The aggregate absorbs facilities with very many rows map-side.
     """
     require_columns(registry, ["CNES"])
     if isinstance(ordinal, str):
         ordinal = F.col(ordinal)
     rows = registry.withColumns({"CNES": stripped("CNES"), "_ord": ordinal})
     rows = keep_existing(rows, [*REGISTRY_COLUMNS, "_ord"]).where("CNES is not null")
-    consolidated = first_filled_per_key(rows, "CNES", "_ord").drop("_ord")
-    return consolidated.join(case_facilities(cases), "CNES", "left_semi")
+    wanted = stage_table(case_facilities(cases), "case-facilities")
+    [(keys, hint)] = sized(Side(wanted, ["CNES"], wanted))
+    rows = rows.join(hint(keys), "CNES", "left_semi")
+    return first_filled_per_key(rows, "CNES", "_ord").drop("_ord")
 
 
 def _with_location_codes(consolidated: DataFrame, municipality_flag: str) -> DataFrame:

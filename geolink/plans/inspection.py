@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 from geolink.functions.keys import has_period
 from geolink.operators.ranking import top_n
 from geolink.plans.territory import count_by_state
-from geolink.sources.files import latest_paths
+from geolink.sources import footers
+from geolink.sources.files import latest_of_groups, latest_paths
 
 # Parts of column names that hint at an address or a name.
 ADDRESS_PATTERNS = ("CEP", "LOGRA", "ENDERE", "BAIR", "NUM", "COMPL", "FANT", "RAZA", "NOME")
@@ -23,11 +23,6 @@ def name_contains(name, patterns: Sequence[str] = ADDRESS_PATTERNS):
     return F.upper(F.col(name)).rlike("|".join(re.escape(p) for p in patterns))
 
 
-def matching_columns(df: DataFrame, patterns: Sequence[str] = ADDRESS_PATTERNS) -> list[str]:
-    """The table's columns whose names contain any of the patterns."""
-    return [c for c in df.columns if any(p in c.upper() for p in patterns)]
-
-
 def scan_inventory(
     inventory: DataFrame,
     patterns: Sequence[str] = ADDRESS_PATTERNS,
@@ -66,35 +61,38 @@ def scan_inventory(
     return found.select(*without.columns).unionAll(without)
 
 
+def _scanned(chosen: DataFrame, found: DataFrame, patterns: Sequence[str]) -> DataFrame:
+    """Groups with their file's column count, matching columns and first values.
+
+    ``chosen`` is ``(group, path, name)``, a row for each group; what is absent is null. A file is
+    known by its footer, so one without rows has its columns too.
+    """
+    columns = footers.table_columns(found)
+    wanted = F.col("column").isNotNull() & name_contains("column", patterns)
+    counts = columns.groupBy("path").agg(F.max("n_columns").alias("n_colunas"))
+    matches = columns.where(wanted).select(
+        "path", F.col("column").alias("coluna"), F.col("first").alias("primeiro")
+    )
+    return (
+        chosen.join(counts, "path", "left")
+        .join(matches, "path", "left")
+        .select(F.col("group").alias("grupo"), F.col("name").alias("arquivo"), "n_colunas", "coluna", "primeiro")
+    )
+
+
 def scan_groups(
     spark: SparkSession,
     chosen: Mapping[str, str],
     patterns: Sequence[str] = ADDRESS_PATTERNS,
 ) -> DataFrame:
-    """Scan the chosen file of each group: column count, matching columns and their first values.
-
-    Column names come from the footers, and the first record is one row per group.
-    """
-    frames = []
-    for group, path in chosen.items():
-        table = spark.read.parquet(path)
-        names = matching_columns(table, patterns)
-        pairs = [
-            F.struct(F.lit(c).alias("coluna"), F.col(f"`{c}`").cast("string").alias("primeiro"))
-            for c in names
-        ]
-        none = F.struct(
-            F.lit(None).cast("string").alias("coluna"), F.lit(None).cast("string").alias("primeiro")
-        )
-        frames.append(
-            table.limit(1).select(
-                F.lit(group).alias("grupo"),
-                F.lit(path.rsplit("/", 1)[-1]).alias("arquivo"),
-                F.lit(len(table.columns)).cast("long").alias("n_colunas"),
-                F.inline(F.array(*pairs) if pairs else F.array(none)),
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+    """Scan the given file of each group: column count, matching columns and their first values."""
+    parts = footers.list_parts(spark, *chosen.values(), pattern="*.parquet")
+    # The listing writes paths in full; the given ones may lack the scheme.
+    short = F.regexp_replace("path", "^file:/+", "/")
+    rows = [(g, re.sub("^file:/+", "/", p.rstrip("/"))) for g, p in chosen.items()]
+    wanted = spark.createDataFrame(rows, "group string, path string")
+    named = wanted.withColumn("name", F.regexp_extract("path", "([^/=]+)$", 1))
+    return _scanned(named, footers.footers(parts.withColumn("path", short)), patterns)
 
 
 def scan_folder(
@@ -104,11 +102,15 @@ def scan_folder(
     suffix: str = ".parquet",
     patterns: Sequence[str] = ADDRESS_PATTERNS,
 ) -> DataFrame:
-    """Scan the latest file of each group in a folder; see ``scan_groups``."""
-    chosen = latest_paths(spark, folder, groups, suffix)
-    if not chosen:
-        raise FileNotFoundError(f"no file of {list(groups)} with a period in {folder}")
-    return scan_groups(spark, chosen, patterns)
+    """Scan the latest file of each group in a folder, templates aside.
+
+    A group without a file, without rows in it, or without a matching column keeps one row. Listing,
+    choice and footers are jobs; the driver reads no file.
+    """
+    parts = footers.list_parts(spark, folder, pattern=f"*{suffix}")
+    chosen = latest_of_groups(parts.select("path", "name").distinct(), groups, suffix)
+    found = footers.footers(parts.join(chosen.select("path"), "path", "left_semi"))
+    return _scanned(chosen, found, patterns)
 
 
 def file_facts(table: DataFrame, label: str) -> DataFrame:
@@ -131,14 +133,26 @@ def inspect_latest(
 ) -> tuple[DataFrame, DataFrame]:
     """Facts and first rows of the latest Parquet file in a folder, monthly or yearly.
 
-    Templates do not count.
+    Templates do not count. The facts come from the footers.
     """
     found = latest_paths(spark, folder, [prefix], suffix, digits=2)
     if not found:
         raise FileNotFoundError(f"no file {prefix}*{suffix} with a period in {folder}")
     path = found[prefix]
-    table = spark.read.parquet(path)
-    return file_facts(table, path.rsplit("/", 1)[-1]), first_rows(table, order)
+    parts = footers.list_parts(spark, path, pattern="*.parquet")
+    facts = footers.table_facts(footers.footers(parts)).drop("path")
+    return facts, first_rows(spark.read.parquet(path), order)
+
+
+def inspect_groups(
+    spark: SparkSession, folder: str, groups: Sequence[str], suffix: str = ".parquet"
+) -> DataFrame:
+    """Row count and column names of the latest file of each group, from the footers."""
+    parts = footers.list_parts(spark, folder, pattern=f"*{suffix}")
+    chosen = latest_of_groups(parts.select("path", "name").distinct(), groups, suffix)
+    found = footers.footers(parts.join(chosen.select("path"), "path", "left_semi"))
+    facts = footers.table_facts(found)
+    return chosen.drop("name").join(facts, "path", "left").drop("path")
 
 
 def territory_facts(territory: DataFrame, n: int = 20) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -164,18 +164,25 @@ def locate_facilities(
     return keep_existing(out, LOCATED_COLUMNS)
 
 
-def location_summary(located: DataFrame) -> DataFrame:
-    """Facilities per level."""
+def location_counts() -> list[Column]:
+    """The aggregates of ``location_metrics``."""
     level = F.col("spatial_resolution_final")
-    row = located.agg(
-        *counts(
-            n=F.lit(True),
-            cep=level == LEVEL_POSTAL,
-            mun=level == LEVEL_MUNICIPALITY,
-            uf=level == LEVEL_STATE,
-            none=level.isNull(),
-        )
+    return counts(
+        n=F.lit(True),
+        cep=level == LEVEL_POSTAL,
+        mun=level == LEVEL_MUNICIPALITY,
+        uf=level == LEVEL_STATE,
+        none=level.isNull(),
     )
+
+
+def location_summary(located: DataFrame) -> DataFrame:
+    """Facilities per level."""
+    return location_metrics(located.agg(*location_counts()))
+
+
+def location_metrics(row: DataFrame) -> DataFrame:
+    """The summary of one row of ``location_counts``."""
     section, n = "level", F.col("n")
     return metrics_long(
         row,

@@ -91,10 +91,14 @@ def audit_plausibility(
     )
 
 
+def plausibility_order() -> list[Column]:
+    """Downgrade candidates and the farthest first."""
+    return order_columns([CANDIDATE, DISTANCE], ["cnes_codigo"])
+
+
 def plausibility_sample(audited: DataFrame) -> DataFrame:
     """Every audited facility, downgrade candidates and the farthest first."""
-    order = order_columns([CANDIDATE, DISTANCE], ["cnes_codigo"])
-    return keep_existing(audited, SAMPLE_COLUMNS).orderBy(*order)
+    return keep_existing(audited, SAMPLE_COLUMNS).orderBy(*plausibility_order())
 
 
 def top_distances(audited: DataFrame, n: int = 500) -> DataFrame:

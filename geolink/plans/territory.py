@@ -78,16 +78,24 @@ def degree_centroids(vertices: DataFrame, poly: str) -> DataFrame:
     """``centroide_lon, centroide_lat`` of polygons whose vertices are longitudes and latitudes.
 
     The centroid is taken in the cylindrical equal-area projection, in which longitudes stay and
-    latitudes become their sines, and brought back. Vertices that are no degrees are an error.
+    latitudes become their sines, and brought back. A polygon that is wider than half the globe is taken
+    to lie across the 180th meridian. Vertices that are no degrees are an error.
     """
+    wide = vertices.groupBy(poly).agg((F.max("x") - F.min("x") > 180).alias("_across")).where("_across")
+    vertices = vertices.join(wide, poly, "left")
     in_range = F.col("x").between(-180, 180) & F.col("y").between(-90, 90)
     message = F.lit("polygon vertices must be longitudes and latitudes in degrees")
     flat = F.degrees(F.sin(F.radians("y")))
     checked = F.when(in_range | F.col("x").isNull() | F.col("y").isNull(), flat)
-    projected = vertices.withColumn("y", checked.otherwise(F.raise_error(message).cast("double")))
+    projected = vertices.withColumns(
+        {
+            "y": checked.otherwise(F.raise_error(message).cast("double")),
+            "x": F.when(F.col("_across") & (F.col("x") < 0), F.col("x") + 360).otherwise(F.col("x")),
+        }
+    ).drop("_across")
     return polygon_centroids(projected, poly=poly).select(
         poly,
-        F.col("x").alias("centroide_lon"),
+        F.when(F.col("x") > 180, F.col("x") - 360).otherwise(F.col("x")).alias("centroide_lon"),
         F.degrees(F.asin(F.radians("y"))).alias("centroide_lat"),
     )
 

@@ -8,17 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geolink.functions.keys import has_period, name_matches, name_month, name_year
+from geolink.sources.footers import list_parts
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Files of a folder as ``(path, name)``; only the listing is read, not the content."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
-    )
+    """Files of a folder as ``(path, name)``; only the listing is read, not the content.
+
+    A folder of part files counts as one file, see ``footers.list_parts``.
+    """
+    return list_parts(spark, folder, pattern=pattern).select("path", "name").distinct()
 
 
 def select_files(
@@ -70,6 +68,23 @@ def latest_files(
     )
 
 
+def latest_of_groups(
+    files: DataFrame, groups: Sequence[str], suffix: str = ".parquet", digits: int = 4
+) -> DataFrame:
+    """``(group, path, name)`` of the latest file of each group, whose names begin with the group.
+
+    Templates do not count. A group without a file has a row without a path.
+    """
+    asked = files.sparkSession.createDataFrame([(g,) for g in dict.fromkeys(groups)], "group string")
+    group = F.coalesce(*[F.when(name_matches("name", g, suffix), F.lit(g)) for g in groups])
+    grouped = files.withColumn("group", group).where(F.col("group").isNotNull())
+    latest = latest_files(grouped, "group", suffix, digits=digits)
+    found = grouped.join(latest, ["group", "name"]).groupBy("group").agg(
+        F.max_by(F.struct("path", "name"), "path").alias("file")
+    )
+    return asked.join(found, "group", "left").select("group", "file.path", "file.name")
+
+
 def latest_paths(
     spark: SparkSession,
     folder: str,
@@ -77,13 +92,6 @@ def latest_paths(
     suffix: str = ".parquet",
     digits: int = 4,
 ) -> dict[str, str]:
-    """Path of the latest file of each group, whose names begin with the group; templates aside.
-
-    Groups without a file are left out.
-    """
-    files = list_files(spark, folder)
-    group = F.coalesce(*[F.when(name_matches("name", g, suffix), F.lit(g)) for g in groups])
-    grouped = files.withColumn("group", group).where(F.col("group").isNotNull())
-    latest = latest_files(grouped, "group", suffix, digits=digits)
-    found = grouped.join(latest, ["group", "name"]).groupBy("group").agg(F.max("path").alias("path"))
-    return {row["group"]: row["path"] for row in found.collect()}
+    """Path of the latest file of each group; groups without a file are left out."""
+    latest = latest_of_groups(list_files(spark, folder), groups, suffix, digits)
+    return {row["group"]: row["path"] for row in latest.where("path is not null").collect()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,21 @@ def write_table(
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_observed(
+    df: DataFrame, path: str, aggregates: Sequence[Column], sort_by: Sequence[str] = ()
+) -> DataFrame:
+    """Replace a Parquet table and give one row of aggregates over it, from the pass that writes it.
+
+    The aggregates are watched above the sort, whose sampling would count rows twice.
+    """
+    if sort_by:
+        df = df.orderBy(*[F.col(c).asc_nulls_last() for c in sort_by])
+    watched = Observation()
+    write_table(df.observe(watched, *aggregates), path)
+    schema = df.agg(*aggregates).schema
+    return df.sparkSession.createDataFrame([tuple(watched.get[c] for c in schema.names)], schema)
+
+
 def write_enriched(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the enriched case table, compressed with zstd."""
     write_table(df, path, compression="zstd", partition_by=partition_by)
@@ -59,6 +74,6 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """Add a batch of results to a table, so that finished work is kept."""
-    df.write.mode("append").parquet(path)
+def save_batch(df: DataFrame, path: str, batch: int) -> None:
+    """Keep a numbered batch of results beside the others; saving a batch again replaces it."""
+    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geolink.operators.staging import stage_table
+
 
 def read_aligned(spark: SparkSession, *paths: str) -> DataFrame:
     """One Parquet table from one or many paths, with every column that any file has.
@@ -89,6 +91,34 @@ def read_text_csv(
     return raw.select(*columns, *([csv_position().alias(ordinal)] if ordinal else []))
 
 
+WRONG_COLUMNS = "another number of columns than the header"
+
+
+def split_text_csv(
+    spark: SparkSession, path: str, names: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """A CSV as text columns like ``read_text_csv``, and apart from it the lines that do not fit its header.
+
+    A line with too many or too few columns is set aside whole, as ``(line, fault)``.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    corrupt = "_corrupt_record"
+    schema = text_schema([*header, corrupt])
+    raw = spark.read.schema(schema).options(
+        header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt
+    ).csv(path)
+    # Parsed once for both; the record column cannot be read alone.
+    raw = stage_table(raw, "lines")
+    columns = [
+        F.col(f"`{n}`") if n in header else F.lit(None).cast("string").alias(n) for n in names
+    ]
+    bad = raw.where(F.col(corrupt).isNotNull())
+    return (
+        raw.where(F.col(corrupt).isNull()).select(*columns),
+        bad.select(F.col(corrupt).alias("line"), F.lit(WRONG_COLUMNS).alias("fault")),
+    )
+
+
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     """Fail early when an input table is empty."""
     if df.isEmpty():

@@ -85,24 +85,33 @@ def cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def registry(spark: SparkSession, d: str) -> DataFrame:
-    """Facility register: two rows per customer; one customer in seven has a key of no case."""
+    """Facility register: three rows per customer; one customer in seven has a key of no case.
+
+    The third rows all are of one facility. Some codes are good for a state only, some for nothing.
+    """
     return (
         customers(spark, d)
-        .selectExpr("*", "explode(array(1, 2)) as part_no")
+        .selectExpr("*", "explode(array(1, 2, 3)) as part_no")
         .selectExpr(
-            "if(c_custkey % 7 = 0, concat('X', cast(c_custkey as string)),"
-            " lpad(cast(c_custkey as string), 7, '0')) as CNES",
-            "case when part_no = 1 and c_custkey % 4 = 0 then ' '"
+            "case when part_no = 3 then '0000001'"
+            " when c_custkey % 7 = 0 then concat('X', cast(c_custkey as string))"
+            " else lpad(cast(c_custkey as string), 7, '0') end as CNES",
+            "case when c_custkey % 37 = 0 then uf_codigo when c_custkey % 41 = 0 then '0'"
+            " when part_no = 1 and c_custkey % 4 = 0 then ' '"
             " when c_custkey % 53 = 0 then '000000'"
             " when c_custkey % 31 = 0 then concat(uf_codigo, '9999')"
             " else municipio_codigo_6 end as CODUFMUN",
-            "case when part_no = 1 and c_custkey % 3 = 0 then null"
+            "case when c_custkey % 37 = 0 or c_custkey % 41 = 0 then '0'"
+            " when part_no = 1 and c_custkey % 3 = 0 then null"
             " when part_no = 1 and c_custkey % 5 = 0 then '\t'"
             " when c_custkey % 29 = 0 then '00000000'"
             " else concat(lpad(cast(10000 + c_custkey % 700 as string), 5, '0'), '-',"
             " lpad(cast(c_custkey % 2 as string), 3, '0')) end as COD_CEP",
-            "lpad(cast(c_custkey % 20 as string), 2, '0') as TP_UNID",
+            "if(part_no = 3, '01', lpad(cast(c_custkey % 20 as string), 2, '0')) as TP_UNID",
+            "if(part_no = 1, null, substr('MED', cast(c_custkey % 3 + 1 as int), 1)) as TPGESTAO",
+            "lpad(cast(c_custkey % 4 + 1 as string), 2, '0') as ESFERA_A",
             "c_mktsegment as NAT_JUR",
+            "if(part_no = 1 and c_custkey % 6 = 0, ' ', '202601') as COMPETEN",
             "c_custkey * 10 + part_no as ord",
         )
     )
@@ -181,14 +190,20 @@ def mesh(spark: SparkSession, d: str) -> DataFrame:
 def mesh_vertices(spark: SparkSession, d: str) -> DataFrame:
     """Pentagons in degrees per customer of a municipality; one in five has a triangular hole.
 
+    Half of the holes run the same way round as their shells.
+
     The vertices are numbered with gaps, most of them larger than a piece of a ring.
     """
     shell = [(0, 0), (40, 0), (50, 30), (20, 45), (-10, 25)]
     hole = [(10, 10), (10, 20), (20, 10)]
 
     def ring(number: int, points) -> str:
+        def place(i: int) -> str:
+            return f"if({number} = 1 and c_custkey % 10 = 0, {len(points) - 1 - i}, {i})"
+
         return ", ".join(
-            f"named_struct('ring', c_custkey div 100000 * 2 + {number}, 'seq', {i} * (c_custkey % 7) * 9001 + {i},"
+            f"named_struct('ring', c_custkey div 100000 * 2 + {number},"
+            f" 'seq', {place(i)} * (c_custkey % 7) * 9001 + {place(i)},"
             f" 'x', -70d + 0.03d * (c_custkey % 1000) + 0.0002d * {dx},"
             f" 'y', -30d + 0.1d * (c_custkey % 300) + 0.0002d * {dy})"
             for i, (dx, dy) in enumerate(points)
@@ -218,7 +233,8 @@ def event_payloads(spark: SparkSession, d: str) -> DataFrame:
     """JSON arrays built from the properties of events."""
     return table(spark, d, "events").selectExpr(
         """concat('[{"id":', regexp_extract(props, '([0-9]+)', 1), ',"nome":"', event_type,
-            '"},{"id":', cast(event_id as string), ',"nome":null}]') as payload"""
+            '"},{"id":', cast(event_id as string), ',"nome":null}]') as payload""",
+        "event_id",
     )
 
 
@@ -240,6 +256,46 @@ def file_names(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def named_tables(spark: SparkSession, d: str, out: str) -> None:
+    """Writes orders as many tables named by group, state and period, one empty and one a template.
+
+    The groups have columns of their own. The rows of a table are in order over its parts.
+    """
+    orders = table(spark, d, "orders")
+    period = "lpad(cast(year(o_orderdate) % 100 as string), 2, '0'), if(o_custkey % 2 = 0, '06', '12')"
+    columns = {
+        "ST": ["lpad(cast(o_custkey as string), 7, '0') as CNES", "o_orderpriority as COD_CEP", "o_orderkey as NU_ORDEM"],
+        "EP": ["o_orderstatus as NOME_FANT", "o_orderkey as NUM_ORDEM"],
+        "DC": ["o_orderkey as NU_ORDEM", "o_totalprice as VALOR"],
+    }
+    for i, (group, of_group) in enumerate(columns.items()):
+        rows = orders.where(f"o_orderkey % 3 = {i}").selectExpr(
+            "o_orderkey as _key", f"concat('{group}SP', {period}, '.parquet') as file", *of_group
+        )
+        ordered = rows.repartitionByRange("file", "_key").sortWithinPartitions("file", "_key").drop("_key")
+        ordered.write.mode("append").partitionBy("file").parquet(out)
+    orders.where("o_orderkey % 97 = 0").orderBy("o_orderkey").selectExpr(*columns["ST"]).write.parquet(
+        f"{out}/file=STufAAmm.parquet"
+    )
+    orders.where("false").selectExpr(*columns["EP"]).write.parquet(f"{out}/file=EPSP9999.parquet")
+
+
+def broken_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """The payloads of events, some cut short, some without an id or not there."""
+    return event_payloads(spark, d).selectExpr(
+        "case event_id % 11 when 3 then substr(payload, 1, length(payload) - 4) when 5 then '  '"
+        " when 7 then replace(payload, '\"id\"', '\"code\"') when 9 then null else payload end as payload"
+    )
+
+
+def broken_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines of a CSV of suppliers without its header; some have a column too many or too few."""
+    return table(spark, d, "supplier").selectExpr(
+        "concat_ws(',', lpad(cast(s_suppkey as string), 8, '0'), if(s_suppkey % 9 = 2, null, cast(s_nationkey as string)),"
+        " 'True', if(s_suppkey % 13 = 5, 'more', null)) as value"
+    )
+
+
 def column_inventory(spark: SparkSession, d: str) -> DataFrame:
     """Columns of files, from line items: (group, file, column) with a first value."""
     return (

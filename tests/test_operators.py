@@ -298,6 +298,35 @@ def test_centroids_do_not_depend_on_the_piece_size(spark, monkeypatch, size):
     assert found["square"] == pytest.approx((2, 2))
 
 
+def test_holes_are_told_by_where_they_lie(spark):
+    """Either way round, nested, beside each other; an island in a hole counts."""
+    square = [(0, 0), (4, 0), (4, 4), (0, 4)]
+    hole = [(1, 1), (2, 1), (2, 2), (1, 2)]
+
+    def scaled(points, k, dx=0, dy=0):
+        return [(x * k + dx, y * k + dy) for x, y in points]
+
+    island = scaled(square, 0.1, 1.2, 1.2)
+    cases = {
+        "same_way": [square, hole],
+        "other_way": [square, hole[::-1]],
+        "shell_reversed": [square[::-1], hole],
+        "hole_first": [hole, square],
+        "island": [square, hole, island],
+        "island_reversed": [square, hole[::-1], island[::-1]],
+        "apart": [square, scaled(hole, 1, 10, 0)],
+        "apart_reversed": [square, scaled(hole, 1, 10, 0)[::-1]],
+    }
+    table = vertices(spark, *cases.items()).repartition(3)
+    found = {r.poly: (r.x, r.y) for r in centroid.polygon_centroids(table).collect()}
+    holed = (16 * 2 - 1.5) / 15
+    for name in ("same_way", "other_way", "shell_reversed", "hole_first"):
+        assert found[name] == pytest.approx((holed, holed))
+    nested = (16 * 2 - 1.5 + 0.16 * 1.4) / (15 + 0.16)
+    assert found["island"] == pytest.approx((nested, nested)) == found["island_reversed"]
+    assert found["apart"] == pytest.approx(((32 + 11.5) / 17, (32 + 1.5) / 17)) == found["apart_reversed"]
+
+
 def test_stage_table_cuts_lineage(spark):
     df = spark.range(5).select(F.col("id"), (F.col("id") * 2).alias("twice"))
     staged = staging.stage_table(df, "test")
@@ -323,8 +352,8 @@ def test_first_filled_passes_over_tabs(spark):
 def test_numbers_of_all_rows(spark):
     values = [None, *range(50), 7, 7] * 3
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v int, i int").repartition(5)
-    rows = ranking.numbered(df, "n", ["v"], ["i"]).orderBy("n").collect()
+    rows = ranking.numbered(df, "n", ranking.order_columns(["v"], ["i"])).orderBy("n").collect()
     expected = sorted(((v, i) for i, v in enumerate(values)), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     assert [(r.v, r.i) for r in rows] == expected
     assert [r.n for r in rows] == list(range(1, len(values) + 1))
-    assert ranking.numbered(df.limit(0), "n", ["v"]).count() == 0
+    assert ranking.numbered(df.limit(0), "n", ranking.order_columns(["v"])).count() == 0

@@ -144,6 +144,29 @@ def test_facility_lookup_shuffles_each_side_once_after_aggregation(registry, cas
     assert text.count("Exchange hashpartitioning") <= 2 and "Python" not in text
 
 
+def test_registry_meets_the_case_keys_before_its_aggregate(registry, cases, monkeypatch):
+    """The semi-join stands below the aggregate, by a broadcast within the bound and by a shuffle beyond."""
+    expected = sorted(map(str, facility.facility_lookup(registry, cases).collect()))
+    for bound in (None, 0):
+        if bound is not None:
+            monkeypatch.setattr("geolink.operators.joins.BROADCAST_BYTES", bound)
+        lookup = facility.facility_lookup(registry, cases)
+        text = lookup._jdf.queryExecution().optimizedPlan().toString()
+        assert text.rindex("Aggregate") < text.index("Join LeftSemi"), text
+        assert ("strategy=broadcast" in text) == (bound is None)
+        assert sorted(map(str, lookup.collect())) == expected
+
+
+def test_centroids_across_the_meridian(spark):
+    corners = [(179, -10), (-179, -10), (-179, -8), (179, -8)]
+    rows = [("w", 0, i, float(x), float(y)) for i, (x, y) in enumerate(corners)]
+    rows += [("e", 0, i, float(x) - 60, float(y)) for i, (x, y) in enumerate([(2, 2), (4, 2), (4, 4), (2, 4)])]
+    table = spark.createDataFrame(rows, "code string, ring int, seq int, x double, y double")
+    found = {r.code: (r.centroide_lon, r.centroide_lat) for r in territory.degree_centroids(table, "code").collect()}
+    assert abs(found["w"][0]) == pytest.approx(180) and found["w"][1] == pytest.approx(-9, abs=1e-2)
+    assert found["e"] == pytest.approx((-57, 3), abs=1e-2)
+
+
 def test_diagnosis_summary(registry, cases):
     summary = facility.diagnosis_summary(facility.facility_diagnosis(registry, cases))
     found = metric(summary)

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from geolink.operators.staging import shared_folder
+from geolink.plans import cache as cache_plans
 from geolink.plans import cases as case_plans
 from geolink.plans import inspection
-from geolink.sources import dictionary, files, payload, sinks, tables
+from geolink.sources import dictionary, files, footers, payload, sinks, tables
 
 NAMES = [
     "STSP2601.dbc",
@@ -215,5 +216,113 @@ def test_latest_files_leave_templates_out(spark, tmp_path):
     scan = inspection.scan_folder(spark, str(tmp_path), ["ST", "EP", "PF"])
     assert sorted((r.grupo, r.coluna, r.primeiro) for r in scan.collect()) == [
         ("EP", "COD_CEP", "24"),
+        ("PF", None, None),
         ("ST", "COD_CEP", "26"),
     ]
+
+
+def test_footers_of_files_and_of_folders_of_parts(spark, tmp_path):
+    import pandas as pd
+
+    pd.DataFrame({"b": ["x", None], "a": [1, 2]}).to_parquet(f"{tmp_path}/one.parquet")
+    pd.DataFrame({"b": pd.Series([], dtype="str"), "a": pd.Series([], dtype="int64")}).to_parquet(f"{tmp_path}/none.parquet")
+    pd.DataFrame().to_parquet(f"{tmp_path}/bare.parquet")
+    rows = spark.createDataFrame([(i, f"v{i}", True) for i in range(9)], "id long, t string, f boolean")
+    rows.repartitionByRange(3, "id").sortWithinPartitions("id").write.parquet(f"{tmp_path}/key=parts.parquet")
+    found = footers.footers(footers.list_parts(spark, str(tmp_path), pattern="*.parquet"))
+    facts = {r.file: (r.n_rows, r.n_columns, r.columns) for r in footers.table_facts(found).collect()}
+    assert facts == {
+        "one.parquet": (2, 2, "b,a"),
+        "none.parquet": (0, 2, "b,a"),
+        "bare.parquet": (0, 0, ""),
+        "parts.parquet": (9, 3, "id,t,f"),
+    }
+    columns = {(r.name, r.column): (r.type, r.first) for r in footers.table_columns(found).collect()}
+    assert columns["one.parquet", "b"] == ("string", "x") and columns["one.parquet", "a"] == ("int64", "1")
+    assert columns["none.parquet", "a"] == ("int64", None)
+    assert [columns["parts.parquet", c][1] for c in ("id", "t", "f")] == ["0", "v0", "true"]
+
+
+def test_files_that_differ_are_named(spark, tmp_path):
+    import pandas as pd
+
+    for i in range(40):
+        pd.DataFrame({"a": [i], "b": ["x"]}).to_parquet(f"{tmp_path}/f{i}.parquet")
+    same = footers.list_parts(spark, str(tmp_path), pattern="*.parquet")
+    footers.require_same_columns(footers.footers(same))
+    pd.DataFrame({"b": ["x"], "a": [1.5]}).to_parquet(f"{tmp_path}/g.parquet")
+    with pytest.raises(ValueError, match=r"g\.parquet.*\['a'\]"):
+        footers.require_same_columns(footers.footers(footers.list_parts(spark, str(tmp_path), pattern="*.parquet")))
+    with pytest.raises(Exception, match="two types"):
+        both = footers.footers(same).withColumn("path", F.lit("p"))
+        footers.table_columns(both.union(both.withColumn("type", F.lit("int8")))).collect()
+
+
+PAYLOADS = [
+    ('[{"id":1,"nome":"a"},{"id":2,"nome":null}]', 0),
+    ('[{"id":3,"nome":"c"},{"id":4,', 1),
+    ("  ", 2),
+    (None, 3),
+    ('[{"nome":"x"}]', 4),
+    ('{"id"', 5),
+    ("[]", 6),
+]
+
+
+def test_bad_payloads_are_an_error_or_set_aside(spark):
+    df = spark.createDataFrame(PAYLOADS, "payload string, place int")
+    with pytest.raises(Exception, match="bad payload: no JSON array"):
+        payload.official_municipalities(spark.createDataFrame(PAYLOADS[:2], "payload string, place int")).collect()
+    good, bad = payload.split_payloads(df)
+    assert sorted(r[0] for r in good.collect()) == ["1", "2"]
+    assert {r.place: r.fault for r in bad.collect()} == {
+        1: payload.NOT_A_LIST,
+        2: payload.NO_PAYLOAD,
+        3: payload.NO_PAYLOAD,
+        4: payload.NO_ID,
+        5: payload.NOT_A_LIST,
+    }
+    assert {r.fault: r.n for r in payload.fault_counts(bad).collect()}[payload.NO_PAYLOAD] == 2
+
+
+def test_lines_that_do_not_fit_are_set_aside(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("a,b\n1,2\n3\n4,5,6\n,\n")
+    good, bad = tables.split_text_csv(spark, str(tmp_path / "c.csv"), ["b", "a", "z"])
+    assert sorted((tuple(r) for r in good.collect()), key=str) == [("2", "1", None), (None, None, None)]
+    assert sorted(r.line for r in bad.collect()) == ["3", "4,5,6"]
+
+
+def test_counts_of_the_writing_pass(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "id % 3 as k").repartition(7)
+    aggregates = [F.count_if(F.col("k") == 1).alias("ones"), F.count("*").alias("n"), F.max("id").alias("top")]
+    for sort_by in ((), ["id"]):
+        row = sinks.write_observed(df, str(tmp_path / "t"), aggregates, sort_by).first()
+        assert tuple(row) == (333, 1000, 999)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 1000
+
+
+def test_results_that_come_in_as_files(spark, tmp_path, monkeypatch):
+    """A run that is killed within a batch and taken up again loses and repeats nothing."""
+    incoming, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    results = spark.range(60).selectExpr("cast(id % 50 as string) as cep_limpo", "id as seq")
+    results.repartition(6, "seq").write.parquet(incoming)
+    saved, save = [], cache_plans.save_batch
+
+    def killed(df, path, batch):
+        if len(saved) == 2:
+            # Half of the batch is there when the run dies.
+            save(df.limit(1), path, batch)
+            raise RuntimeError("killed")
+        save(df, path, batch)
+        saved.append(batch)
+
+    monkeypatch.setattr(cache_plans, "save_batch", killed)
+    with pytest.raises(Exception, match="killed"):
+        cache_plans.take_in_results(spark, incoming, results.schema, out, checkpoint, files_per_batch=1)
+    monkeypatch.setattr(cache_plans, "save_batch", save)
+    for _ in range(2):
+        cache_plans.take_in_results(spark, incoming, results.schema, out, checkpoint, files_per_batch=1)
+        assert sorted(r.seq for r in cache_plans.saved_results(spark, out).collect()) == list(range(60))
+    spark.createDataFrame([("0", 99)], results.schema).write.mode("append").parquet(incoming)
+    cache_plans.take_in_results(spark, incoming, results.schema, out, checkpoint)
+    assert {r.cep_limpo: r.seq for r in cache_plans.read_results(spark, out, ["seq"]).collect()}["0"] == 99
