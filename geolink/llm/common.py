@@ -5,10 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -16,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geolink.session import ship_code
+
 # Bounds of one Arrow batch: rows, and bytes where the running Spark honours them.
 BATCH_ROWS = 500
 BATCH_BYTES = 16 * 1024 * 1024
@@ -43,29 +42,12 @@ def _give_back_memory() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Hand this package to the executors, once per application; they need not have it installed."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="geolink-code-")) / f"{root.name}-code.zip"
-    with zipfile.ZipFile(archive, "w") as out:
-        for path in sorted(root.rglob("*.py")):
-            out.write(path, path.relative_to(root.parent))
-    context.addPyFile(str(archive))
-    _shipped.add(context.applicationId)
-
-
 def map_batches(df: DataFrame, function: Callable[[Batches], Batches], schema) -> DataFrame:
     """``mapInArrow`` over batches that are bounded, so that a task holds few long texts at once.
 
     The bounds are session settings; they change no result.
     """
-    ship_package(df.sparkSession)
+    ship_code(df.sparkSession)
 
     def run(batches: Batches) -> Batches:
         try:

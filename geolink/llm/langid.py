@@ -31,6 +31,8 @@ ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 PER_LANGUAGE = 400
 SAMPLE = 4000
+#: Groups of input tasks among which the sample is drawn first.
+PARTS = 256
 SAMPLE_CHARS = 20_000
 LANDMARKS = 48
 RIDGE = 1e-3
@@ -148,8 +150,14 @@ def train(
         & (F.length(text) <= SAMPLE_CHARS)
     )
     rows = rows.select(lang.alias("lang"), F.xxhash64(id_, text).alias("draw"), text.alias("text"))
+    # First among the rows of some input tasks, then among what these leave, so that no task gets what
+    # all input tasks leave of a language.
+    part = F.pmod(F.spark_partition_id(), F.lit(PARTS))
+    some = F.row_number().over(W.partitionBy("lang", "part").orderBy("draw"))
+    few = rows.select("lang", "draw").withColumn("part", part)
+    few = few.withColumn("rank", some).filter(F.col("rank") <= per_language).select("lang", "draw").distinct()
     rank = F.row_number().over(W.partitionBy("lang").orderBy("draw"))
-    few = rows.select("lang", "draw").withColumn("rank", rank).filter(F.col("rank") <= per_language)
+    few = few.withColumn("rank", rank).filter(F.col("rank") <= per_language)
     few = few.orderBy("rank", "lang").limit(sample).distinct()
     chosen = rows.join(F.broadcast(few), ["lang", "draw"]).select("lang", "rank", "text")
 

@@ -34,6 +34,9 @@ from geolink.operators.staging import stage_table
 THRESHOLD = 0.95
 TABLES = 10
 PROBES = 12
+#: Up to so many dimensions there are twice as many tables: all of them see the whole distance of two
+#: vectors, where projections of more dimensions are shorter in some tables.
+FLAT = 12
 #: Edge of a cell, against unit vectors whose projections keep their length on average.
 CELL = 0.24
 
@@ -137,7 +140,7 @@ def _cells(tables: int, probes: int, cell: float):
         for batch in batches:
             node = batch["node"].to_numpy(zero_copy_only=False)
             for at, unit in _unit(batch["vector"].to_pylist()).values():
-                for table in range(tables):
+                for table in range(tables if unit.shape[1] > FLAT else 2 * tables):
                     own, near = cells_of(unit, table, cell, probes)
                     keys = np.concatenate([own[:, None], near], axis=1)
                     first = np.zeros(keys.shape, bool)

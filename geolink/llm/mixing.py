@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from geolink.operators.joins import Side, sized
-from geolink.operators.ranking import numbered
+from geolink.operators.ranking import numbered, order_columns
 from geolink.operators.staging import stage_table
 
 #: Weights of the sources in order, over and over; the budget as a part of all words; the cap.
@@ -69,7 +69,7 @@ def cyclic_weights(sources: DataFrame, weights: Sequence[int] = WEIGHTS) -> Data
     """Sources with ``weight``: the given ones in turn, by the order of the sources, null last."""
     place = F.pmod(F.col("place") - 1, F.lit(len(weights))).cast("int")
     cycle = F.array(*[F.lit(w).cast("long") for w in weights])
-    placed = numbered(sources, "place", ascending=["source"])
+    placed = numbered(sources, "place", order_columns(ascending=["source"]))
     return placed.withColumn("weight", F.get(cycle, place)).drop("place")
 
 

@@ -14,6 +14,10 @@ buckets before it.
 Everything is DataFrame expressions. Only the slot sizes, a fixed number of rows, meet the driver; the
 map is broadcast, with one row for each slot.
 
+Groups of equal texts are not kept together: their records go by their ids, so that a text which a third
+of all records have is spread like any others, and only records that share an id, or a text without one,
+are in one slot.
+
 A record without an id is placed by its text; a null text has one byte, an empty text as well. Rows that
 repeat are records of their own, in the same slot.
 """

@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 from llm.edge_cases import TEXTS, clashing, documents, empty, prose
 
-from geolink.llm import shards, urls
+from geolink.llm import queries, shards, urls
 
 PAGE = "page_id bigint, url string, html string, host string, blocked boolean, id int"
 OUTCOME = "page_id bigint, bad int"
@@ -107,6 +107,31 @@ def test_a_bad_host_is_blocked_and_its_domain_is_suspected(spark):
     assert rates["new.bad.com"].lower_bound < rates["spam.bad.com"].lower_bound
 
 
+def test_the_query_blocks_by_reputation(spark, tmp_path):
+    """Pages without a rule: the registered query's verdict turns on the labels of the host's pages."""
+    pages = [(i, f"http://{'spam' if i % 4 == 0 else f'h{i % 9}'}.site{i % 4}.info/p{i}") for i in range(800)]
+    table(spark, pages).write.parquet(f"{tmp_path}/pages.parquet")
+    label = "doc_id bigint, quality int, toxic int"
+    for name, toxic in (("by_host", lambda i: int(i % 4 == 0)), ("by_id", lambda i: int(i % 97 == 0))):
+        labels = spark.createDataFrame([(i, 1, toxic(i)) for i in range(0, 800, 3)], label)
+        labels.write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        rows = queries.queries()["op3_url_filter"](spark, str(tmp_path)).collect()
+        assert len(rows) == 800 and {r.rule for r in rows} == {None}
+        blocked = {r.page_id for r in rows if r.verdict == "block"}
+        assert blocked == (set(range(0, 800, 4)) if name == "by_host" else set())
+
+
+def test_copies_are_spread_over_shards(spark):
+    """A text that a third of all records have does not fill one shard."""
+    texts = [(i, "the same text" if i % 3 == 0 else prose(3)) for i in range(3000)]
+    rows = shards.shard_table(documents(spark, texts)).collect()
+    copies = defaultdict(int)
+    for r in rows:
+        copies[r.shard] += r.text_crc32 == zlib.crc32(b"the same text")
+    assert len(copies) == 8 and max(copies.values()) < 1.5 * 1000 / 8
+    check_rows(rows, texts)
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], OUTCOME)
     assert urls.filter_urls(table(spark, []), none).count() == 0
