@@ -11,8 +11,8 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +42,7 @@ def open_parquet(path: str) -> pq.ParquetFile:
     local = re.sub("^file:/+", "/", path)
     if local.startswith("/"):
         return pq.ParquetFile(local)
-    system, inner = pa.fs.FileSystem.from_uri(path)
+    system, inner = fs.FileSystem.from_uri(path)
     return pq.ParquetFile(inner, filesystem=system)
 
 
