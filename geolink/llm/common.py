@@ -6,7 +6,6 @@ import contextlib
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
-from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,14 +25,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def mounted(folder: str) -> str:
-    """The path of a shared folder that tasks open by themselves."""
-    url = urlparse(folder)
-    if url.scheme not in ("", "file"):
-        raise RuntimeError(f"{folder} must be mounted on the executors")
-    return url.path
-
-
 def _give_back_memory() -> None:
     """At a task's end, return what the worker holds but does not use to the machine."""
     gc.collect()
