@@ -74,6 +74,12 @@ def measure(sides: Sequence[Side]) -> list[tuple[int, int]]:
     return [found[i] for i in positions]
 
 
+def broadcast_within(size: int, max_broadcast_bytes: int | None = None) -> Hint:
+    """A broadcast for a table of at most ``size`` bytes, if these are within the bound; else no hint."""
+    bound = BROADCAST_BYTES if max_broadcast_bytes is None else max_broadcast_bytes
+    return F.broadcast if size <= bound else lambda df: df
+
+
 def sized(*sides: Side, max_broadcast_bytes: int | None = None) -> list[tuple[DataFrame, Hint]]:
     """Measure lookups; return each with the hint that its projections get before a join.
 

@@ -27,7 +27,7 @@ from geolink.functions.keys import (
 )
 from geolink.functions.ratios import banded, pct, pct_half_up
 from geolink.operators.dedupe import first_filled_per_key, keep_first
-from geolink.operators.joins import Side, sized
+from geolink.operators.joins import Side, broadcast_within, measure
 from geolink.operators.metrics import count_metric, metrics_long, verdict_metric
 from geolink.operators.projection import (
     keep_existing,
@@ -117,8 +117,9 @@ def consolidate_registry(
     """One row per registry facility that the cases name, each column its first filled value.
 
     The registry meets the case keys before its aggregate, so that rows of other facilities are not
-    shuffled. The distinct keys are staged and broadcast within the bound of ``joins.sized``; beyond it
-    the semi-join is a shuffle join. The aggregate absorbs facilities with very many rows map-side.
+    shuffled. The distinct keys are staged, measured, and broadcast within the bound of ``joins.sized``;
+    beyond it the semi-join is a shuffle join. Their size also bounds the ordinals of the first filled
+    values, at most one per key and column. The aggregate absorbs facilities with very many rows map-side.
     """
     require_columns(registry, ["CNES"])
     if isinstance(ordinal, str):
@@ -126,9 +127,12 @@ def consolidate_registry(
     rows = registry.withColumns({"CNES": stripped("CNES"), "_ord": ordinal})
     rows = keep_existing(rows, [*REGISTRY_COLUMNS, "_ord"]).where("CNES is not null")
     wanted = stage_table(case_facilities(cases), "case-facilities")
-    [(keys, hint)] = sized(Side(wanted, ["CNES"], wanted))
-    rows = rows.join(hint(keys), "CNES", "left_semi")
-    return first_filled_per_key(rows, "CNES", "_ord").drop("_ord")
+    [(size, _)] = measure([Side(wanted, ["CNES"], wanted)])
+    rows = rows.join(broadcast_within(size)(wanted), "CNES", "left_semi")
+    # A key counts for 32 bytes or more; beside it stand an ordinal, an array and a flag for each column.
+    slots = len(rows.columns)
+    of_firsts = slots * size * (1 + (48 + slots) // 32)
+    return first_filled_per_key(rows, "CNES", "_ord", broadcast_within(of_firsts)).drop("_ord")
 
 
 def _with_location_codes(consolidated: DataFrame, municipality_flag: str) -> DataFrame:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geolink.operators.staging import stage_table
 
+#: More rows than a file can have, few enough for eight million files.
+ROWS_PER_FILE = 2**40
+
 
 def read_aligned(spark: SparkSession, *paths: str) -> DataFrame:
     """One Parquet table from one or many paths, with every column that any file has.
@@ -28,14 +31,23 @@ def read_table(spark: SparkSession, *paths: str, columns: Sequence[str] | None =
 
 
 def read_table_in_order(spark: SparkSession, *paths: str, ordinal: str = "ord") -> DataFrame:
-    """A Parquet table with the position of each row: file name, then row in the file.
+    """A Parquet table with the position of each row, as a whole number: file name, then row in the file.
 
-    First-wins rules need the position, since a distributed scan has no order of its own. Columns
-    that only some files have are kept, see ``read_aligned``.
+    First-wins rules need the position, since a distributed scan has no order of its own. The number is
+    the file's place among the files by name, times ``ROWS_PER_FILE``, and the row's place in the file. Only
+    the files, a row each, are brought in order. Columns that only some files have are kept, see
+    ``read_aligned``.
     """
     df = read_aligned(spark, *paths)
-    position = F.struct("_metadata.file_name", "_metadata.row_index", "_metadata.file_path")
-    return df.select("*", position.alias(ordinal))
+    files = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"))
+    by_name = Window.orderBy("_name", "_path")
+    places = files.distinct().select("_path", (F.row_number().over(by_name) - 1).cast("long").alias("_place"))
+    rows = df.select(
+        "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row")
+    )
+    position = F.col("_place") * ROWS_PER_FILE + F.col("_row")
+    placed = rows.join(F.broadcast(places), "_path")
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], position.alias(ordinal))
 
 
 def column_names(spark: SparkSession, *paths: str) -> list[str]:

@@ -49,12 +49,42 @@ def test_first_filled_is_per_column_and_independent_of_input_order(spark, seed):
     assert rows(found, "k") == [("a", "c3", "x1"), ("b", None, "y6")]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_first_filled_by_another_kind_of_ordinal(spark, seed):
+    df = shuffled(spark, REGISTRY, "k string, c string, x string, ord long", seed)
+    df = df.withColumn("ord", F.struct(F.lit("file"), "ord"))
+    found = dedupe.first_filled_per_key(df, "k", "ord").drop("ord")
+    assert rows(found, "k") == [("a", "c3", "x1"), ("b", None, "y6")]
+
+
 def test_first_filled_aggregates_before_the_shuffle(spark):
     df = spark.createDataFrame(REGISTRY, "k string, c string, x string, ord long")
-    text = plan(dedupe.first_filled_per_key(df, "k", "ord"))
+    text = plan(dedupe.first_filled_per_key(df.withColumn("ord", F.struct("ord")), "k", "ord"))
     assert "partial_min_by" in text and text.count("Exchange") == 1
 
 
+def test_first_filled_by_number_neither_sorts_nor_aggregates_texts(spark):
+    df = spark.createDataFrame(REGISTRY, "k string, c string, x string, ord long")
+    text = plan(dedupe.first_filled_per_key(df, "k", "ord", F.broadcast))
+    assert "SortAggregate" not in text and "Sort " not in text and "min_by" not in text
+    assert "HashAggregate" in text and "BroadcastHashJoin" in text
+
+
+@pytest.mark.parametrize("hint", [F.broadcast, lambda df: df])
+def test_first_filled_of_a_hot_key_keys_without_values_and_gaps(spark, hint):
+    """A key with a third of all rows, the null key, a key of blanks only, rows without an ordinal."""
+    data = [("hot", "v" if i >= 700 else " ", None if i != 900 else "x", i) for i in range(1000)]
+    data += [(f"k{i % 500}", str(i), "", 1000 + i) for i in range(2000)]
+    data += [(None, None, "n2", 5001), (None, "c1", None, 5000), ("blank", " ", None, 6000)]
+    data += [("late", "last", None, None), ("late", "first", None, 7000), ("only", "o", None, None)]
+    df = shuffled(spark, data, "k string, c string, x string, ord long", 1)
+    found = {r.k: (r.c, r.x) for r in dedupe.first_filled_per_key(df, "k", "ord", hint).collect()}
+    expected = {f"k{i}": (str(i), None) for i in range(500)}
+    expected |= {"hot": ("v", "x"), None: ("c1", "n2"), "blank": (None, None)}
+    assert found == expected | {"late": ("first", None), "only": ("o", None)}
+    assert dedupe.first_filled_per_key(df.limit(0), "k", "ord", hint).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_keep_first_and_last(spark, seed):
     data = [("a", 3, "c"), ("a", 1, "a"), ("a", None, "n"), (None, 2, "z"), (None, 1, "y")]

@@ -60,6 +60,7 @@ def test_read_tables(spark, tmp_path):
     assert tables.read_table(spark, *paths, columns=["id"]).columns == ["id"]
     ordered = tables.read_table_in_order(spark, *paths).where("v = 1").orderBy("ord")
     assert [r.id for r in ordered.collect()] == [3, 4, 5]
+    assert dict(ordered.dtypes)["ord"] == "bigint"
 
 
 def test_text_csv(spark, tmp_path):
