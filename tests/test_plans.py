@@ -145,14 +145,19 @@ def test_facility_lookup_shuffles_each_side_once_after_aggregation(registry, cas
 
 
 def test_registry_meets_the_case_keys_before_its_aggregate(registry, cases, monkeypatch):
-    """The semi-join stands below the aggregate, by a broadcast within the bound and by a shuffle beyond."""
+    """A semi-join stands below both aggregates, of the ordinals and of the values at them.
+
+    It is a broadcast within the bound and a shuffle beyond.
+    """
     expected = sorted(map(str, facility.facility_lookup(registry, cases).collect()))
     for bound in (None, 0):
         if bound is not None:
             monkeypatch.setattr("geolink.operators.joins.BROADCAST_BYTES", bound)
         lookup = facility.facility_lookup(registry, cases)
         text = lookup._jdf.queryExecution().optimizedPlan().toString()
-        assert text.rindex("Aggregate") < text.index("Join LeftSemi"), text
+        assert text.count("Aggregate") == text.count("Join LeftSemi") == 2, text
+        assert text.index("Aggregate") < text.index("Join LeftSemi")
+        assert text.rindex("Aggregate") < text.rindex("Join LeftSemi")
         assert ("strategy=broadcast" in text) == (bound is None)
         assert sorted(map(str, lookup.collect())) == expected
 
