@@ -8,9 +8,13 @@ precision, so that no link is below the threshold; the tables decide how many of
 ``tests/llm`` measures the recall against brute force, at the threshold itself.
 
 Equal vectors are one node from the start, however many rows have them, and count towards each
-other's links. Each link between different vectors is a verified pair, since links are counted. Cells
-are met by a join in which a frequent cell can be split; candidates are made distinct by ids before
-any vector is read again.
+other's links. Vectors that share cells are gathered in balls: each joins the smallest node of one of its
+cells that is verified to be within half the threshold's angle. All of a ball link with each other, by the
+triangle inequality, and are counted, not paired. Cells then hold balls, so that a group of very many
+near-equal vectors is a few entries. Two balls that meet are linked or not as wholes, where the angle
+of their centres and their radii decide; else each vector of one is judged against the other ball, and
+what is still open is compared in bounded blocks within tasks, which give back counts. No group's
+pairs are ever rows, and a link of two balls is one edge for the components.
 
 A vector that is null, of length zero, or holds a null or a number that is not finite has no links and is
 its own component. Vectors of different length have no links. Rows that repeat an id are rows of
@@ -39,6 +43,10 @@ PROBES = 12
 FLAT = 12
 #: Edge of a cell, against unit vectors whose projections keep their length on average.
 CELL = 0.24
+#: Vectors of a ball that are compared at a time, on average.
+BLOCK = 128
+#: Angles nearer than this to a bound are not decided by the triangle inequality.
+MARGIN = 1e-6
 
 
 def nearest_e8(x: np.ndarray) -> np.ndarray:
@@ -134,65 +142,180 @@ def _unit(vectors: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _cells(tables: int, probes: int, cell: float):
-    """Rows ``key, node, own``: each node's own cells, and the cells it is looked up under."""
+    """Distinct rows ``key, ball`` of a batch: the vectors' own cells and ``probes`` neighbours of each."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            node = batch["node"].to_numpy(zero_copy_only=False)
+            ball = batch["ball"].to_numpy(zero_copy_only=False)
             for at, unit in _unit(batch["vector"].to_pylist()).values():
                 for table in range(tables if unit.shape[1] > FLAT else 2 * tables):
                     own, near = cells_of(unit, table, cell, probes)
                     keys = np.concatenate([own[:, None], near], axis=1)
-                    first = np.zeros(keys.shape, bool)
-                    first[:, 0] = True
+                    pairs = np.stack([keys.ravel(), np.repeat(ball[at], keys.shape[1])], axis=1)
+                    pairs = np.unique(pairs, axis=0) if len(set(ball[at].tolist())) < len(at) else pairs
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys.ravel()),
-                            pa.array(np.repeat(node[at], keys.shape[1])),
-                            pa.array(first.ravel()),
-                        ],
-                        names=["key", "node", "own"],
+                        [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["key", "ball"]
                     )
 
     return run
 
 
-def _verified(threshold: float):
+def _cosines(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Cosine of each pair of vectors; -1 where their lengths differ."""
+    out = np.full(len(a), -1.0)
+    for size, (at, x) in _unit(a).items():
+        same = np.array([len(b[i]) == 8 * size for i in at.tolist()])
+        at, x = at[same], x[same]
+        if len(at):
+            (_, y), = _unit([b[i] for i in at.tolist()]).values()
+            out[at] = np.einsum("ij,ij->i", x, y)
+    return out
+
+
+def _angles(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1, 1))
+
+
+def _near_centres(threshold: float):
+    """Candidates within half the threshold's angle of a centre, with their angle."""
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            a, b = batch["a"].to_pylist(), batch["b"].to_pylist()
-            close = np.zeros(len(a), bool)
-            sides = _unit(a)
-            for size, (at, x) in sides.items():
-                same = np.array([len(b[i]) == 8 * size for i in at.tolist()])
-                at, x = at[same], x[same]
-                if len(at):
-                    (_, y), = _unit([b[i] for i in at.tolist()]).values()
-                    close[at] = np.einsum("ij,ij->i", x, y) >= threshold
-            yield batch.select(["u", "v"]).filter(pa.array(close))
+            angle = _angles(_cosines(batch["a"].to_pylist(), batch["b"].to_pylist()))
+            inside = pa.array(angle <= np.arccos(threshold) / 2 - MARGIN)
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], batch["centre"], pa.array(angle)], names=["node", "centre", "angle"]
+            ).filter(inside)
 
     return run
 
 
-def vector_links(
-    nodes: DataFrame,
-    threshold: float = THRESHOLD,
-    tables: int = TABLES,
-    probes: int = PROBES,
-    cell: float = CELL,
+def _judged(cosines: np.ndarray, slack: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Whether all pairs around two points are links, and whether some may be; a point alone has no slack."""
+    angle, most = _angles(cosines), np.arccos(threshold)
+    point = slack == 0
+    whole = np.where(point, cosines >= threshold, angle + slack <= most - MARGIN)
+    return whole, whole | (~point & (angle - slack <= most + MARGIN))
+
+
+def _judge(threshold: float, *kept: str):
+    """Judges ``a`` against ``b`` with their ``slack``; keeps what may link and tells what links wholly."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            slack = batch["slack"].to_numpy(zero_copy_only=False)
+            cosines = _cosines(batch["a"].to_pylist(), batch["b"].to_pylist())
+            whole, some = _judged(cosines, slack, threshold)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in kept), pa.array(whole)], names=[*kept, "whole"]
+            ).filter(pa.array(some))
+
+    return run
+
+
+def _compare(threshold: float):
+    """Blocks of vectors against blocks of a ball: for each vector the rows that it links with."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for row in batch.to_pylist():
+                sides = [_unit([m["vector"] for m in row[side]]) for side in ("these", "those")]
+                rows = np.array([m["rows"] for m in row["those"]], np.int64)
+                names, counts = [], []
+                for size in sides[0].keys() & sides[1].keys():
+                    (at, x), (other, y) = (side[size] for side in sides)
+                    names += [row["these"][i]["node"] for i in at.tolist()]
+                    counts += ((x @ y.T >= threshold) @ rows[other]).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(names, pa.int64()),
+                        pa.array([row["ball"]] * len(names), pa.int64()),
+                        pa.array([row["other"]] * len(names), pa.int64()),
+                        pa.array(counts, pa.int64()),
+                    ],
+                    names=["node", "ball", "other", "linked"],
+                )
+
+    return run
+
+
+def _gathered(nodes: DataFrame, threshold: float, tables: int, cell: float) -> DataFrame:
+    """``node, rows, first_id, vector`` with the ``ball`` of each node and its ``angle`` to the centre."""
+    single = nodes.select(F.col("node").alias("ball"), "vector")
+    own = stage_table(map_batches(single, _cells(tables, 0, cell), "key bigint, ball bigint"), "own-cells")
+    least = own.groupBy("key").agg(F.min("ball").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    offered = own.join(least, "key").filter("ball <> centre").select(F.col("ball").alias("node"), "centre").distinct()
+    a = nodes.select("node", F.col("vector").alias("a"))
+    b = nodes.select(F.col("node").alias("centre"), F.col("vector").alias("b"))
+    joined = offered.join(a, "node").join(b, "centre").select("node", "centre", "a", "b")
+    near = map_batches(joined, _near_centres(threshold), "node bigint, centre bigint, angle double")
+    chosen = near.groupBy("node").agg(F.min("centre").alias("centre"), F.min_by("angle", "centre").alias("angle"))
+    return nodes.join(chosen, "node", "left").select(
+        *nodes.columns, F.coalesce("centre", "node").alias("ball"), F.coalesce("angle", F.lit(0.0)).alias("angle")
+    )
+
+
+def _meetings(
+    members: DataFrame, balls: DataFrame, threshold: float, tables: int, probes: int, cell: float
 ) -> DataFrame:
-    """``u, v``: the verified links between different vectors of ``node, vector``, each once."""
-    cells = stage_table(
-        map_batches(nodes, _cells(tables, probes, cell), "key bigint, node bigint, own boolean"), "cells"
+    """``u, v, whole``: balls that share a cell and have links, each pair once, or may have."""
+    vectors, kind = members.select("ball", "vector"), "key bigint, ball bigint"
+    filed = map_batches(vectors, _cells(tables, 0, cell), kind).distinct()
+    looked_up = map_batches(vectors, _cells(tables, probes, cell), kind).distinct()
+    met = looked_up.withColumnRenamed("ball", "u").join(filed.withColumnRenamed("ball", "v"), "key")
+    pairs = met.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    a, b = (
+        balls.select(F.col("ball").alias(ball), F.col("centre").alias(side), F.col("radius").alias(f"r{side}"))
+        for ball, side in (("u", "a"), ("v", "b"))
     )
-    filed = cells.filter("own").select("key", F.col("node").alias("v"))
-    looked_up = cells.select("key", F.col("node").alias("u"))
-    met = looked_up.join(filed, "key").filter("u <> v")
-    pairs = met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    a = nodes.select(F.col("node").alias("u"), F.col("vector").alias("a"))
-    b = nodes.select(F.col("node").alias("v"), F.col("vector").alias("b"))
-    joined = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
-    return map_batches(joined, _verified(threshold), "u bigint, v bigint")
+    joined = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b", (F.col("ra") + F.col("rb")).alias("slack"))
+    return map_batches(joined, _judge(threshold, "u", "v"), "u bigint, v bigint, whole boolean")
+
+
+def _compared(open_: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """``node, ball, other, linked``: the open cases ``node, ball, other``, vector by vector.
+
+    Vectors are dealt to blocks by a hash of their node, as many as their number needs.
+    """
+    vectors = members.select("node", "rows", "vector", "ball")
+
+    def dealt(df: DataFrame, *group: str) -> DataFrame:
+        parts = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+        spread = df.join(parts, list(group)).withColumn("part", F.pmod(F.xxhash64("node"), "parts"))
+        block = F.collect_list(F.struct("node", "rows", "vector"))
+        return spread.groupBy(*group, "part").agg(block.alias("block")).drop("part")
+
+    these = dealt(open_.join(vectors, ["node", "ball"]), "ball", "other").withColumnRenamed("block", "these")
+    named = open_.select(F.col("other").alias("ball")).distinct()
+    those = dealt(vectors.join(named, "ball", "left_semi"), "ball")
+    those = those.withColumnsRenamed({"ball": "other", "block": "those"})
+    pairs = these.join(those, "other").select("ball", "other", "these", "those")
+    kind = "node bigint, ball bigint, other bigint, linked bigint"
+    return map_batches(pairs, _compare(threshold), kind).filter("linked > 0")
+
+
+def ball_links(
+    members: DataFrame, balls: DataFrame, threshold: float, tables: int, probes: int, cell: float
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links beyond the balls: edges ``u, v`` between balls, and numbers of rows ``linked`` by ball and by node."""
+    met = stage_table(_meetings(members, balls, threshold, tables, probes, cell), "meetings")
+    both = met.unionByName(met.select(F.col("v").alias("u"), F.col("u").alias("v"), "whole"))
+    held = balls.select(F.col("ball").alias("v"), "held")
+    of_ball = both.filter("whole").join(held, "v").groupBy(F.col("u").alias("ball")).agg(F.sum("held").alias("far"))
+    # The vectors of a ball against the whole of another.
+    single = members.select("node", F.col("ball").alias("u"), F.col("vector").alias("a"))
+    target = balls.select(F.col("ball").alias("v"), F.col("centre").alias("b"), F.col("radius").alias("slack"))
+    borders = both.filter("not whole").select("u", "v").join(single, "u").join(target, "v")
+    borders = borders.select("node", F.col("u").alias("ball"), F.col("v").alias("other"), "a", "b", "slack")
+    kind = "node bigint, ball bigint, other bigint, whole boolean"
+    cases = stage_table(map_batches(borders, _judge(threshold, "node", "ball", "other"), kind), "borders")
+    whole = cases.filter("whole").join(held.withColumnRenamed("v", "other"), "other")
+    whole = whole.select("node", "ball", "other", F.col("held").alias("linked"))
+    compared = _compared(cases.filter("not whole").drop("whole"), members, threshold)
+    near = stage_table(whole.unionByName(compared), "border-links")
+    of_node = near.groupBy("node").agg(F.sum("linked").alias("near"))
+    across = near.select(F.col("ball").alias("u"), F.col("other").alias("v")).distinct()
+    return met.filter("whole").select("u", "v").unionByName(across), of_ball, of_node
 
 
 def near_vectors(
@@ -219,24 +342,26 @@ def near_vectors(
         ),
         "nodes",
     )
-    links = stage_table(
-        vector_links(nodes.select("node", "vector"), threshold, tables, probes, cell), "links"
-    )
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    copies = nodes.select(F.col("node").alias("v"), "rows")
-    linked = both.join(copies, "v").groupBy(F.col("u").alias("node")).agg(F.sum("rows").alias("linked"))
-    roots_ = connected_components(links, "u", "v").withColumnRenamed("root", "linked_root")
-    rooted = nodes.select("node", "first_id", "rows").join(roots_, "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("linked_root", "node"))
+    members = stage_table(_gathered(nodes, threshold, tables, cell), "members")
+    held = members.groupBy("ball").agg(F.sum("rows").alias("held"), F.max("angle").alias("radius"))
+    centres = nodes.select(F.col("node").alias("ball"), F.col("vector").alias("centre"))
+    balls = stage_table(held.join(centres, "ball"), "balls")
+    links, of_ball, of_node = ball_links(members, balls, threshold, tables, probes, cell)
+    roots_ = connected_components(links, "u", "v").select(F.col("node").alias("ball"), "root")
+    rooted = members.groupBy("ball").agg(F.min("first_id").alias("first_id")).join(roots_, "ball", "left")
+    rooted = rooted.withColumn("root", F.coalesce("root", "ball"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    found = stage_table(
+    of_ball = (
         rooted.join(least, "root")
-        .join(linked, "node", "left")
-        .select(
-            "node",
-            "component_id",
-            (F.col("rows") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
-        ),
+        .join(balls.select("ball", "held"), "ball")
+        .join(of_ball, "ball", "left")
+        .select("ball", "component_id", (F.col("held") - 1 + F.coalesce("far", F.lit(0))).alias("far"))
+    )
+    found = stage_table(
+        members.select("node", "ball")
+        .join(of_ball, "ball")
+        .join(of_node, "node", "left")
+        .select("node", "component_id", (F.col("far") + F.coalesce("near", F.lit(0))).alias("n_links")),
         "found",
     )
     result = rows.select("id", "node").join(found, "node", "left")

@@ -39,9 +39,9 @@ def clusters(seed, size=64, groups=25):
     return [(i, v) for i, v in enumerate(rows)]
 
 
-def found(spark, rows):
+def found(spark, rows, **options):
     table = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTOR).repartition(3)
-    result = lattice.near_vectors(table).collect()
+    result = lattice.near_vectors(table, **options).collect()
     assert all(r.kept == (r.vec_id == r.component_id) for r in result)
     return {r.vec_id: (r.n_links, r.component_id) for r in result}
 
@@ -52,6 +52,46 @@ def test_clusters(spark, size):
     assert found(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize(("size", "noise"), [(64, 0.013), (64, 0.022), (16, 0.05), (3, 0.12), (2, 0.3)])
+def test_groups_of_near_equal_vectors(spark, size, noise, monkeypatch):
+    """Groups within a ball, and groups that lie across several, some beyond the threshold's reach.
+
+    In cells so wide that all balls meet, every link is counted; in cells as they are, hardly one is missed.
+    """
+    monkeypatch.setattr(lattice, "BLOCK", 20)
+    rng = np.random.default_rng(size)
+    rows = []
+    for count in (150, 60, 2, 1):
+        x = rng.normal(size=size)
+        x /= np.linalg.norm(x)
+        rows += (x + noise * rng.normal(size=(count, size))).astype(np.float32).tolist()
+    rows = [(i, v) for i, v in enumerate(rows + rows[140:155])]
+    expected = brute(rows)
+    assert found(spark, rows, cell=50.0) == expected
+    result = found(spark, rows)
+    assert all(result[i][0] <= n for i, (n, _) in expected.items())
+    assert sum(n for n, _ in result.values()) >= 0.98 * sum(n for n, _ in expected.values())
+    assert {i for i, r in result.items() if r[1] != expected[i][1]} == set()
+
+
+def test_balls_link_within_and_cells_hold_balls(spark):
+    """A group of near-equal vectors is a few balls, and no table has a row for each of its pairs."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=64)
+    rows = [(i, (x + 0.1 * rng.normal(size=64)).tolist()) for i in range(600)]
+    table = spark.createDataFrame([(i, v, 1, i) for i, v in rows], "id bigint, embedding array<double>, rows bigint, first_id bigint")
+    hashed = lattice.map_batches(table.select("id", "embedding"), lattice._nodes, "id bigint, node bigint, vector binary")
+    nodes = hashed.selectExpr("node", "id as first_id", "1L as rows", "vector")
+    members = lattice._gathered(nodes, 0.95, 10, 0.24).collect()
+    assert len(members) == 600 and len({m.ball for m in members}) < 30
+    by_ball = {}
+    for m in members:
+        by_ball.setdefault(m.ball, []).append(np.frombuffer(m.vector))
+    for vectors in by_ball.values():
+        unit = np.array(vectors) / np.linalg.norm(vectors, axis=1)[:, None]
+        assert (unit @ unit.T).min() >= 0.95
+
+
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
@@ -63,6 +103,12 @@ def test_edge_cases(spark):
     assert found(spark, []) == {}
 
 
+def test_extra_columns_with_clashing_names(spark):
+    names = "vec_id bigint, embedding array<float>, ball int, node string, rows int, centre int"
+    table = spark.createDataFrame([(1, [1.0, 0.0], 5, "a", 2, 3), (2, [1.0, 0.1], 6, None, 2, 3)], names)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in lattice.near_vectors(table).collect()} == {(1, 1, 1), (2, 1, 1)}
+
+
 def test_repeated_rows_link_to_each_other(spark):
     table = spark.createDataFrame([(1, [1.0, 2.0], 0)] * 3 + [(None, [5.0, -1.0], 0)], VECTOR)
     rows = sorted((tuple(r) for r in lattice.near_vectors(table).collect()), key=str)
