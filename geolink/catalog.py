@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from geolink import standins
 from geolink.functions import keys
 from geolink.functions.ratios import pct
-from geolink.operators import joins, projection, ranking, stacking, staging
+from geolink.operators import bucketed, joins, projection, ranking, stacking, staging
 from geolink.operators.centroid import polygon_centroids
 from geolink.plans import (
     cache,
@@ -82,6 +82,17 @@ def q_enriched_cases(spark, d):
     return round6(enriched(spark, d), "unidade_latitude", "unidade_longitude")
 
 
+def q_enriched_bucketed(spark, d):
+    """The enriched cases from lookups in buckets, which are written first."""
+    places, units = (staging.stage_path(spark, name) for name in ("territory", "facilities"))
+    bucketed.write_bucketed(standins.territory(spark, d), places, "municipio_codigo_6")
+    bucketed.write_bucketed(rebuilt(spark, d), units, "cnes_codigo")
+    linked = enrich.enrich_cases_bucketed(
+        standins.cases(spark, d), bucketed.read_bucketed(spark, places), bucketed.read_bucketed(spark, units)
+    )
+    return round6(linked, "unidade_latitude", "unidade_longitude")
+
+
 def q_enriched_validation(spark, d):
     return enrich.enriched_summary(enriched(spark, d))
 

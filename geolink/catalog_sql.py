@@ -469,6 +469,7 @@ def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     sql["q_enriched_cases"] = _with(ENRICHED) + "SELECT * FROM enriched"
+    sql["q_enriched_bucketed"] = sql["q_enriched_cases"]
     sql["q_enriched_validation"] = (
         _with(ENRICHED)
         + """, totals AS (

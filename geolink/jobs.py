@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from geolink.operators import bucketed
+from geolink.operators.dedupe import require_unique
 from geolink.operators.ranking import order_columns
 from geolink.operators.stacking import stack_aligned
 from geolink.plans import cache as cache_plans
@@ -247,6 +249,33 @@ def enrich_cases(
     sinks.write_metrics(enrich.enriched_summary(spark.read.parquet(out)), f"{out}_summary")
 
 
+def bucket_lookups(
+    spark: SparkSession, territory_path: str, facilities: str, out: str, buckets: int | None = None
+) -> None:
+    """Write both lookups in buckets of their keys, for ``enrich_cases_from_buckets``; a repeated key is an error."""
+    tables.require_paths(spark, territory_path, facilities)
+    for path, key, name in (
+        (territory_path, "municipio_codigo_6", "territory"),
+        (facilities, "cnes_codigo", "facilities"),
+    ):
+        bucketed.write_bucketed(spark.read.parquet(path), f"{out}/{name}", key, buckets)
+        written = bucketed.read_bucketed(spark, f"{out}/{name}")
+        require_unique(written.where(written[key].isNotNull()), [key], name)
+
+
+def enrich_cases_from_buckets(
+    spark: SparkSession, cases: str, lookups: str, out: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Write the enriched case table from lookups that ``bucket_lookups`` wrote; neither is shuffled."""
+    tables.require_paths(spark, cases)
+    territory, facilities = (
+        bucketed.read_bucketed(spark, f"{lookups}/{name}") for name in ("territory", "facilities")
+    )
+    enriched = enrich.enrich_cases_bucketed(spark.read.parquet(cases), territory, facilities)
+    sinks.write_enriched(enriched, out, partition_by)
+    sinks.write_metrics(enrich.enriched_summary(spark.read.parquet(out)), f"{out}_summary")
+
+
 def build_minimal_lookup(
     spark: SparkSession, registry_paths: Sequence[str], cases: str, out: str
 ) -> None:

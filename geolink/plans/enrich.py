@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geolink.functions.geo import both_present
 from geolink.functions.keys import trimmed
+from geolink.operators.bucketed import join_bucketed
 from geolink.operators.joins import Side, sized
 from geolink.operators.metrics import count_metric, metrics_long
 from geolink.operators.projection import with_constants, with_defaults, with_null_texts
@@ -90,26 +93,61 @@ def enrich_cases(
     the facility key is always trimmed. Both lookups are measured once (see ``sized``), and within
     the bound the whole plan is one scan of the cases without a shuffle.
     """
-    territory = with_defaults(territory, {"area_km2": ("double", None)}).select(
-        "municipio_codigo_6", *ROLE_COLUMNS
-    )
-    texts = [c for c in FACILITY_COLUMNS if c not in ("latitude", "longitude")]
-    facilities = with_null_texts(facilities, texts).select("cnes_codigo", *FACILITY_COLUMNS)
+    territory, facilities = _lookups(territory, facilities)
     (territory, territory_hint), (facilities, facility_hint) = sized(
         Side(territory, ["municipio_codigo_6"]),
         Side(facilities, ["cnes_codigo"]),
         max_broadcast_bytes=max_broadcast_bytes,
     )
+
+    def link(out: DataFrame, lookup: DataFrame, key: Column, is_facility: bool) -> DataFrame:
+        hint = facility_hint if is_facility else territory_hint
+        return out.withColumn("_key", key).join(hint(lookup), "_key", "left").drop("_key")
+
+    return _linked(cases, territory, facilities, trim_keys, link)
+
+
+def enrich_cases_bucketed(
+    cases: DataFrame, territory: DataFrame, facilities: DataFrame, trim_keys: bool = False
+) -> DataFrame:
+    """``enrich_cases`` with lookups of any size, in buckets of their keys (see ``operators.bucketed``).
+
+    No lookup is shuffled: the territory, which three roles use, was so once, when it was written. The
+    facility comes from buckets of ``cnes_codigo``, the territory from buckets of ``municipio_codigo_6``.
+    """
+    territory, facilities = _lookups(territory, facilities)
+
+    def link(out: DataFrame, lookup: DataFrame, key: Column, is_facility: bool) -> DataFrame:
+        return join_bucketed(out, lookup, "_key", key, cases)
+
+    return _linked(cases, territory, facilities, trim_keys, link)
+
+
+def _lookups(territory: DataFrame, facilities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of both lookups that cases get."""
+    territory = with_defaults(territory, {"area_km2": ("double", None)}).select(
+        "municipio_codigo_6", *ROLE_COLUMNS
+    )
+    texts = [c for c in FACILITY_COLUMNS if c not in ("latitude", "longitude")]
+    return territory, with_null_texts(facilities, texts).select("cnes_codigo", *FACILITY_COLUMNS)
+
+
+def _linked(
+    cases: DataFrame,
+    territory: DataFrame,
+    facilities: DataFrame,
+    trim_keys: bool,
+    link: Callable[[DataFrame, DataFrame, Column, bool], DataFrame],
+) -> DataFrame:
     # The facility comes first: should its lookup be too large to broadcast, the shuffle then
     # carries the cases without the territorial columns.
     unit = facilities.withColumnsRenamed({"cnes_codigo": "_key", **FACILITY_COLUMNS})
-    out = cases.withColumn("_key", trimmed("ID_UNIDADE"))
-    out = out.join(facility_hint(unit), "_key", "left").drop("_key")
+    out = link(cases, unit, trimmed("ID_UNIDADE"), True)
     for field, prefix in ROLES.items():
         names = {c: f"{prefix}{bare}" for c, bare in ROLE_COLUMNS.items()}
         role = territory.withColumnsRenamed({"municipio_codigo_6": "_key", **names})
         key = trimmed(field) if trim_keys else F.col(field).cast("string")
-        out = out.withColumn("_key", key).join(territory_hint(role), "_key", "left").drop("_key")
+        out = link(out, role, key, False)
     roles = [f"{prefix}{bare}" for prefix in ROLES.values() for bare in ROLE_COLUMNS.values()]
     ordered = out.select(*cases.columns, *roles, *FACILITY_COLUMNS.values())
     return with_constants(ordered, PROVENANCE)

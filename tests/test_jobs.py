@@ -83,6 +83,15 @@ def test_jobs(spark, root):
     pruned = enriched.where("SG_UF_NOT = '11'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(SG_UF_NOT" in pruned
 
+    jobs.bucket_lookups(spark, territory, f"{root}/rebuilt", f"{root}/lookups", 4)
+    jobs.enrich_cases_from_buckets(spark, cases, f"{root}/lookups", f"{root}/enriched2")
+    again = spark.read.parquet(f"{root}/enriched2").select(enriched.columns)
+    assert again.exceptAll(enriched).count() == enriched.exceptAll(again).count() == 0
+    assert metrics(spark, root / "enriched2_summary") == summary
+    spark.read.parquet(territory).unionAll(spark.read.parquet(territory)).write.parquet(f"{root}/twice")
+    with pytest.raises(ValueError, match="repeated keys"):
+        jobs.bucket_lookups(spark, f"{root}/twice", f"{root}/rebuilt", f"{root}/lookups2", 4)
+
 
 def test_minimal_lookup_job(spark, root):
     raw = f"{root}/minimal_raw"

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geolink.operators import (
+    bucketed,
     centroid,
     dedupe,
     joins,
@@ -155,6 +156,41 @@ def test_hot_key_of_a_large_lookup_is_split(spark):
             spark.conf.unset(k)
 
 
+def test_bucketed_lookup_is_not_shuffled_and_hot_keys_are_dealt(spark, tmp_path):
+    """A key with a third of the rows, a hot key that the lookup lacks, and rows without a key."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    names = [(str(i), f"name {i}", i * 0.5) for i in range(400)] + [("null", None, None)]
+    path = str(tmp_path / "lookup")
+    bucketed.write_bucketed(spark.createDataFrame(names, "k string, name string, `a b` double"), path, "k", 8)
+    lookup = bucketed.read_bucketed(spark, path)
+    assert sorted(map(str, lookup.collect())) == sorted(map(str, [r for r in spark.read.parquet(path).collect()]))
+    key = F.expr("CASE WHEN id % 3 = 0 THEN '7' WHEN id % 3 = 1 AND id % 2 = 0 THEN 'gone' WHEN id % 5 > 0 THEN cast(id % 500 AS string) END")
+    fact = spark.range(0, 6000, 1, 6).select("id", key.alias("key"), F.lit("x").alias("k2"))
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for most in (0, 2, 1000):
+            joined = bucketed.join_bucketed(fact, lookup, "k", F.col("key"), most=most)
+            assert joined.columns == ["id", "key", "k2", "name", "a b"]
+            known = {k: rest for k, *rest in names}
+            expected = [(r.id, r.key, r.k2, *known.get(r.key, (None, None))) for r in fact.collect()]
+            assert sorted(map(tuple, joined.collect())) == sorted(expected)
+        text = plan(bucketed.join_bucketed(fact, lookup, "k", F.col("key"), most=2))
+        assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+        # The rows of hot keys and those without a key lie in all partitions.
+        sizes = bucketed.join_bucketed(fact, lookup, "k", F.col("key"), most=2).groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in sizes.collect()) < 6000 / 3
+        with pytest.raises(ValueError, match="name"):
+            bucketed.join_bucketed(fact.withColumn("name", F.lit(1)), lookup, "k", F.col("key"))
+        assert bucketed.join_bucketed(fact.limit(0), lookup, "k", F.col("key")).count() == 0
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
 def test_repeated_lookup_key_is_an_error(spark):
     fact = spark.createDataFrame(FACT, "k string, v int")
     lookup = spark.createDataFrame([("a", "A"), ("a", "B")], "k string, name string")

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from geolink.operators import bucketed
 from geolink.plans import (
     cache,
     conservative,
@@ -555,6 +556,19 @@ def test_enrichment_paths_agree(cases, places, located):
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
 
 
+@pytest.mark.parametrize("trim", [False, True])
+def test_enrichment_from_buckets_agrees(cases, places, located, tmp_path, trim):
+    units = located.where("cnes_codigo = 'cep'").withColumn("cnes_codigo", F.lit("0000001"))
+    spark, paths = cases.sparkSession, [f"{tmp_path}/places", f"{tmp_path}/units"]
+    bucketed.write_bucketed(places, paths[0], "municipio_codigo_6", 5)
+    bucketed.write_bucketed(units, paths[1], "cnes_codigo", 5)
+    lookups = [bucketed.read_bucketed(spark, p) for p in paths]
+    found = enrich.enrich_cases_bucketed(cases, *lookups, trim_keys=trim)
+    expected = enrich.enrich_cases(cases, places, units, trim_keys=trim)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_enrichment_does_not_shuffle_the_cases(cases, places, located):
     text = enrich.enrich_cases(cases, places, located)._jdf.queryExecution().executedPlan().toString()
     assert text.count("BroadcastHashJoin") >= 4 and "SortMergeJoin" not in text
