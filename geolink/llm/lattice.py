@@ -259,10 +259,17 @@ def _meetings(
     members: DataFrame, balls: DataFrame, threshold: float, tables: int, probes: int, cell: float
 ) -> DataFrame:
     """``u, v, whole``: balls that share a cell and have links, each pair once, or may have."""
-    vectors, kind = members.select("ball", "vector"), "key bigint, ball bigint"
-    filed = map_batches(vectors, _cells(tables, 0, cell), kind).distinct()
-    looked_up = map_batches(vectors, _cells(tables, probes, cell), kind).distinct()
-    met = looked_up.withColumnRenamed("ball", "u").join(filed.withColumnRenamed("ball", "v"), "key")
+    # A ball of one vector is in its cells once as it is; the others' entries are brought together first.
+    vectors = stage_table(members.join(balls.select("ball", "lone"), "ball").select("ball", "lone", "vector"), "filed")
+
+    def entries(count: int, name: str) -> DataFrame:
+        alone, shared = (
+            map_batches(vectors.filter(side), _cells(tables, count, cell), "key bigint, ball bigint")
+            for side in ("lone", "not lone")
+        )
+        return alone.unionByName(shared.distinct()).withColumnRenamed("ball", name)
+
+    met = entries(probes, "u").join(entries(0, "v"), "key")
     pairs = met.filter("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     a, b = (
         balls.select(F.col("ball").alias(ball), F.col("centre").alias(side), F.col("radius").alias(f"r{side}"))
@@ -343,7 +350,9 @@ def near_vectors(
         "nodes",
     )
     members = stage_table(_gathered(nodes, threshold, tables, cell), "members")
-    held = members.groupBy("ball").agg(F.sum("rows").alias("held"), F.max("angle").alias("radius"))
+    held = members.groupBy("ball").agg(
+        F.sum("rows").alias("held"), F.max("angle").alias("radius"), (F.count(F.lit(1)) == 1).alias("lone")
+    )
     centres = nodes.select(F.col("node").alias("ball"), F.col("vector").alias("centre"))
     balls = stage_table(held.join(centres, "ball"), "balls")
     links, of_ball, of_node = ball_links(members, balls, threshold, tables, probes, cell)
